@@ -1,0 +1,6 @@
+"""Every registered query with the SQL it is checked against."""
+
+from streamtab.catalog import project, sources  # noqa: F401
+from streamtab.catalog.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]

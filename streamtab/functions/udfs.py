@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from streamtab.functions.text import split_parts
 
 
+# Rows a task keeps while folding before it passes them on.
+FOLD_ROWS = 100_000
+
+
 def word_lengths(col: Column, sep: str = "_") -> Column:
     """Array of (word, length) structs, the column form of the table function."""
     return F.transform(
@@ -16,7 +23,7 @@ def word_lengths(col: Column, sep: str = "_") -> Column:
     )
 
 
-@F.udtf(returnType="word string, length bigint")
+@F.udtf(returnType=StructType().add("word", StringType()).add("length", LongType()))
 class SplitWords:
     """Table function: (word, length) of each part of a text."""
 
@@ -30,12 +37,53 @@ class SplitWords:
             yield part, len(part)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def avg_temp(values: pd.Series) -> float:
     """Grouped aggregate over a bounded group; `avg` is the form for groups of any size."""
     return float(values.sum()) / len(values)
 
 
+def custom_aggregate(
+    df: DataFrame,
+    key: str,
+    add: Callable[[pd.DataFrame], pd.DataFrame],
+    merge: dict[str, Callable[[str], Column]],
+    schema: str,
+    result: Column,
+    name: str,
+) -> DataFrame:
+    """User aggregate with an accumulator.
+
+    `add` folds an Arrow batch to one accumulator row per key (`schema`), `merge` names the Spark aggregate that
+    combines each field, `result` turns the merged fields into the value. Only accumulators are shuffled.
+    """
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield add(batch)
+
+    merged = df.mapInPandas(fold, schema).groupBy(key).agg(*[f(c).alias(c) for c, f in merge.items()])
+    return merged.select(key, result.alias(name))
+
+
+def average(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
+    """Mean by a (sum, count) accumulator."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def add(batch: pd.DataFrame) -> pd.DataFrame:
+        return batch.groupby(key, dropna=False)[col].agg(total="sum", n="count").reset_index()
+
+    return custom_aggregate(
+        df.select(key, F.col(col).cast("double").alias(col)),
+        key,
+        add,
+        {"total": F.sum, "n": F.sum},
+        f"{key} {kind}, total double, n bigint",
+        F.col("total") / F.col("n"),
+        name,
+    )
+
+
 def register(spark: SparkSession) -> None:
     """Make the functions callable from SQL."""
     spark.udtf.register("split_words", SplitWords)
@@ -64,6 +112,9 @@ def top2(df: DataFrame, key: str, col: str) -> DataFrame:
         for batch in batches:
             rows = batch if best is None else pd.concat([best, batch])
             best = rows[rows[col] > 0].sort_values(col, ascending=False).groupby(key, dropna=False).head(2)
+            if len(best) > FOLD_ROWS:
+                yield best
+                best = None
         if best is not None:
             yield best
 

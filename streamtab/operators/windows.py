@@ -136,7 +136,7 @@ def _slide_panes(
     for n, (kind, _) in aggs.items():
         value = F.col(f"_{n}_sum") / F.col(f"_{n}_count") if kind == "avg" else F.col(f"_{n}_{kind}")
         out.append(value.alias(n))
-    end = from_us((F.col("_pos") + 1) * F.lit(pane)).alias("window_end")
+    end = from_us((F.col("_pos") + 1) * F.lit(pane)).cast(df.schema[ts].dataType).alias("window_end")
     return laid.where(F.col("_probe") & (F.col("_rows") > 0)).select(*keys, end, *out)
 
 

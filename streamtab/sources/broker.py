@@ -13,7 +13,7 @@ from streamtab.sources.parse import parse_delimited
 
 
 def broker_source(
-    spark: SparkSession, options: dict[str, str], schema: StructType, sep: str = ",", stream: bool = True
+    spark: SparkSession, options: dict[str, str], schema: StructType | str, sep: str = ",", stream: bool = True
 ) -> DataFrame:
     """Delimited records of one or more topics; starts at the latest offsets unless told otherwise."""
     reader = (spark.readStream if stream else spark.read).format("kafka")
@@ -21,7 +21,7 @@ def broker_source(
     return decode(raw, schema, sep)
 
 
-def decode(raw: DataFrame, schema: StructType, sep: str = ",") -> DataFrame:
+def decode(raw: DataFrame, schema: StructType | str, sep: str = ",") -> DataFrame:
     """Broker rows (`value` binary) to records."""
     return parse_delimited(raw.select(F.col("value").cast("string").alias("line")), schema, sep)
 

@@ -14,7 +14,7 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     return reader.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
 
 
-def csv_table(spark: SparkSession, path: str, schema: StructType, stream: bool = False, **options: str) -> DataFrame:
+def csv_table(spark: SparkSession, path: str, schema: StructType | str, stream: bool = False, **options: str) -> DataFrame:
     """CSV with a declared schema."""
     reader = spark.readStream if stream else spark.read
     return reader.schema(schema).options(**options).csv(path)
@@ -30,7 +30,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, schema: StructType, files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, name: str, schema: StructType | str, files_per_trigger: int | None = None
 ) -> DataFrame:
     """The same parquet table read as a stream of files."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")

@@ -9,8 +9,10 @@ from pyspark.sql.types import StructType
 from streamtab.schemas import APP_LOG
 
 
-def parse_delimited(df: DataFrame, schema: StructType, sep: str = ",", line: str = "line") -> DataFrame:
+def parse_delimited(df: DataFrame, schema: StructType | str, sep: str = ",", line: str = "line") -> DataFrame:
     """Fields by position, cast to `schema`. Blank and short lines are dropped, bad numbers become null."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     parts = F.split(F.trim(F.col(line)), "\\Q" + sep + "\\E")
     split = df.select(parts.alias("_f")).where(F.size("_f") >= len(schema.fields))
     return split.select(
