@@ -25,8 +25,8 @@ def timed(spark, folder, delay="0 seconds"):
 def _closed_counts(delay: str) -> str:
     return f"""
     SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS window_start,
-    time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS cnt FROM events GROUP BY ALL
-    HAVING window_end <= {_END} - INTERVAL '{delay}'
+    time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS cnt FROM events GROUP BY 1, 2, 3
+    HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR <= {_END} - INTERVAL '{delay}'
     """
 
 

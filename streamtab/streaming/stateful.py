@@ -70,7 +70,7 @@ class _StreamRunner(StatefulProcessor):
         state, timers = self._load()
         armed, out = set(timers), []
         for row in pd.concat(list(rows)).sort_values(self.order).to_dict("records"):
-            out.extend(_fire(self.processor, state, timers, row["_ms"]))
+            out.extend(_fire(self.processor, state, timers, row["event_ms"]))
             out.extend(self.processor.on_row(row, state, timers))
         self._store(state, timers, armed)
         yield from self._frame(key, out)
@@ -95,7 +95,7 @@ def keyed_process(
     Batch tables are hash-partitioned and sorted by (keys, order), and each task walks its sorted rows with one key's
     state in memory: no group is gathered. A stream needs a watermark on `order[0]`.
     """
-    timed = df.withColumn("_ms", F.floor(epoch_us(order[0]) / F.lit(1000)))
+    timed = df.withColumn("event_ms", F.floor(epoch_us(order[0]) / F.lit(1000)))
     columns = [part.strip().split()[0] for part in schema.split(",")]
     if df.isStreaming:
         runner = _StreamRunner(processor, len(keys), columns, list(order))
@@ -112,7 +112,7 @@ def keyed_process(
                 if key != current:
                     out.extend((*current, *r) for r in _fire(processor, state, timers, None)) if current else None
                     current, state, timers = key, {}, set()
-                out.extend((*key, *r) for r in _fire(processor, state, timers, row["_ms"]))
+                out.extend((*key, *r) for r in _fire(processor, state, timers, row["event_ms"]))
                 out.extend((*key, *r) for r in processor.on_row(row, state, timers))
             yield pd.DataFrame(out, columns=columns)
         if current:
@@ -122,7 +122,7 @@ def keyed_process(
 
 
 def _ms(value) -> int:
-    return int(value["_ms"])
+    return int(value["event_ms"])
 
 
 class IdleAlert(KeyedProcessor):

@@ -76,7 +76,7 @@ def main() -> None:
         try:
             problem = compare(spark, con, folder, name)
         except Exception as error:  # noqa: BLE001
-            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+            problem = f"{type(error).__name__}: {str(error).split("JVM stacktrace")[0][-900:]}"
         bad += problem is not None
         print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {'' if name in SQL else '(rows only)'} {problem or ''}", flush=True)
     print(f"{len(names) - bad}/{len(names)} agree")
