@@ -97,8 +97,8 @@ def _slide_panes(
     folded = folded.withColumn(
         "_c", F.explode(F.when(F.floor((F.col("_p") + m - 1) / F.lit(span)) > home, F.array(home, home + 1)).otherwise(F.array(home)))
     )
-    stretch = Window.partitionBy(*keys, "_c").orderBy("_p")
-    folded = folded.withColumn("_next", F.lead("_p").over(stretch))
+    stretch = Window.partitionBy(*keys, "_c")
+    folded = folded.withColumn("_next", F.lead("_p").over(stretch.orderBy("_p")))
 
     # Window positions this pane is the last non-empty one of, starting on the step grid and inside the stretch.
     first = F.greatest(F.col("_p"), F.col("_c") * span)
@@ -110,22 +110,24 @@ def _slide_panes(
     counts_only = all(kind == "count" for kind, _ in aggs.values())
     names = list(parts)
 
-    def event(pos: Column, sign: int | None) -> Column:
-        vals = [
-            (F.lit(None) if sign is None else F.col(n) * sign).cast(folded.schema[n].dataType).alias(n) for n in names
-        ]
-        return F.struct(pos.cast("bigint").alias("_pos"), F.lit(sign is None).alias("_probe"), *vals)
-
-    events = [F.array(event(F.col("_p"), 1))]
+    # One generated row per entry: 0 = the pane itself, then (counts) its departure, then the windows it closes.
+    at = [F.col("_p")]
     if counts_only:
         # A pane enters at its position and leaves m positions later: one running sum, no re-scan of the frame.
-        events.append(F.array(event(F.col("_p") + m, -1)))
-        reach = Window.unboundedPreceding
+        at.append(F.col("_p") + m)
+    laid = folded.select(
+        *keys, "_c", *names, F.posexplode(F.concat(F.array(*[c.cast("bigint") for c in at]), ends)).alias("_i", "_pos")
+    )
+    probe = F.col("_i") >= len(at)
+    signed = {
+        n: F.when(F.col("_i") == 0, F.col(n)).when(~probe, -F.col(n)) if counts_only else F.when(~probe, F.col(n))
+        for n in names
+    }
+    laid = laid.select(*keys, "_c", "_pos", probe.alias("_probe"), *[c.alias(n) for n, c in signed.items()])
+    if counts_only:
+        over = stretch.orderBy("_pos", "_probe").rowsBetween(Window.unboundedPreceding, 0)
     else:
-        reach = -(m - 1)
-    events.append(F.transform(ends, lambda e: event(e, None)))
-    laid = folded.select(*keys, "_c", F.inline(F.concat(*events)))
-    over = Window.partitionBy(*keys, "_c").orderBy("_pos").rangeBetween(reach, 0)
+        over = stretch.orderBy("_pos").rangeBetween(-(m - 1), 0)
 
     def total(n: str) -> Column:
         fold = F.min if n.endswith("_min") else F.max if n.endswith("_max") else F.sum
