@@ -97,6 +97,10 @@ def _slide_panes(
     folded = folded.withColumn(
         "_c", F.explode(F.when(F.floor((F.col("_p") + m - 1) / F.lit(span)) > home, F.array(home, home + 1)).otherwise(F.array(home)))
     )
+    # A fixed partition count: the panes are few, but each is about to fan out to the windows it closes, so they must
+    # not be merged into few tasks by their present size.
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folded = folded.repartition(width, *keys, "_c")
     stretch = Window.partitionBy(*keys, "_c")
     folded = folded.withColumn("_next", F.lead("_p").over(stretch.orderBy("_p")))
 
