@@ -35,12 +35,14 @@ def interval_join(
     right_ts: str,
     lower: str,
     upper: str,
+    how: str = "inner",
 ) -> DataFrame:
     """Pairs with equal keys and `right_ts` in `[left_ts + lower, left_ts + upper]`, both ends included.
 
     Streams join on the condition itself (both sides need a watermark). Batch tables join on (key, time bucket): a
     bucket is as wide as the interval, right rows go to the one or two buckets whose left rows can match, so a
     key's rows are spread over time and every pair meets once. What stays hot is split by the adaptive skew join.
+    `how` other than inner is for streams; `match_two` is the batch form.
     """
     lo, hi = micros(lower), micros(upper)
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
@@ -51,7 +53,11 @@ def interval_join(
         )
         for k in keys:
             cond = cond & (left[k] == r[f"_r_{k}"])
-        return left.join(r, cond).drop(*[f"_r_{k}" for k in keys])
+        joined = left.join(r, cond, how)
+        merged = [F.coalesce(left[k], r[f"_r_{k}"]).alias(k) for k in keys]
+        return joined.select(*merged, *[c for c in joined.columns if c not in keys and c not in r.columns[: len(keys)]])
+    if how != "inner":
+        raise ValueError("batch interval joins are inner; use match_two")
 
     width = F.lit(max(hi - lo, 1))
     lt, rt = epoch_us(left_ts), epoch_us(right_ts)
@@ -128,6 +134,10 @@ def match_two(
     lower, upper = f"-{right_wait}", left_wait
     lcols = [c for c in left.columns if c not in keys]
     rcols = [c for c in right.columns if c not in keys]
+    if left.isStreaming or right.isStreaming:
+        both = interval_join(left, right, keys, left_ts, right_ts, lower, upper, "full_outer")
+        status = F.when(F.col(right_ts).isNull(), "left_only").when(F.col(left_ts).isNull(), "right_only")
+        return both.select(*keys, *lcols, *rcols, status.otherwise("matched").alias("status"))
     pairs = interval_join(left, right, keys, left_ts, right_ts, lower, upper)
     pairs = pairs.select(*keys, *lcols, *rcols, F.lit("matched").alias("status"))
     alone = unmatched(left, right, keys, left_ts, right_ts, lower, upper).select(

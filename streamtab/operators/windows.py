@@ -13,7 +13,7 @@ from streamtab.functions.times import epoch_us, from_us, micros
 from streamtab.operators.scan import frame, lag, run_count, run_over, run_sum
 
 # Beyond this many windows per row, rows are first folded into panes.
-EXPAND_LIMIT = 16
+EXPAND_LIMIT = 4
 
 
 def tumble(df: DataFrame, ts: str, size: str, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
