@@ -290,5 +290,5 @@ def sink_documents(spark, folder):
 def sink_tagged(spark, folder):
     path = scratch_path(spark, "tagged")
     rows = tag_rows(ev(spark, folder).select("event_id", "value"), {"high": F.col("value") > 30.0}, "low")
-    sinks.write_tagged(rows, {t: f"{path}/tag={t}" for t in ("high", "low")})
+    sinks.write_tagged(rows, path)
     return spark.read.parquet(path).select("tag", "event_id", "value")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from streamtab.functions.times import epoch_us, from_us, micros
 from streamtab.operators.over import top_n
-from streamtab.operators.scan import Near, lag, run_count, run_min, run_over, run_sum
+from streamtab.operators.scan import Near, find_hot, lag, run_count, run_min, run_over, run_sum
 from streamtab.session import ready_checkpoints
 
 
@@ -179,14 +179,13 @@ def anchored_runs(
     """
     ts, span = order[0], micros(width)
     base = df.withColumns({"_m": F.coalesce(member, F.lit(False)), "_t": epoch_us(ts)})
-    near = run_over(
-        base, keys, order, {"_pm": lag("_m"), "_pt": lag("_t"), "_breaks": run_min(F.when(~F.col("_m"), F.col("_t")), backward=True)}
-    )
+    hot = find_hot(df, keys)
+    breaks = run_min(F.when(~F.col("_m"), F.col("_t")), backward=True)
+    near = run_over(base, keys, order, {"_pm": lag("_m"), "_pt": lag("_t"), "_breaks": breaks}, hot=hot)
     # A member row after a non-member, or more than `width` after the previous row, always starts a run.
     opens = F.col("_m") & (F.col("_pm").isNull() | ~F.col("_pm") | (F.col("_t") - F.col("_pt") > span))
-    islands = run_over(
-        near.withColumn("_open", opens.cast("bigint")), keys, order, {"_island": run_sum(F.col("_open"))}
-    ).where("_m")
+    marked = near.withColumn("_open", opens.cast("bigint"))
+    islands = run_over(marked, keys, order, {"_island": run_sum(F.col("_open"))}, hot=hot).where("_m")
 
     ikeys = [*keys, "_island"]
     sums = islands.groupBy(*ikeys).agg(

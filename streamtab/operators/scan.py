@@ -20,6 +20,10 @@ HOT_ROWS_KEY = "streamtab.hotKeyRows"
 CHUNK_ROWS_KEY = "streamtab.chunkRows"
 HOT_ROWS = 5_000_000
 CHUNK_ROWS = 1_000_000
+# A key is cut into at most this many chunks, so the scan over its chunk totals stays small.
+MAX_CHUNKS = 100_000
+# Largest side table that is broadcast; beyond it the join is left to Spark.
+BROADCAST_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -88,21 +92,25 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, h
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows, or None. Reads the key columns only; counts are combined map-side."""
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
+@dataclass(frozen=True)
+class Hot:
+    """Outcome of a check for oversized keys: a table of them, or None."""
+
+    keys: DataFrame | None
+
+
+def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> Hot:
+    """Keys with more than `hot_rows` rows. Reads the key columns only; counts are combined map-side."""
+    limit = int(hot_rows or df.sparkSession.conf.get(HOT_ROWS_KEY, str(HOT_ROWS)))
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).drop("_n")
     if hot.isEmpty():
-        return None
+        return Hot(None)
     ready_checkpoints(df.sparkSession)
-    return hot.checkpoint()
+    return Hot(hot.checkpoint())
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
-    """Exact 1-based position of each row within its key, with no key and no table on one task.
-
-    The sorted range partitions are checkpointed once, so a lost executor re-reads the same cut. The position
-    inside a partition comes from the row id; what is joined back is one row per (partition, key) piece.
-    """
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> tuple[DataFrame, int]:
+    """`number_rows`, with the row count of the largest key."""
     ready_checkpoints(df.sparkSession)
     cols = [*keys, *order]
     kept = df.repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint()
@@ -112,11 +120,24 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     )
     pieces = placed.groupBy(*keys, "_pid").agg(F.min("_idx").alias("_start"), F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    prior = F.coalesce(F.sum("_n").over(before), F.lit(0))
     shift = pieces.select(
-        *keys, "_pid", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start") + 1).alias("_shift")
-    )
-    numbered = _join_on(placed, shift, [*keys, "_pid"], "inner")
-    return numbered.withColumn(name, F.col("_idx") + F.col("_shift")).drop("_mid", "_pid", "_idx", "_shift")
+        *keys, "_pid", (prior - F.col("_start") + 1).alias("_shift"), (prior + F.col("_n")).alias("_upto")
+    ).checkpoint()
+    # At most one row per partition plus one per key; counted before it is broadcast.
+    size, largest = shift.agg(F.count("*"), F.max("_upto")).first()
+    numbered = _join_on(placed, shift.drop("_upto"), [*keys, "_pid"], "inner", hint=size <= BROADCAST_ROWS)
+    numbered = numbered.withColumn(name, F.col("_idx") + F.col("_shift")).drop("_mid", "_pid", "_idx", "_shift")
+    return numbered, largest or 0
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
+    """Exact 1-based position of each row within its key, with no key and no table on one task.
+
+    The sorted range partitions are checkpointed once, so a lost executor re-reads the same cut. The position
+    inside a partition comes from the row id; what is joined back is one row per (partition, key) piece.
+    """
+    return _numbered(df, keys, order, name)[0]
 
 
 def _agg(kind: str, expr: Column) -> Column:
@@ -163,10 +184,12 @@ def _chunked(
     ahead = max([c.ahead for c in cols.values() if isinstance(c, Near)], default=0)
     runs = {n: c for n, c in cols.items() if isinstance(c, Running)}
 
-    numbered = number_rows(df, keys, order, "_rn")
+    numbered, largest = _numbered(df, keys, order, "_rn")
+    chunk_rows = max(chunk_rows, -(-largest // MAX_CHUNKS))
     at = (F.col("_rn") - 1) % F.lit(chunk_rows)
     home = ((F.col("_rn") - 1) / F.lit(chunk_rows)).cast("bigint")
-    cut = numbered.withColumn("_home", home)
+    # The key as one struct: equal also where a field is null, so windows and the carry join share one partitioning.
+    cut = numbered.withColumn("_home", home).withColumn("_kk", F.struct(*keys) if keys else F.lit(0))
 
     if back or ahead:
         # Edge rows are also sent to the neighbouring chunk, where they only serve as context.
@@ -183,8 +206,8 @@ def _chunked(
         spread = cut.withColumn("_chunk", F.col("_home"))
         own = None
 
-    up = Window.partitionBy(*keys, "_chunk").orderBy("_rn")
-    down = Window.partitionBy(*keys, "_chunk").orderBy(F.col("_rn").desc())
+    up = Window.partitionBy("_kk", "_chunk").orderBy("_rn")
+    down = Window.partitionBy("_kk", "_chunk").orderBy(F.col("_rn").desc())
     made = [
         (c.build(up) if isinstance(c, Near) else _local(c, down if c.backward else up, own)).alias(f"_c_{n}")
         for n, c in cols.items()
@@ -201,16 +224,16 @@ def _chunked(
                 totals.append(pick(F.struct("_rn", F.struct(c.expr.alias("v")).alias("s")))["s"].alias(f"_t_{n}"))
             else:
                 totals.append(_agg(c.kind, c.expr).alias(f"_t_{n}"))
-        per_chunk = cut.groupBy(*keys, F.col("_home").alias("_chunk")).agg(*totals)
-        fwd = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        bwd = Window.partitionBy(*keys).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        per_chunk = cut.groupBy("_kk", F.col("_home").alias("_chunk")).agg(*totals)
+        fwd = Window.partitionBy("_kk").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        bwd = Window.partitionBy("_kk").orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
         carries = []
         for n, c in runs.items():
             w = bwd if c.backward else fwd
             total = F.col(f"_t_{n}")
             carry = F.first(total, ignorenulls=True) if c.kind == "first" else _agg(c.kind, total)
             carries.append(carry.over(w).alias(f"_p_{n}"))
-        done = _join_on(done, per_chunk.select(*keys, "_chunk", *carries), [*keys, "_chunk"], "inner")
+        done = done.join(per_chunk.select("_kk", "_chunk", *carries), ["_kk", "_chunk"])
 
     out = []
     for n, c in cols.items():
@@ -229,18 +252,21 @@ def run_over(
     cols: dict[str, Running | Near],
     hot_rows: int | None = None,
     chunk_rows: int | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
-    """Add ordered per-key columns. `order` must be a total order within a key for repeatable results."""
+    """Add ordered per-key columns. `order` must be a total order within a key for repeatable results.
+
+    `hot` is an earlier `find_hot` for the same keys, to spare the check.
+    """
     conf = df.sparkSession.conf
-    hot_rows = int(hot_rows or conf.get(HOT_ROWS_KEY, str(HOT_ROWS)))
     chunk_rows = int(chunk_rows or conf.get(CHUNK_ROWS_KEY, str(CHUNK_ROWS)))
     if not keys:
         return _chunked(df, [], order, cols, chunk_rows)
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
+    found = (hot or find_hot(df, keys, hot_rows)).keys
+    if found is None:
         return _plain(df, keys, order, cols)
-    calm = _plain(_join_on(df, hot, keys, "left_anti"), keys, order, cols)
-    busy = _chunked(_join_on(df, hot, keys, "left_semi"), keys, order, cols, chunk_rows)
+    calm = _plain(_join_on(df, found, keys, "left_anti"), keys, order, cols)
+    busy = _chunked(_join_on(df, found, keys, "left_semi"), keys, order, cols, chunk_rows)
     return calm.unionByName(busy)
 
 

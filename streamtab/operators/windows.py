@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from streamtab.functions.text import bitmap_slot
 from streamtab.functions.times import epoch_us, from_us, micros
-from streamtab.operators.scan import frame, lag, run_count, run_over, run_sum
+from streamtab.operators.scan import find_hot, frame, lag, run_count, run_over, run_sum
 
 # Beyond this many windows per row, rows are first folded into panes.
 EXPAND_LIMIT = 4
@@ -160,9 +160,10 @@ def session(
         )
     width = micros(gap)
     order = [ts, *tie]
-    timed = run_over(df, keys, order, {"_prev": lag(ts)})
+    hot = find_hot(df, keys) if keys else None
+    timed = run_over(df, keys, order, {"_prev": lag(ts)}, hot=hot)
     fresh = F.col("_prev").isNull() | (epoch_us(ts) - epoch_us("_prev") >= width)
-    marked = run_over(timed, keys, order, {"_s": run_sum(fresh.cast("bigint"))})
+    marked = run_over(timed, keys, order, {"_s": run_sum(fresh.cast("bigint"))}, hot=hot)
     out = marked.groupBy(*keys, "_s").agg(
         F.min(ts).alias("session_start"), F.max(ts).alias("_last"), *[c.alias(n) for n, c in aggs.items()]
     )

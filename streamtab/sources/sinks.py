@@ -73,20 +73,15 @@ def upsert_jdbc(
     reader.option("dbtable", staging).option("sessionInitStatement", merge).load().foreach(lambda _: None)
 
 
-def write_tagged(df: DataFrame, targets: dict[str, str], tag: str = "tag", fmt: str = "parquet") -> None:
-    """Write the rows of each tag to its own path, reading the input once."""
-    kept = df.where(F.col(tag).isin(list(targets))).persist()
-    try:
-        for name, path in targets.items():
-            kept.where(F.col(tag) == name).drop(tag).write.mode("overwrite").format(fmt).save(path)
-    finally:
-        kept.unpersist()
+def write_tagged(df: DataFrame, path: str, tag: str = "tag", fmt: str = "parquet") -> None:
+    """Write the rows of each tag to its own folder `path/tag=...`, in one pass over the input."""
+    df.write.mode("overwrite").partitionBy(tag).format(fmt).save(path)
 
 
-def write_tagged_stream(df: DataFrame, targets: dict[str, str], checkpoint: str, tag: str = "tag"):
-    """Streaming form: every micro-batch goes to one folder per tag and batch."""
+def write_tagged_stream(df: DataFrame, path: str, checkpoint: str, tag: str = "tag"):
+    """Streaming form: every micro-batch owns a folder, split by tag."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        write_tagged(batch, {name: f"{path}/batch={batch_id}" for name, path in targets.items()}, tag)
+        write_tagged(batch, f"{path}/batch={batch_id}", tag)
 
     return df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
