@@ -85,7 +85,39 @@ def keyed_process(spark, folder):
     return stateful.keyed_process(rows, USER, ORDER, stateful.IdleAlert(_IDLE_MS), "user_id bigint, alert_ts timestamp_ntz")
 
 
-@query("match_stateful")
+def _match_sql(closed: str) -> str:
+    """The slot machine row by row; `closed` says when a slot left over at the end is reported."""
+    return f"""
+    WITH RECURSIVE m AS (SELECT user_id, epoch_us(ts) // 1000 AS t, CAST(event_type = 'purchase' AS INTEGER) AS side,
+            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS total
+        FROM events WHERE event_type IN ('signup', 'purchase')),
+    s AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS l, CAST(NULL AS BIGINT) AS r,
+            CAST([] AS BIGINT[]) AS timers, CAST(NULL AS BIGINT) AS out_l, CAST(NULL AS BIGINT) AS out_r,
+            CAST(NULL AS BIGINT) AS pair_l, CAST(NULL AS BIGINT) AS pair_r FROM m
+        UNION ALL SELECT user_id, n, CASE WHEN side = 0 AND r IS NULL THEN t END, CASE WHEN side = 1 AND l IS NULL THEN t END,
+            CASE WHEN side = 0 AND r IS NULL THEN list_append(timers, t + {MATCH_WAITS[0]})
+                WHEN side = 1 AND l IS NULL THEN list_append(timers, t + {MATCH_WAITS[1]}) ELSE timers END, out_l, out_r,
+            CASE WHEN side = 0 AND r IS NOT NULL THEN t WHEN side = 1 THEN l END,
+            CASE WHEN side = 1 AND l IS NOT NULL THEN t WHEN side = 0 THEN r END
+        FROM (SELECT user_id, n, t, side, CASE WHEN NOT fired THEN l END AS l, CASE WHEN NOT fired THEN r END AS r,
+            list_filter(timers, lambda x: x >= t) AS timers, CASE WHEN fired THEN l END AS out_l, CASE WHEN fired THEN r END AS out_r
+            FROM (SELECT m.*, s.l, s.r, s.timers, len(list_filter(s.timers, lambda x: x < m.t)) > 0 AS fired
+                FROM s JOIN m ON s.user_id = m.user_id AND m.n = s.n + 1))),
+    e AS (SELECT s.* FROM s JOIN m ON s.user_id = m.user_id AND s.n = m.n AND m.n = m.total WHERE {closed}),
+    o AS (SELECT user_id, 'matched' AS status, pair_l AS l, pair_r AS r FROM s WHERE pair_l IS NOT NULL AND pair_r IS NOT NULL
+        UNION ALL SELECT user_id, 'left_only', out_l, NULL FROM s WHERE out_l IS NOT NULL
+        UNION ALL SELECT user_id, 'right_only', NULL, out_r FROM s WHERE out_r IS NOT NULL
+        UNION ALL SELECT user_id, 'left_only', l, NULL FROM e WHERE l IS NOT NULL
+        UNION ALL SELECT user_id, 'right_only', NULL, r FROM e WHERE r IS NOT NULL)
+    SELECT user_id, status, make_timestamp(l * 1000) AS l_ts, make_timestamp(r * 1000) AS r_ts FROM o
+    """
+
+
+MATCH_WAITS = (5 * 3600 * 1000, 3 * 3600 * 1000)
+MATCH_SCHEMA = "user_id bigint, status string, l_ts timestamp_ntz, r_ts timestamp_ntz"
+
+
+@query("match_stateful", _match_sql("true"))
 def match_stateful(spark, folder):
     rows = match_rows(ev(spark, folder))
     return stateful.keyed_process(
@@ -93,9 +125,6 @@ def match_stateful(spark, folder):
     )
 
 
-MATCH_WAITS = (5 * 3600 * 1000, 3 * 3600 * 1000)
-MATCH_SCHEMA = "user_id bigint, status string, l_ts timestamp_ntz, r_ts timestamp_ntz"
-
 
 def match_rows(events):
     """Sign-ups (side 0) and purchases (side 1) as one tagged table."""
@@ -103,11 +132,11 @@ def match_rows(events):
     return events.select("user_id", *ORDER, side.alias("side")).where("side IS NOT NULL")
 
 
-def _runs_sql(member: str, hours: int, tail: str) -> str:
-    """Greedy timed runs of `member` rows by recursion, for comparison on small data."""
+def _runs_sql(member: str, hours: int, tail: str, source: str = "events") -> str:
+    """Greedy timed runs of `member` rows by recursion."""
     return f"""
     WITH RECURSIVE b AS (SELECT *, coalesce({member}, false) AS m FROM (SELECT *, lag(value) OVER
-            (PARTITION BY user_id ORDER BY ts, event_id) AS pv FROM events)),
+            (PARTITION BY user_id ORDER BY ts, event_id) AS pv FROM {source})),
     i AS (SELECT *, sum(CASE WHEN m THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM b),
     f AS (SELECT user_id, island, ts FROM i WHERE m),
     x AS (SELECT user_id, island - 1 AS island, ts AS break_ts FROM i WHERE NOT m),

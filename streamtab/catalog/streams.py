@@ -168,7 +168,13 @@ def stream_keyed_process(spark, folder):
     return _processed(spark, folder, stateful.IdleAlert(patterns._IDLE_MS), "user_id bigint, alert_ts timestamp_ntz")
 
 
-@query("stream_match_stateful")
+_LAST_MS = "(SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type IN ('signup', 'purchase'))"
+
+
+@query(
+    "stream_match_stateful",
+    patterns._match_sql(f"list_min(s.timers) <= {_LAST_MS}"),
+)
 def stream_match_stateful(spark, folder):
     rows = patterns.match_rows(timed(spark, folder))
     matcher = stateful.SlotMatcher("side", patterns.MATCH_WAITS)
@@ -207,22 +213,64 @@ def stream_over_rows(spark, folder):
     return out.withColumn("mean", F.round("mean", 4))
 
 
-@query("stream_rising_alert")
+# Processor timers count milliseconds, so these two read times cut to milliseconds.
+_MILLIS = "(SELECT event_id, user_id, event_type, value, date_trunc('millisecond', ts) AS ts FROM events)"
+
+
+def _timed_ms(spark, folder):
+    rows = ev_stream(spark, folder).withColumn("ts", F.date_trunc("millisecond", "ts"))
+    return eventtime.with_event_time(rows, "ts")
+
+
+@query(
+    "stream_rising_alert",
+    patterns._runs_sql("value > pv", 12, "user_id, s AS rise_ts, s + INTERVAL 12 HOUR AS alert_ts", _MILLIS)
+    + f" AND s + INTERVAL 12 HOUR <= {_END}",
+)
 def stream_rising_alert(spark, folder):
     schema = "user_id bigint, rise_ts timestamp_ntz, alert_ts timestamp_ntz"
-    return _processed(spark, folder, stateful.RisingAlert("value", 12 * 3_600_000), schema)
+    return _processed(spark, folder, stateful.RisingAlert("value", 12 * 3_600_000), schema, _timed_ms(spark, folder))
 
 
-@query("stream_fail_burst")
+@query(
+    "stream_fail_burst",
+    patterns._runs_sql("event_type = 'error'", 6, "user_id, s AS start_ts, last_ts, n", _MILLIS)
+    + f" AND n >= 2 AND s + INTERVAL 6 HOUR <= {_END}",
+)
 def stream_fail_burst(spark, folder):
-    rows = timed(spark, folder).withColumn("failed", F.col("event_type") == "error")
+    rows = _timed_ms(spark, folder).withColumn("failed", F.col("event_type") == "error")
     schema = "user_id bigint, start_ts timestamp_ntz, last_ts timestamp_ntz, n bigint"
     return _processed(spark, folder, stateful.FailBurst("failed", 6 * 3_600_000, 2), schema, rows)
 
 
-@query("stream_order_outcome")
+_WAIT = 24 * 3_600_000
+
+
+@query(
+    "stream_order_outcome",
+    f"""
+    WITH RECURSIVE m AS (SELECT user_id, epoch_us(ts) // 1000 AS t, event_type = 'signup' AS made,
+            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS total
+        FROM events WHERE event_type IN ('signup', 'purchase')),
+    s AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS timer, false AS paid,
+            CAST(NULL AS VARCHAR) AS timed_out, CAST(NULL AS VARCHAR) AS done FROM m
+        UNION ALL SELECT user_id, n, CASE WHEN made AND NOT paid THEN t + {_WAIT} WHEN NOT made AND (timer IS NULL OR paid) THEN t END,
+            NOT made AND (timer IS NULL OR paid), timed_out,
+            CASE WHEN made AND paid THEN 'paid' WHEN NOT made AND timer IS NOT NULL AND NOT paid
+                THEN CASE WHEN t < timer THEN 'paid' ELSE 'paid_late' END END
+        FROM (SELECT user_id, n, t, made, CASE WHEN NOT fired THEN timer END AS timer, paid AND NOT fired AS paid,
+            CASE WHEN fired THEN CASE WHEN paid THEN 'paid_without_create' ELSE 'never_paid' END END AS timed_out
+            FROM (SELECT m.*, s.timer, s.paid, coalesce(s.timer < m.t, false) AS fired
+                FROM s JOIN m ON s.user_id = m.user_id AND m.n = s.n + 1)))
+    SELECT user_id, timed_out AS result_state FROM s WHERE timed_out IS NOT NULL
+    UNION ALL SELECT user_id, done FROM s WHERE done IS NOT NULL
+    UNION ALL SELECT s.user_id, CASE WHEN s.paid THEN 'paid_without_create' ELSE 'never_paid' END
+        FROM s JOIN m ON s.user_id = m.user_id AND s.n = m.n AND m.n = m.total
+        WHERE s.timer <= (SELECT max(epoch_us(ts) // 1000) FROM events)
+    """,
+)
 def stream_order_outcome(spark, folder):
-    machine = stateful.OrderOutcome("event_type", "signup", "purchase", 24 * 3_600_000)
+    machine = stateful.OrderOutcome("event_type", "signup", "purchase", _WAIT)
     return _processed(spark, folder, machine, "user_id bigint, result_state string")
 
 
