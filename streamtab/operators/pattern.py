@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from math import ceil, log2
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamtab.functions.times import epoch_us, from_us, micros
 from streamtab.operators.over import top_n
-from streamtab.operators.scan import Near, find_hot, lag, run_count, run_min, run_over, run_sum
+from streamtab.operators.scan import Near, find_hot, hot_limit, lag, run_count, run_min, run_over, run_sum
 from streamtab.session import ready_checkpoints
 
 
@@ -187,32 +189,27 @@ def anchored_runs(
     marked = near.withColumn("_open", opens.cast("bigint"))
     islands = run_over(marked, keys, order, {"_island": run_sum(F.col("_open"))}, hot=hot).where("_m")
 
-    ikeys = [*keys, "_island"]
-    sums = islands.groupBy(*ikeys).agg(
-        F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count("*").alias("n"), F.max("_breaks").alias("_break")
-    )
-    short = sums.where(F.col("_last") - F.col("_first") <= span).select(
-        *keys, F.col("_first").alias("_s"), F.col("_last").alias("_l"), "n", "_break"
-    )
-    long_ids = sums.where(F.col("_last") - F.col("_first") > span).select(*ikeys)
     ready_checkpoints(df.sparkSession)
-    long_rows = islands.join(long_ids, ikeys, "left_semi").select(*ikeys, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], "_t", "_breaks").checkpoint()
-    if long_rows.isEmpty():
-        runs = short
-    else:
-        okeys = [f"_o{i}" for i in range(len(order))]
-        rows = run_over(long_rows, ikeys, okeys, {"_n": run_count()}).select(*ikeys, "_n", "_t", "_breaks").checkpoint()
-        size = rows.groupBy(*ikeys).agg((F.max("_n") + 1).alias("_size"))
-        starts = _greedy_starts(rows.select(*ikeys, "_n", "_t"), ikeys, span).join(size, ikeys)
-        stop = F.coalesce(F.col("_next"), F.col("_size"))
-        starts = starts.select(*ikeys, "_n", (stop - 1).alias("_stop"), (stop - F.col("_n")).alias("n"))
-        heads = starts.join(rows, [*ikeys, "_n"]).select(*ikeys, F.col("_t").alias("_s"), "_stop", "n", F.col("_breaks").alias("_break"))
-        tails = rows.select(*ikeys, F.col("_n").alias("_stop"), F.col("_t").alias("_l"))
-        long_runs = heads.join(tails, [*ikeys, "_stop"]).select(*keys, "_s", "_l", "n", "_break")
-        runs = short.unionByName(long_runs)
+    tie = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    okeys = [f"_o{i}" for i in range(len(order))]
+    # One struct as island key: equal also where a key field is null.
+    members = islands.select(
+        F.struct(*keys, "_island").alias("_kk"), "_t", "_open", F.col("_breaks").alias("_break"), *tie
+    ).checkpoint()
+    sums = members.groupBy("_kk").agg(
+        F.min("_t").alias("_s"), F.max("_t").alias("_l"), F.count("*").alias("n"), F.max("_break").alias("_break")
+    )
+    runs = sums.where(F.col("_l") - F.col("_s") <= span)
+    long = sums.where(F.col("_l") - F.col("_s") > span).select("_kk", "n").checkpoint()
+    limit = hot_limit(df.sparkSession)
+    usual, endless = long.where(F.col("n") <= limit), long.where(F.col("n") > limit)
+    if not usual.isEmpty():
+        runs = runs.unionByName(_walked_runs(members.join(usual, "_kk", "left_semi"), okeys, span))
+    if not endless.isEmpty():
+        runs = runs.unionByName(_chained_runs(members.join(endless, "_kk", "left_semi"), okeys, span))
     kind = df.schema[ts].dataType
     return runs.select(
-        *keys,
+        *[F.col("_kk")[k].alias(k) for k in keys],
         from_us(F.col("_s")).cast(kind).alias("start_ts"),
         from_us(F.col("_l")).cast(kind).alias("last_ts"),
         "n",
@@ -220,6 +217,52 @@ def anchored_runs(
     )
 
 
+def _walked_runs(members: DataFrame, order: Sequence[str], span: int) -> DataFrame:
+    """Runs of islands of ordinary size: each task walks its sorted rows once, carrying one start time."""
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start = 0
+        for batch in batches:
+            t, opens = batch["_t"].to_numpy(), batch["_open"].to_numpy()
+            bounds = [0, *(np.flatnonzero(opens[1:]) + 1), len(t)]
+            starts = np.empty(len(t), dtype="int64")
+            for lo, hi in zip(bounds, bounds[1:]):
+                if hi > lo and opens[lo]:
+                    start = t[lo]
+                while lo < hi:
+                    stop = lo + int(np.searchsorted(t[lo:hi], start + span, side="right"))
+                    starts[lo:stop] = start
+                    if stop < hi:
+                        start = t[stop]
+                    lo = stop
+            yield batch.assign(_s=starts)
+
+    fields = members.schema["_kk"].dataType.fields
+    flat = [f"_k{i}" for i in range(len(fields))]
+    parts = [F.col("_kk")[f.name].alias(c) for c, f in zip(flat, fields)]
+    # Sorted by a hash first: an island only has to be contiguous, and a long compares faster than the key.
+    spread = members.select(*parts, F.xxhash64("_kk").alias("_h"), "_t", "_open", "_break", *order)
+    laid = spread.repartition("_h").sortWithinPartitions("_h", *flat, *order).select(*flat, "_t", "_open", "_break")
+    keys = ", ".join(f"{c} {f.dataType.simpleString()}" for c, f in zip(flat, fields))
+    done = laid.mapInPandas(label, f"{keys}, _t bigint, _open bigint, _break bigint, _s bigint")
+    runs = done.groupBy(*flat, "_s").agg(F.max("_t").alias("_l"), F.count("*").alias("n"), F.max("_break").alias("_break"))
+    island = F.struct(*[F.col(c).alias(f.name) for c, f in zip(flat, fields)])
+    return runs.select(island.alias("_kk"), "_s", "_l", "n", "_break")
+
+
+def _chained_runs(members: DataFrame, order: Sequence[str], span: int) -> DataFrame:
+    """Runs of islands too long for one task, by pointer doubling over row numbers."""
+    numbered = run_over(members, ["_kk"], order, {"_n": run_count()})
+    rows = numbered.select("_kk", "_n", "_t", "_break").checkpoint()
+    size = rows.groupBy("_kk").agg((F.max("_n") + 1).alias("_size"))
+    starts = _greedy_starts(rows.select("_kk", "_n", "_t"), ["_kk"], span).join(size, "_kk")
+    stop = F.coalesce(F.col("_next"), F.col("_size"))
+    starts = starts.select("_kk", "_n", (stop - 1).alias("_stop"), (stop - F.col("_n")).alias("n"))
+    heads = starts.join(rows, ["_kk", "_n"]).select("_kk", F.col("_t").alias("_s"), "_stop", "n", "_break")
+    tails = rows.select("_kk", F.col("_n").alias("_stop"), F.col("_t").alias("_l"))
+    return heads.join(tails, ["_kk", "_stop"]).select("_kk", "_s", "_l", "n", "_break")
+
+
 def fail_burst(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column, width: str, at_least: int = 2
 ) -> DataFrame:

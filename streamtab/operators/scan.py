@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from streamtab.session import ready_checkpoints
@@ -99,9 +99,13 @@ class Hot:
     keys: DataFrame | None
 
 
+def hot_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get(HOT_ROWS_KEY, str(HOT_ROWS)))
+
+
 def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> Hot:
     """Keys with more than `hot_rows` rows. Reads the key columns only; counts are combined map-side."""
-    limit = int(hot_rows or df.sparkSession.conf.get(HOT_ROWS_KEY, str(HOT_ROWS)))
+    limit = hot_rows or hot_limit(df.sparkSession)
     hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).drop("_n")
     if hot.isEmpty():
         return Hot(None)
@@ -189,7 +193,7 @@ def _chunked(
     at = (F.col("_rn") - 1) % F.lit(chunk_rows)
     home = ((F.col("_rn") - 1) / F.lit(chunk_rows)).cast("bigint")
     # The key as one struct: equal also where a field is null, so windows and the carry join share one partitioning.
-    cut = numbered.withColumn("_home", home).withColumn("_kk", F.struct(*keys) if keys else F.lit(0))
+    cut = numbered.withColumn("_home", home).withColumn("_kkey", F.struct(*keys) if keys else F.lit(0))
 
     if back or ahead:
         # Edge rows are also sent to the neighbouring chunk, where they only serve as context.
@@ -206,8 +210,8 @@ def _chunked(
         spread = cut.withColumn("_chunk", F.col("_home"))
         own = None
 
-    up = Window.partitionBy("_kk", "_chunk").orderBy("_rn")
-    down = Window.partitionBy("_kk", "_chunk").orderBy(F.col("_rn").desc())
+    up = Window.partitionBy("_kkey", "_chunk").orderBy("_rn")
+    down = Window.partitionBy("_kkey", "_chunk").orderBy(F.col("_rn").desc())
     made = [
         (c.build(up) if isinstance(c, Near) else _local(c, down if c.backward else up, own)).alias(f"_c_{n}")
         for n, c in cols.items()
@@ -224,16 +228,16 @@ def _chunked(
                 totals.append(pick(F.struct("_rn", F.struct(c.expr.alias("v")).alias("s")))["s"].alias(f"_t_{n}"))
             else:
                 totals.append(_agg(c.kind, c.expr).alias(f"_t_{n}"))
-        per_chunk = cut.groupBy("_kk", F.col("_home").alias("_chunk")).agg(*totals)
-        fwd = Window.partitionBy("_kk").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        bwd = Window.partitionBy("_kk").orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        per_chunk = cut.groupBy("_kkey", F.col("_home").alias("_chunk")).agg(*totals)
+        fwd = Window.partitionBy("_kkey").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        bwd = Window.partitionBy("_kkey").orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
         carries = []
         for n, c in runs.items():
             w = bwd if c.backward else fwd
             total = F.col(f"_t_{n}")
             carry = F.first(total, ignorenulls=True) if c.kind == "first" else _agg(c.kind, total)
             carries.append(carry.over(w).alias(f"_p_{n}"))
-        done = done.join(per_chunk.select("_kk", "_chunk", *carries), ["_kk", "_chunk"])
+        done = done.join(per_chunk.select("_kkey", "_chunk", *carries), ["_kkey", "_chunk"])
 
     out = []
     for n, c in cols.items():
