@@ -82,7 +82,7 @@ _IDLE_SQL = f"""
 @query("keyed_process", _IDLE_SQL)
 def keyed_process(spark, folder):
     rows = ev(spark, folder).select("user_id", *ORDER)
-    return stateful.keyed_process(rows, USER, ORDER, stateful.IdleAlert(_IDLE_MS), "user_id bigint, alert_ts timestamp_ntz")
+    return stateful.keyed_process(rows, USER, ORDER, stateful.IdleAlert(_IDLE_MS), "user_id bigint, alert_ts timestamp_ntz", _IDLE_MS)
 
 
 def _match_sql(closed: str) -> str:
@@ -121,7 +121,7 @@ MATCH_SCHEMA = "user_id bigint, status string, l_ts timestamp_ntz, r_ts timestam
 def match_stateful(spark, folder):
     rows = match_rows(ev(spark, folder))
     return stateful.keyed_process(
-        rows, USER, ORDER, stateful.SlotMatcher("side", MATCH_WAITS), MATCH_SCHEMA
+        rows, USER, ORDER, stateful.SlotMatcher("side", MATCH_WAITS), MATCH_SCHEMA, max(MATCH_WAITS)
     )
 
 

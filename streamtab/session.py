@@ -8,8 +8,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-SCRATCH_KEY = "streamtab.scratch"
-
 
 def get_session(app: str = "streamtab", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for; a cluster's own master and sizes are kept."""
@@ -30,17 +28,17 @@ def get_session(app: str = "streamtab", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir` where the cluster names one.
+    """The folder every executor can reach: `spark.checkpoint.dir`, or the checkpoint directory the session was given.
 
-    Only when it is unset (local tests) is a temporary folder made, once per session.
+    Only a local session without either gets a temporary folder, once.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    made = spark.conf.get(SCRATCH_KEY, None)
-    if not made:
-        made = tempfile.mkdtemp(prefix="streamtab-")
-        spark.conf.set(SCRATCH_KEY, made)
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    made = tempfile.mkdtemp(prefix="streamtab-")
+    spark.sparkContext.setCheckpointDir(made)
     return made
 
 

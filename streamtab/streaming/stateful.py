@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from streamtab.functions.times import epoch_us
+from streamtab.operators.scan import find_hot, lag, run_over, run_sum
 
 
 class KeyedProcessor:
@@ -88,12 +89,19 @@ class _StreamRunner(StatefulProcessor):
 
 
 def keyed_process(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], processor: KeyedProcessor, schema: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    processor: KeyedProcessor,
+    schema: str,
+    silence_ms: int | None = None,
 ) -> DataFrame:
     """Run a processor per key. `order[0]` is the event time; `schema` is the DDL of keys and output columns.
 
     Batch tables are hash-partitioned and sorted by (keys, order), and each task walks its sorted rows with one key's
-    state in memory: no group is gathered. A stream needs a watermark on `order[0]`.
+    state in memory: no group is gathered. Where a silence longer than `silence_ms` leaves the processor with neither
+    state nor timers, say so: a key's stretches between such silences then run apart, which splits a hot key.
+    A stream needs a watermark on `order[0]`.
     """
     timed = df.withColumn("event_ms", F.floor(epoch_us(order[0]) / F.lit(1000)))
     columns = [part.strip().split()[0] for part in schema.split(",")]
@@ -103,22 +111,29 @@ def keyed_process(
             statefulProcessor=runner, outputStructType=schema, outputMode="Append", timeMode="EventTime"
         )
 
+    groups = list(keys)
+    if silence_ms is not None:
+        hot = find_hot(timed, keys)
+        apart = run_over(timed, keys, order, {"_before": lag("event_ms")}, hot=hot)
+        fresh = (F.col("event_ms") - F.col("_before") > silence_ms).cast("bigint")
+        timed = run_over(apart, keys, order, {"_stretch": run_sum(F.coalesce(fresh, F.lit(0)))}, hot=hot)
+        groups.append("_stretch")
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state, timers = None, {}, set()
+        current, key, state, timers = None, (), {}, set()
         for batch in batches:
             out = []
             for row in batch.to_dict("records"):
-                key = tuple(row[k] for k in keys)
-                if key != current:
-                    out.extend((*current, *r) for r in _fire(processor, state, timers, None)) if current else None
-                    current, state, timers = key, {}, set()
+                group = tuple(row[k] if row[k] == row[k] else None for k in groups)
+                if group != current:
+                    out.extend((*key, *r) for r in _fire(processor, state, timers, None))
+                    current, key, state, timers = group, group[: len(keys)], {}, set()
                 out.extend((*key, *r) for r in _fire(processor, state, timers, row["event_ms"]))
                 out.extend((*key, *r) for r in processor.on_row(row, state, timers))
             yield pd.DataFrame(out, columns=columns)
-        if current:
-            yield pd.DataFrame([(*current, *r) for r in _fire(processor, state, timers, None)], columns=columns)
+        yield pd.DataFrame([(*key, *r) for r in _fire(processor, state, timers, None)], columns=columns)
 
-    return timed.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(walk, schema)
+    return timed.repartition(*groups).sortWithinPartitions(*groups, *order).mapInPandas(walk, schema)
 
 
 def _ms(value) -> int:

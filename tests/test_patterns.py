@@ -166,6 +166,8 @@ def test_slot_matcher(spark, data):
     got = stateful.keyed_process(df, ["k"], ["ts", "event_id"], stateful.SlotMatcher("v", (5000, 3000)), schema)
     want = [("a", st_, None if l is None else at(l), None if r is None else at(r)) for st_, l, r in brute_slots(data, (5, 3))]
     assert rows(got) == sorted(want, key=repr)
+    split = stateful.keyed_process(df, ["k"], ["ts", "event_id"], stateful.SlotMatcher("v", (5000, 3000)), schema, 5000)
+    assert rows(split) == rows(got)
 
 
 def test_processor_on_stream_in_two_batches(spark, tmp_path):
