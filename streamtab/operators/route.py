@@ -64,10 +64,13 @@ def route(
 def distribute(df: DataFrame, how: str, n: int, expr: Column | None = None) -> DataFrame:
     """Place rows over `n` partitions: forward, random, round_robin, rescale, single, or by a partition-number `expr`.
 
+    `broadcast` sends a table of at most `n` rows to every task of a later join; a larger one is left as it is.
     `single` puts everything on one partition and is for outputs known to be small.
     """
     if how == "forward":
         return df
+    if how == "broadcast":
+        return F.broadcast(df) if df.limit(n + 1).count() <= n else df
     if how == "random":
         return df.repartition(n, F.rand(seed=17))
     if how == "round_robin":

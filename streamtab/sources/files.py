@@ -32,8 +32,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def table_stream(
     spark: SparkSession, folder: str, name: str, schema: StructType | str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The same parquet table read as a stream of files."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
+    """The same parquet table, one file or a folder of files, read as a stream."""
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    # A pattern that matches just this name: a stream takes a plain path for a folder, a pattern for either.
+    return reader.parquet(f"{folder}/{name}.parque[t]")

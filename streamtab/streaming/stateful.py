@@ -48,9 +48,10 @@ class _StreamRunner(StatefulProcessor):
         self.kept = handle.getValueState("kept", "body string")
 
     def _load(self) -> tuple[dict, set[int]]:
-        if not self.kept.exists():
+        kept = self.kept.get()
+        if kept is None:
             return {}, set()
-        body = json.loads(self.kept.get()[0])
+        body = json.loads(kept[0])
         return body["state"], set(body["timers"])
 
     def _store(self, state: dict, timers: set[int], armed: set[int]) -> None:
