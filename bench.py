@@ -1,6 +1,7 @@
 """Time the headline queries and the four simple-against-scale pairs. Prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3, median is reported).
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3, median is reported),
+BENCH_ONLY (names to run), BENCH_SLOW=1 (also the naive form of the 5-second slide, about 100 s).
 """
 
 from __future__ import annotations
@@ -77,7 +78,8 @@ def main() -> None:
         return round(statistics.median(timed(fn) for _ in range(1 if once else runs)), 3)
 
     timings = {n: measure(n, QUERIES[n]) for n in HEADLINE if not only or n in only}
-    pairs = {n: measure(n, fn) for n, fn in PAIRS.items() if not only or n in only}
+    slow = os.environ.get("BENCH_SLOW") == "1"
+    pairs = {n: measure(n, fn) for n, fn in PAIRS.items() if (n in only if only else slow or n not in SLOW)}
     print(
         json.dumps(
             {
