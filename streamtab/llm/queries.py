@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm import chat, license, mix, warc
+from streamtab.llm import chat, license, mix, quality, tokens, warc
 from streamtab.llm.common import saved
 from streamtab.llm.registry import QUERIES, SQL, query  # noqa: F401
 from streamtab.sources.files import table
@@ -84,3 +84,16 @@ def warc_archives(spark: SparkSession, folder: str) -> DataFrame:
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mix.mix(spark, docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    forest = quality.fit(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+    return quality.assess(docs, forest)
+
+
+@query("op6_token_files")
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tokens.checksums(tokens.read_metadata(spark, tokens.write_tokens(spark, docs), ids=True))
