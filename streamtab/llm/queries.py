@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm import chat, license, mix, quality, tokens, warc
+from streamtab.llm import chat, license, lines, mix, quality, tokens, warc
 from streamtab.llm.common import saved
 from streamtab.llm.registry import QUERIES, SQL, query  # noqa: F401
 from streamtab.sources.files import table
@@ -97,3 +97,33 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return tokens.checksums(tokens.read_metadata(spark, tokens.write_tokens(spark, docs), ids=True))
+
+
+_LINES_SQL = f"""
+WITH d AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, text, ls, unnest(generate_series(1, len(ls))) AS i FROM d),
+c AS (SELECT *, sum(CASE WHEN ls[i] = '' THEN 0 ELSE len(string_split(ls[i], ' ')) END) OVER
+        (PARTITION BY doc_id, text ORDER BY i) AS upto,
+        CASE WHEN ls[i] = '' THEN 0 ELSE len(string_split(ls[i], ' ')) END AS words FROM l),
+e AS (SELECT a.doc_id, a.text, a.i, min(b.i) AS stop FROM c a JOIN c b
+      ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.text = b.text AND b.i >= a.i AND b.upto >= a.upto - a.words + {lines.MIN_WORDS}
+      GROUP BY ALL),
+k AS (SELECT e.doc_id, e.text, e.i, stop, md5(array_to_string(list_slice(ls, e.i, stop), chr(10))) || '/' || (stop - e.i) AS content
+      FROM e JOIN d ON e.doc_id IS NOT DISTINCT FROM d.doc_id AND e.text = d.text),
+r AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id NULLS FIRST, text, i) AS nth FROM k),
+x AS (SELECT DISTINCT doc_id, text, unnest(generate_series(i, stop)) AS i FROM r WHERE nth > 1),
+kept AS (SELECT l.doc_id, l.text, count(*) FILTER (x.i IS NOT NULL) AS n_deleted,
+                coalesce(string_agg(ls[l.i], chr(10) ORDER BY l.i) FILTER (x.i IS NULL), '') AS left_text
+         FROM l LEFT JOIN x ON l.doc_id IS NOT DISTINCT FROM x.doc_id AND l.text = x.text AND l.i = x.i GROUP BY ALL)
+SELECT s.doc_id, CAST(CASE WHEN s.text IS NULL THEN 0 ELSE len(string_split(s.text, chr(10))) END AS BIGINT) AS n_lines,
+       coalesce(n_deleted, 0) AS n_deleted, CAST(length(left_text) AS BIGINT) AS kept_chars, md5(left_text) AS kept_md5
+FROM documents s LEFT JOIN kept ON s.doc_id IS NOT DISTINCT FROM kept.doc_id AND s.text = kept.text
+"""
+
+
+@query("op2_line_dedup", _LINES_SQL)
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.dedup_lines(spark, docs).select(
+        "doc_id", "n_lines", "n_deleted", F.length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5")
+    )
