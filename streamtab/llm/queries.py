@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm import chat, license, lines, mix, quality, tokens, warc
+from streamtab.llm import chat, decontam, license, lines, mix, quality, tokens, warc
 from streamtab.llm.common import saved
 from streamtab.llm.registry import QUERIES, SQL, query  # noqa: F401
 from streamtab.sources.files import table
@@ -127,3 +127,9 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.dedup_lines(spark, docs).select(
         "doc_id", "n_lines", "n_deleted", F.length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5")
     )
+
+
+@query("op5_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontam.find_copies(spark, docs, table(spark, folder, "benchmark").select("item_id", "text"))
