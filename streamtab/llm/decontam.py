@@ -19,6 +19,8 @@ from streamtab.llm.hashing import WordHashes, grams
 
 SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
+# Seeds that a passage must share with an item to be aligned; one does for an item of few n-grams.
+MIN_SEEDS, FEW_GRAMS = 2, 6
 # Share of an item's best possible score that makes a passage a copy of it.
 MIN_SCORE = 0.5
 # Words of test items that are broadcast at a time; larger benchmarks take more passes.
@@ -86,8 +88,8 @@ class Items:
                 yield n, maybe[hit], rows[hit]
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
-    """Best local alignment: score, and the first and last word of the passage in it (score 0: no word).
+def align(item: np.ndarray, passage: np.ndarray, least: float = 0) -> tuple[int, int, int]:
+    """Best local alignment: score, and the first and last word of the passage in it (score 0, or under `least`: no word).
 
     Row by row; a gap along the row is a running maximum of scores that lose GAP per word.
     """
@@ -108,7 +110,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
         return top, end
 
     score, last = best(item, passage)
-    if not score:
+    if not score or score < least:
         return 0, 0, -1
     _, back = best(item[::-1], passage[last::-1])
     return score, last - back, last
@@ -129,16 +131,20 @@ def copies(items: Items, hashes: np.ndarray, least: float = MIN_SCORE) -> list[t
         slack = length // 2 + 2
         best = None
         done = -1
-        for start, place in sorted(hits):
+        needed = 1 if length - SEED_WORDS + 1 <= FEW_GRAMS else MIN_SEEDS
+        hits = sorted(hits)
+        for at, (start, place) in enumerate(hits):
             if place <= done:  # inside the passage that was aligned last
                 continue
+            if needed > 1 and not (at + 1 < len(hits) and hits[at + 1][0] <= start + slack):
+                continue  # hits go by where the item would begin, so a second seed of the passage comes next
             low, high = max(0, start - slack), start + length + slack
             high = max(high, place + length)
             done = high - slack - length // 2
             passage = hashes[low:high]
             if np.isin(words, passage).sum() < least * length:  # not even all shared words in line would do
                 continue
-            score, first, last = align(words, passage)
+            score, first, last = align(words, passage, least * MATCH * length)
             share = score / (MATCH * length)
             if share >= least and (best is None or share > best[1]):
                 best = (item_id, share, low + first, low + last)
