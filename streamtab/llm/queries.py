@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm import chat, decontam, license, lines, mix, partenum, quality, tokens, warc
+from streamtab.llm import chat, decontam, license, lines, lm, mix, partenum, quality, tokens, warc
 from streamtab.llm.common import saved
 from streamtab.llm.registry import QUERIES, SQL, query  # noqa: F401
 from streamtab.sources.files import table
@@ -139,3 +139,8 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return partenum.near_groups(spark, docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op7_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(spark, table(spark, folder, "documents").select("doc_id", "text"))
