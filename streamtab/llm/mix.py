@@ -143,3 +143,28 @@ def mix(
     return out.select(
         F.col("id").alias(key), "size", "source", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken")
     )
+
+
+def mixed_rows(
+    spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options: object
+) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with all their columns; rows without words as often as their whole source.
+
+    Rows are matched to the mix by key, source and text; repeated rows are taken as often together as the mix takes them.
+    """
+    digest = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    marked = docs.select(F.struct(F.col(f"`{key}`").alias("key"), digest.alias("digest")).alias("doc"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source"))
+    times = mix(spark, marked, "doc", "text", "source", **options).groupBy("doc.key", "doc.digest", "source").agg(
+        F.sum("times").alias("times"), F.count("*").alias("rows")
+    )
+    t = saved(spark, times, "mix-times").where("times > 0").alias("t")
+    rows = docs.withColumn("_digest", digest).alias("d")
+    same = F.col(f"d.`{key}`").eqNullSafe(F.col("t.key")) & (F.col("d._digest") == F.col("t.digest")) & F.col(f"d.`{source}`").eqNullSafe(F.col("t.source"))
+    found = rows.join(t, same).select("d.*", "times", "rows")
+    # Of repeated rows each comes times / rows times, the first of them once more for what is left.
+    order = Window.partitionBy(F.col(f"`{key}`"), "_digest", F.col(f"`{source}`")).orderBy(F.lit(0))
+    nth = F.when(F.col("rows") > 1, F.row_number().over(order)).otherwise(1)
+    single = found.where("rows = 1").withColumn("_n", F.col("times"))
+    several = found.where("rows > 1").withColumn("_n", F.floor(F.col("times") / F.col("rows")) + (nth <= F.col("times") % F.col("rows")).cast("int"))
+    out = single.unionByName(several).where("_n > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

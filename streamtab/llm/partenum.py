@@ -378,3 +378,28 @@ def near_groups(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     out = own.join(ids, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(key), "n_shingles", "class", "label", component.alias("component_id"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` that stay when of each component only one document does: that with the smallest key.
+
+    Documents without words stay. Rows of one key are told apart by their text; of rows with equal key and text one stays, and of
+    texts that share the smallest key of their component the one with the smallest digest.
+    """
+    names = docs.columns
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.withColumn("_digest", F.md5(body))
+    groups = near_groups(spark, rows.select(F.struct(F.col(f"`{key}`").alias("key"), F.col("_digest").alias("digest")).alias("doc"), F.col(f"`{text}`").alias("text")), "doc", "text", n, percent)
+    groups = saved(spark, groups, "partenum-groups")
+    kept = groups.where("doc = component_id AND class IS NOT NULL").select("doc.key", "doc.digest").groupBy("key", "digest").agg(F.count("*").alias("times"))
+    kept = saved(spark, kept, "partenum-kept")
+    k = kept.alias("k")
+    none = F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]")) == 0
+    d = rows.alias("d")
+    same = F.col(f"d.`{key}`").eqNullSafe(F.col("k.key")) & (F.col("d._digest") == F.col("k.digest"))
+    found = d.where(~none).join(k, same).select("d.*", "times")
+    once = found.where("times = 1").select(*[F.col(f"`{c}`") for c in names])
+    # Repeated rows are few: only they are shuffled to find one of each.
+    repeated = found.where("times > 1").withColumn("_key", F.col(f"`{key}`"))
+    repeated = repeated.dropDuplicates(["_key", "_digest"]).select(*[F.col(f"`{c}`") for c in names])
+    return once.unionByName(repeated).unionByName(docs.where(none))

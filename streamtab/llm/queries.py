@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from streamtab.llm import chat, decontam, license, lines, lm, mix, partenum, quality, tokens, warc
 from streamtab.llm.common import saved
 from streamtab.llm.registry import QUERIES, SQL, query  # noqa: F401
@@ -144,3 +145,8 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_lm_scoring")
 def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_documents(spark, table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
