@@ -6,7 +6,10 @@ and carry page indexes, so a reader of metadata skips the ids and a reader of so
 
 from __future__ import annotations
 
+import re
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,7 +24,7 @@ from streamtab.llm.common import batches
 from streamtab.session import scratch_path
 
 END_ID = 1
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 400_000
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.block.size": str(32 << 20),
@@ -36,12 +39,26 @@ LAYOUT = {
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 
+# Words of Latin letters below U+0180 with ASCII marks around them, but no apostrophe: composed already, cut at the marks by the
+# tokenizer, and lower-cased letter by letter.
+_MARKS = "".join(c for c in string.punctuation if c != "'")
+_PLAIN = re.compile(f"([{re.escape(_MARKS)}]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*)([{re.escape(_MARKS)}]*)")
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level BPE writes for each byte: itself where it shows, else the next one from U+0100."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordEncoder:
     """Ids of texts, each distinct word put through the tokenizer once while it stays in a bounded cache.
 
     The tokenizer never joins characters across ASCII white space (it drops it before merging, and its normalisers look at
-    single characters and combining sequences), so a text's ids are its words' ids in a row. New words of a batch are encoded in
-    one call, divided by a special token; words that hold `<|` are encoded alone.
+    single characters and combining sequences), so a text's ids are its words' ids in a row. Of a new word in Latin letters, letters and
+    marks go to the tokenizer's merging model directly. All other new words of a batch are encoded in one call, divided by a special
+    token; words that hold `<|` are encoded alone.
     """
 
     def __init__(self, path: str, divider: str = "<|startoftext|>", limit: int = CACHE_WORDS):
@@ -49,17 +66,36 @@ class WordEncoder:
         self.divider, self.mark = divider, self.tokenizer.token_to_id(divider)
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.table = str.maketrans({chr(b): c for b, c in byte_characters().items()})
 
     def _alone(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
+        found = self.pieces[piece] = array("i", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        return found
+
     def _learn(self, fresh: list[bytes]) -> None:
-        plain = [w for w in fresh if b"<|" not in w]
-        for word in set(fresh) - set(plain):
-            self.known[word] = self._alone(word)
-        for start in range(0, len(plain), 5000):
-            some = plain[start : start + 5000]
+        others, known, pieces, match = [], self.known, self.pieces, _PLAIN.fullmatch
+        for word in fresh:
+            if b"<|" in word:
+                known[word] = self._alone(word)
+                continue
+            found = match(word.decode("utf-8", "replace"))
+            if found is None:
+                others.append(word)
+                continue
+            before, letters, after = found.groups()
+            letters = letters.lower()
+            ids = (pieces.get(letters) or self._piece(letters)) if letters else b""
+            if before:
+                ids = (pieces.get(before) or self._piece(before)) + ids
+            known[word] = ids + (pieces.get(after) or self._piece(after)) if after else ids
+        for start in range(0, len(others), 5000):
+            some = others[start : start + 5000]
             text = self.divider.join(w.decode("utf-8", "replace") for w in some)
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
             cuts = np.flatnonzero(ids == self.mark)
@@ -72,7 +108,7 @@ class WordEncoder:
         split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         fresh = set().union(*split) - self.known.keys()
         if len(fresh) + len(self.known) > self.limit:
-            self.known = {}
+            self.known, self.pieces = {}, {}
             fresh = set().union(*split)
         self._learn(list(fresh))
         get = self.known.__getitem__
