@@ -6,7 +6,8 @@ import string
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streamtab.session import scratch_path
 
@@ -27,6 +28,11 @@ def saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """All columns of `df` as one, `row`, beside new ones, whose names can then clash with none; `row.*` brings them back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(name) for name, c in columns.items()])
+
+
 def batches(columns: Iterator[pa.RecordBatch], rows: int = 0, chars: int = 0) -> Iterable[pa.RecordBatch]:
     """Record batches cut to at most `rows` rows and, by string column, about `chars` bytes (0: no bound)."""
     for batch in columns:

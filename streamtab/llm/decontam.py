@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtab.llm.common import batches, saved
+from streamtab.llm.common import batches, packed, saved
 from streamtab.llm.hashing import WordHashes, grams
 
 SEED_WORDS = 3
@@ -241,7 +241,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, k
     mark = F.struct(F.col(f"`{key}`").alias("key"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("digest"))
     marked = docs.select(mark.alias("doc"), F.col(f"`{text}`").alias("text"))
     bad = saved(spark, find_copies(spark, marked, benchmark, "doc", "text", least=least).select("doc.key", "doc.digest").distinct(), "decontam-copies")
-    rows = docs.withColumn("_digest", F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("d")
+    d = packed(docs, key=F.col(f"`{key}`"), digest=F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))).alias("d")
     b = bad.alias("b")
-    same = F.col(f"d.`{key}`").eqNullSafe(F.col("b.key")) & (F.col("d._digest") == F.col("b.digest"))
-    return rows.join(b, same, "left_anti").drop("_digest")
+    same = F.col("d.key").eqNullSafe(F.col("b.key")) & (F.col("d.digest") == F.col("b.digest"))
+    return d.join(b, same, "left_anti").select("row.*")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamtab.llm.common import packed
+
 # Spellings that license matching treats as the same word.
 SPELLINGS = {
     "licence": "license",
@@ -127,13 +129,8 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     `docs` with these names are replaced. `known` is not hinted: Spark broadcasts it when its size allows, and a hot digest in a
     shuffled join is split by adaptive execution.
     """
-    clean = canonical(F.col(f"`{text}`"))
-    keep = [c for c in docs.columns if c not in ("license_digest", "canonical_chars", "license_id")]
-    marked = docs.select(*[F.col(f"`{c}`") for c in keep], clean.alias("_clean"))
-    marked = marked.select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.sha2("_clean", 256).alias("license_digest"),
-        F.length("_clean").cast("long").alias("canonical_chars"),
-    )
+    made = ("license_digest", "canonical_chars", "license_id")
+    rows = packed(docs.drop(*made), clean=canonical(F.col(f"`{text}`")))
+    rows = rows.select("row", F.sha2("clean", 256).alias("license_digest"), F.length("clean").cast("long").alias("canonical_chars"))
     found = known.select(F.col("digest").alias("license_digest"), "license_id")
-    return marked.join(found, "license_digest", "left")
+    return rows.join(found, "license_digest", "left").select("row.*", *made)

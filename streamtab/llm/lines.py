@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamtab.llm.common import saved
+from streamtab.llm.common import packed, saved
 
 MIN_WORDS = 50
 MAX_LEVEL = 62
@@ -118,13 +118,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     parts = parts.select("doc", "start", (F.col("start") - past).alias("keep"), (F.col("stop") - F.col("start")).alias("cut"))
     cuts = saved(spark, parts.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "keep", "cut"))).alias("cuts")), "lines-cuts")
 
-    names = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
-    body = F.col(f"d.`{text}`")
-    rows = docs.withColumn("_doc", document_key(F.col(f"`{key}`"), F.col(f"`{text}`"))).alias("d").join(cuts.alias("c"), F.col("d._doc") == F.col("c.doc"), "left")
-    flags = F.flatten(F.transform("c.cuts", lambda c: F.concat(F.array_repeat(F.lit(True), c["keep"]), F.array_repeat(F.lit(False), c["cut"]))))
+    docs = docs.drop("n_lines", "n_deleted")
+    body = F.col(f"`{text}`")
+    rows = packed(docs, doc=document_key(F.col(f"`{key}`"), body), body=body).join(cuts, "doc", "left")
+    body = F.col("body")
+    flags = F.flatten(F.transform("cuts", lambda c: F.concat(F.array_repeat(F.lit(True), c["keep"]), F.array_repeat(F.lit(False), c["cut"]))))
     kept = F.zip_with(F.split(body, "\n"), flags, lambda line, on: F.struct(line.alias("line"), F.coalesce(on, F.lit(True)).alias("on")))
     left = F.array_join(F.transform(F.filter(kept, lambda p: p["on"]), lambda p: p["line"]), "\n")
-    deleted = F.coalesce(F.aggregate("c.cuts", F.lit(0), lambda n, c: n + c["cut"]), F.lit(0)).cast("long")
+    deleted = F.coalesce(F.aggregate("cuts", F.lit(0), lambda n, c: n + c["cut"]), F.lit(0)).cast("long")
     n_lines = F.when(body.isNull(), 0).otherwise(F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1).cast("long")
-    columns = [F.when(F.col("c.cuts").isNull(), body).otherwise(left).alias(c) if c == text else F.col(f"d.`{c}`") for c in names]
+    columns = [F.when(F.col("cuts").isNull(), body).otherwise(left).alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
     return rows.select(*columns, n_lines.alias("n_lines"), deleted.alias("n_deleted"))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamtab.llm.common import saved
+from streamtab.llm.common import packed, saved
 
 SEED = 20240607
 BUCKETS = 4096
@@ -158,13 +158,11 @@ def mixed_rows(
         F.sum("times").alias("times"), F.count("*").alias("rows")
     )
     t = saved(spark, times, "mix-times").where("times > 0").alias("t")
-    rows = docs.withColumn("_digest", digest).alias("d")
-    same = F.col(f"d.`{key}`").eqNullSafe(F.col("t.key")) & (F.col("d._digest") == F.col("t.digest")) & F.col(f"d.`{source}`").eqNullSafe(F.col("t.source"))
-    found = rows.join(t, same).select("d.*", "times", "rows")
+    d = packed(docs, key=F.col(f"`{key}`"), digest=digest, source=F.col(f"`{source}`")).alias("d")
+    same = F.col("d.key").eqNullSafe(F.col("t.key")) & (F.col("d.digest") == F.col("t.digest")) & F.col("d.source").eqNullSafe(F.col("t.source"))
+    found = d.join(t, same).select("d.*", "times", "rows")
     # Of repeated rows each comes times / rows times, the first of them once more for what is left.
-    order = Window.partitionBy(F.col(f"`{key}`"), "_digest", F.col(f"`{source}`")).orderBy(F.lit(0))
-    nth = F.when(F.col("rows") > 1, F.row_number().over(order)).otherwise(1)
-    single = found.where("rows = 1").withColumn("_n", F.col("times"))
-    several = found.where("rows > 1").withColumn("_n", F.floor(F.col("times") / F.col("rows")) + (nth <= F.col("times") % F.col("rows")).cast("int"))
-    out = single.unionByName(several).where("_n > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    nth = F.row_number().over(Window.partitionBy("key", "digest", "source").orderBy(F.lit(0)))
+    several = found.where("rows > 1").withColumn("n", F.floor(F.col("times") / F.col("rows")) + (nth <= F.col("times") % F.col("rows")).cast("int"))
+    out = found.where("rows = 1").withColumn("n", F.col("times")).unionByName(several)
+    return out.where("n > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))).select("row.*")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streamtab.llm.common import batches, saved, words
+from streamtab.llm.common import batches, packed, saved, words
 from streamtab.llm.hashing import WordHashes, grams, mixed
 
 SHINGLE = 4
@@ -386,20 +386,14 @@ def one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     Documents without words stay. Rows of one key are told apart by their text; of rows with equal key and text one stays, and of
     texts that share the smallest key of their component the one with the smallest digest.
     """
-    names = docs.columns
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = docs.withColumn("_digest", F.md5(body))
-    groups = near_groups(spark, rows.select(F.struct(F.col(f"`{key}`").alias("key"), F.col("_digest").alias("digest")).alias("doc"), F.col(f"`{text}`").alias("text")), "doc", "text", n, percent)
-    groups = saved(spark, groups, "partenum-groups")
-    kept = groups.where("doc = component_id AND class IS NOT NULL").select("doc.key", "doc.digest").groupBy("key", "digest").agg(F.count("*").alias("times"))
-    kept = saved(spark, kept, "partenum-kept")
-    k = kept.alias("k")
-    none = F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]")) == 0
-    d = rows.alias("d")
-    same = F.col(f"d.`{key}`").eqNullSafe(F.col("k.key")) & (F.col("d._digest") == F.col("k.digest"))
-    found = d.where(~none).join(k, same).select("d.*", "times")
-    once = found.where("times = 1").select(*[F.col(f"`{c}`") for c in names])
+    bare = F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]")) == 0
+    rows = packed(docs, key=F.col(f"`{key}`"), digest=F.md5(body), bare=bare, text=F.col(f"`{text}`"))
+    groups = saved(spark, near_groups(spark, rows.select(F.struct("key", "digest").alias("doc"), "text"), "doc", "text", n, percent), "partenum-groups")
+    kept = groups.where("doc = component_id AND class IS NOT NULL").groupBy("doc.key", "doc.digest").agg(F.count("*").alias("times"))
+    k = saved(spark, kept, "partenum-kept").alias("k")
+    d = rows.drop("text").alias("d")
+    found = d.where("NOT bare").join(k, F.col("d.key").eqNullSafe(F.col("k.key")) & (F.col("d.digest") == F.col("k.digest"))).select("d.*", "times")
     # Repeated rows are few: only they are shuffled to find one of each.
-    repeated = found.where("times > 1").withColumn("_key", F.col(f"`{key}`"))
-    repeated = repeated.dropDuplicates(["_key", "_digest"]).select(*[F.col(f"`{c}`") for c in names])
-    return once.unionByName(repeated).unionByName(docs.where(none))
+    repeated = found.where("times > 1").dropDuplicates(["key", "digest"])
+    return found.where("times = 1").select("row.*").unionByName(repeated.select("row.*")).unionByName(rows.where("bare").select("row.*"))
