@@ -26,12 +26,12 @@ def split_parts(col: Column, sep: str) -> Column:
 
 
 def string_hash(col: Column) -> Column:
-    """31-based 32-bit wrapping hash of a string, as a signed bigint."""
-    codes = F.filter(F.split(col, ""), lambda ch: ch != "")
+    """31-based 32-bit wrapping hash of a string's UTF-16 units, as a signed bigint."""
+    units = F.regexp_extract_all(F.hex(F.encode(col, "UTF-16BE")), F.lit("(....)"), 1)
     wrapped = F.aggregate(
-        codes,
+        units,
         F.lit(0).cast("bigint"),
-        lambda acc, ch: (acc * 31 + F.ascii(ch)).bitwiseAND(F.lit(0xFFFFFFFF)),
+        lambda acc, unit: (acc * 31 + F.conv(unit, 16, 10).cast("bigint")).bitwiseAND(F.lit(0xFFFFFFFF)),
     )
     return F.when(wrapped >= F.lit(1 << 31), wrapped - F.lit(1 << 32)).otherwise(wrapped)
 

@@ -39,8 +39,14 @@ class SplitWords:
 
 @F.pandas_udf(DoubleType())
 def avg_temp(values: pd.Series) -> float:
-    """Grouped aggregate over a bounded group; `avg` is the form for groups of any size."""
-    return float(values.sum()) / len(values)
+    """Grouped aggregate over a bounded group; `avg` is the form for groups of any size. Null without values."""
+    return float(values.mean()) if values.count() else None
+
+
+def _plain(frame: pd.DataFrame, key: str) -> pd.DataFrame:
+    """Missing keys as None: grouping turns them into NaN, which is no text."""
+    missing = frame[key].isna()
+    return frame.assign(**{key: frame[key].astype(object).where(~missing, None)}) if missing.any() else frame
 
 
 def custom_aggregate(
@@ -60,14 +66,14 @@ def custom_aggregate(
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield add(batch)
+            yield _plain(add(batch), key)
 
     merged = df.mapInPandas(fold, schema).groupBy(key).agg(*[f(c).alias(c) for c, f in merge.items()])
     return merged.select(key, result.alias(name))
 
 
 def average(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
-    """Mean by a (sum, count) accumulator."""
+    """Mean by a (sum, count) accumulator; null for a group without values. pandas does not tell NaN from null: both count as missing."""
     kind = df.schema[key].dataType.simpleString()
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
@@ -79,7 +85,7 @@ def average(df: DataFrame, key: str, col: str, name: str) -> DataFrame:
         add,
         {"total": F.sum, "n": F.sum},
         f"{key} {kind}, total double, n bigint",
-        F.col("total") / F.col("n"),
+        F.try_divide("total", "n"),
         name,
     )
 
@@ -93,7 +99,8 @@ def register(spark: SparkSession) -> None:
         """
         CREATE OR REPLACE TEMPORARY FUNCTION hash_code(s STRING, factor BIGINT) RETURNS BIGINT RETURN
         factor * (SELECT IF(h >= 2147483648, h - 4294967296, h) FROM (SELECT aggregate(
-            filter(split(s, ''), c -> c <> ''), 0L, (a, c) -> (a * 31 + ascii(c)) & 4294967295L) AS h))
+            regexp_extract_all(hex(encode(s, 'UTF-16BE')), '(....)', 1), 0L,
+            (a, u) -> (a * 31 + CAST(conv(u, 16, 10) AS BIGINT)) & 4294967295L) AS h))
         """
     )
 
@@ -113,14 +120,14 @@ def top2(df: DataFrame, key: str, col: str) -> DataFrame:
             rows = batch if best is None else pd.concat([best, batch])
             best = rows[rows[col] > 0].sort_values(col, ascending=False).groupby(key, dropna=False).head(2)
             if len(best) > FOLD_ROWS:
-                yield best
+                yield _plain(best, key)
                 best = None
         if best is not None:
-            yield best
+            yield _plain(best, key)
 
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
         best = pdf.sort_values(col, ascending=False).head(2)
-        return best.assign(rank=range(1, len(best) + 1))
+        return _plain(best.assign(rank=range(1, len(best) + 1)), key)
 
     part = df.select(key, F.col(col).cast("double").alias(col)).mapInPandas(fold, f"{key} {kind}, {col} double")
     return part.groupBy(key).applyInPandas(emit, schema)

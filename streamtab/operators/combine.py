@@ -129,7 +129,8 @@ def match_two(
 ) -> DataFrame:
     """Every pair in range as 'matched', and what found no partner as 'left_only' or 'right_only'.
 
-    A left row waits `left_wait` for its right row, a right row `right_wait` for its left row.
+    A left row waits `left_wait` for its right row, a right row `right_wait` for its left row. A row with a null key
+    equals no other and stays alone.
     """
     lower, upper = f"-{right_wait}", left_wait
     lcols = [c for c in left.columns if c not in keys]
@@ -138,6 +139,16 @@ def match_two(
         both = interval_join(left, right, keys, left_ts, right_ts, lower, upper, "full_outer")
         status = F.when(F.col(right_ts).isNull(), "left_only").when(F.col(left_ts).isNull(), "right_only")
         return both.select(*keys, *lcols, *rcols, status.otherwise("matched").alias("status"))
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    lost = left.where(~whole).select(
+        *keys, *lcols, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rcols], F.lit("left_only").alias("status")
+    )
+    lost = lost.unionByName(
+        right.where(~whole).select(
+            *keys, *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols], *rcols, F.lit("right_only").alias("status")
+        )
+    )
+    left, right = left.where(whole), right.where(whole)
     pairs = interval_join(left, right, keys, left_ts, right_ts, lower, upper)
     pairs = pairs.select(*keys, *lcols, *rcols, F.lit("matched").alias("status"))
     alone = unmatched(left, right, keys, left_ts, right_ts, lower, upper).select(
@@ -146,4 +157,4 @@ def match_two(
         *[F.col("row_right")[c].alias(c) for c in rcols],
         F.when(F.col("side") == 0, "left_only").otherwise("right_only").alias("status"),
     )
-    return pairs.unionByName(alone)
+    return pairs.unionByName(alone).unionByName(lost)

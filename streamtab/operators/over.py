@@ -11,6 +11,10 @@ from streamtab.functions.times import epoch_us
 from streamtab.operators.scan import frame, run_count, run_first, run_max, run_over, run_sum
 
 
+# Pieces of a part when its cut is too large to be made before the shuffle.
+PIECES = 32
+
+
 def _descending(df: DataFrame, col: str) -> Column:
     return -(epoch_us(col) if df.schema[col].dataType.typeName().startswith("timestamp") else F.col(col))
 
@@ -53,8 +57,14 @@ def over_rows(
 
 def top_n(df: DataFrame, part: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """First `n` rows of each part with their rank. The filter on the rank lets every task cut to `n` rows per part
-    before the shuffle, so a hot part costs n rows per task."""
+    before the shuffle, so a hot part costs n rows per task. Where `n` is too large for that, a part is first cut in
+    salted pieces, so a hot part is spread over PIECES tasks and costs n rows of each."""
     w = Window.partitionBy(*part).orderBy(*order)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n >= limit and part:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(PIECES))
+        pieces = Window.partitionBy(*part, "_piece").orderBy(*order)
+        df = df.withColumn("_piece", salt).withColumn("_nth", F.row_number().over(pieces)).where(F.col("_nth") <= n).drop("_piece", "_nth")
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 

@@ -50,7 +50,8 @@ def slide(
     """Sliding windows: keys, window_end and mergeable aggregates, name -> (count|sum|min|max|avg, column or '*').
 
     `expand` lets Spark copy each row into size/step windows; `panes` folds rows into non-overlapping panes first and
-    combines panes, so the copies are of panes and not of rows. `auto` takes panes for long windows.
+    combines panes, so the copies are of panes and not of rows. `auto` takes panes for long windows; both forms return
+    the same types.
     """
     if strategy == "auto":
         strategy = "expand" if micros(size) // micros(step) <= EXPAND_LIMIT or df.isStreaming else "panes"
@@ -138,10 +139,11 @@ def _slide_panes(
         return fold(n).over(over)
 
     laid = laid.select(*keys, "_pos", "_probe", *[total(n).alias(n) for n in names])
+    kinds = df.agg(*[_plain_agg(kind, col).alias(n) for n, (kind, col) in aggs.items()]).schema
     out = []
     for n, (kind, _) in aggs.items():
-        value = F.col(f"_{n}_sum") / F.col(f"_{n}_count") if kind == "avg" else F.col(f"_{n}_{kind}")
-        out.append(value.alias(n))
+        value = F.try_divide(f"_{n}_sum", f"_{n}_count") if kind == "avg" else F.col(f"_{n}_{kind}")
+        out.append(value.cast(kinds[n].dataType).alias(n))
     end = from_us((F.col("_pos") + 1) * F.lit(pane)).cast(df.schema[ts].dataType).alias("window_end")
     return laid.where(F.col("_probe") & (F.col("_rows") > 0)).select(*keys, end, *out)
 

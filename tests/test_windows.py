@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -107,3 +108,17 @@ def test_stream_equals_batch_for_closed_windows(spark, tmp_path):
     end = df.agg(F.max("ts") - F.expr("INTERVAL 10 SECONDS")).first()[0]
     want = windows.tumble(df, "ts", "5 minutes", ["k"], aggs).where(F.col("window_end") <= F.lit(end))
     assert rows(got.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})) == rows(want)
+
+
+@pytest.mark.parametrize("kind", ["sum", "avg", "min", "max", "count"])
+@pytest.mark.parametrize("type_", ["int", "double", "decimal(10,2)"])
+def test_both_slides_agree_in_type_and_value(spark, kind, type_):
+    rows = [(i % 3, f"2024-01-01 00:{i % 60:02d}:{i * 7 % 60:02d}", None if i % 5 == 0 else i * 3 % 11) for i in range(80)] + [(9, "2024-01-01 00:00:00", None)]
+    df = spark.createDataFrame(rows, "k int, ts string, v int").selectExpr("k", "CAST(ts AS TIMESTAMP) AS ts", f"CAST(v AS {type_}) AS v")
+    one, two = (windows.slide(df, "ts", "10 minutes", "1 minute", ["k"], {"x": (kind, "v")}, s) for s in ("expand", "panes"))
+    assert one.schema["x"].dataType == two.schema["x"].dataType
+    assert listed(one) == listed(two)
+
+
+def listed(df):
+    return sorted((tuple(round(float(v), 5) if i == 2 and v is not None else v for i, v in enumerate(r)) for r in df.collect()), key=repr)
