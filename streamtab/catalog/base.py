@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from streamtab.functions.times import epoch_us
 from streamtab.schemas import EVENTS
-from streamtab.sources.files import table, table_stream
+from streamtab.session import scratch_path
+from streamtab.sources.files import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,9 +68,31 @@ def ev(spark: SparkSession, folder: str) -> DataFrame:
     return _typed(table(spark, folder, "events"))
 
 
-def ev_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as a stream, time as an instant, no watermark yet."""
-    if spark.sparkContext.master.startswith("local"):
+def child_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, for streams: their settings stay there."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local["):
         # One state store per core is enough on one machine; a cluster keeps its own setting.
-        spark.conf.set("spark.sql.shuffle.partitions", str(min(8, spark.sparkContext.defaultParallelism)))
-    return _typed(table_stream(spark, folder, "events", EVENTS)).withColumn("ts", F.col("ts").cast("timestamp"))
+        session.conf.set("spark.sql.shuffle.partitions", str(min(8, spark.sparkContext.defaultParallelism)))
+    return session
+
+
+def ev_stream(spark: SparkSession, folder: str, disorder: int = 0, batches: int = 4) -> DataFrame:
+    """Events as a stream of `batches` micro-batches in order of arrival, time as an instant, no watermark yet.
+
+    An event arrives up to `disorder` seconds after its time, by its id, so times are out of order within and between batches.
+    """
+    session = child_session(spark)
+    rows = table(session, folder, "events")
+    late = F.pmod(F.col("event_id") * 7919, F.lit(disorder)) * 1_000_000 if disorder else F.lit(0)
+    rows = rows.withColumn("_at", epoch_us("ts") + late)
+    low, high = rows.agg(F.min("_at"), F.max("_at")).first()
+    path = scratch_path(session, "arrivals")
+    width = ((high or 0) - (low or 0)) // batches + 1
+    for i in range(batches):
+        part = F.coalesce(F.floor((F.col("_at") - (low or 0)) / width), F.lit(0)) == i
+        rows.where(part).drop("_at").write.mode("append").parquet(path)
+    stream = session.readStream.schema(EVENTS).option("maxFilesPerTrigger", rows.rdd.getNumPartitions()).parquet(path)
+    return _typed(stream).withColumn("ts", F.col("ts").cast("timestamp"))

@@ -85,12 +85,12 @@ def keyed_process(spark, folder):
     return stateful.keyed_process(rows, USER, ORDER, stateful.IdleAlert(_IDLE_MS), "user_id bigint, alert_ts timestamp_ntz", _IDLE_MS)
 
 
-def _match_sql(closed: str) -> str:
+def _match_sql(closed: str, handled: str = "true") -> str:
     """The slot machine row by row; `closed` says when a slot left over at the end is reported."""
     return f"""
     WITH RECURSIVE m AS (SELECT user_id, epoch_us(ts) // 1000 AS t, CAST(event_type = 'purchase' AS INTEGER) AS side,
             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS total
-        FROM events WHERE event_type IN ('signup', 'purchase')),
+        FROM events WHERE event_type IN ('signup', 'purchase') AND {handled}),
     s AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS l, CAST(NULL AS BIGINT) AS r,
             CAST([] AS BIGINT[]) AS timers, CAST(NULL AS BIGINT) AS out_l, CAST(NULL AS BIGINT) AS out_r,
             CAST(NULL AS BIGINT) AS pair_l, CAST(NULL AS BIGINT) AS pair_r FROM m

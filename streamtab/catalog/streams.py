@@ -10,23 +10,30 @@ from streamtab.catalog.base import EV, ev_stream, query
 from streamtab.catalog.sources import _REQUEST_URL, requests
 from streamtab.functions.text import is_page_request
 from streamtab.operators import aggregate, combine, eventtime, windows
+from streamtab.functions.times import micros
 from streamtab.sources.files import table_stream
 from streamtab.streaming import jobs, stateful
 from streamtab.streaming.run import drain, drain_latest
 
 USER = ["user_id"]
-_END = "(SELECT max(ts) FROM events)"
+# How long after its time an event may arrive; the watermark stays as far behind.
+DISORDER = "30 minutes"
+_END = "(SELECT max(ts) - INTERVAL 30 MINUTE FROM events)"
+# Processors count milliseconds and have handled what is before the watermark.
+_CUT = "(SELECT epoch_us(max(ts)) // 1000 - 1800000 FROM events)"
+_DONE = f"epoch_us(ts) // 1000 < {_CUT}"
 
 
-def timed(spark, folder, delay="0 seconds"):
-    return eventtime.with_event_time(ev_stream(spark, folder), "ts", delay)
+def timed(spark, folder, delay=DISORDER):
+    """Events that arrive as much out of order as the watermark's delay allows."""
+    return eventtime.with_event_time(ev_stream(spark, folder, micros(delay) // 1_000_000), "ts", delay)
 
 
 def _closed_counts(delay: str) -> str:
     return f"""
     SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS window_start,
     time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS cnt FROM events GROUP BY 1, 2, 3
-    HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR <= {_END} - INTERVAL '{delay}'
+    HAVING time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL '{delay}'
     """
 
 
@@ -104,7 +111,7 @@ def stream_hot_pages(spark, folder):
     "stream_hourly_uv",
     f"""
     SELECT time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end, count(DISTINCT user_id) AS uv FROM events
-    WHERE event_type = 'view' GROUP BY 1 HAVING window_end <= (SELECT max(ts) FROM events WHERE event_type = 'view')
+    WHERE event_type = 'view' GROUP BY 1 HAVING window_end <= (SELECT max(ts) - INTERVAL 30 MINUTE FROM events WHERE event_type = 'view')
     """,
 )
 def stream_hourly_uv(spark, folder):
@@ -146,9 +153,9 @@ def stream_first_visit(spark, folder):
 )
 def stream_interval_join(spark, folder):
     def side(kind, prefix):
-        rows = ev_stream(spark, folder).where(F.col("event_type") == kind)
+        rows = ev_stream(spark, folder, micros(DISORDER) // 1_000_000).where(F.col("event_type") == kind)
         rows = rows.select("user_id", F.col("event_id").alias(f"{prefix}_id"), F.col("ts").alias(f"{prefix}_ts"))
-        return eventtime.with_event_time(rows, f"{prefix}_ts", "0 seconds")
+        return eventtime.with_event_time(rows, f"{prefix}_ts", DISORDER)
 
     pairs = combine.interval_join(side("signup", "l"), side("purchase", "r"), USER, "l_ts", "r_ts", "-3 hours", "5 hours")
     return drain(pairs, "interval_join")
@@ -161,19 +168,18 @@ def _processed(spark, folder, processor, schema, rows=None, keys=USER):
 
 @query(
     "stream_keyed_process",
-    patterns._IDLE_SQL.replace("WHERE nxt IS NULL OR nxt", "WHERE (nxt IS NULL AND make_timestamp((t + "
-    f"{patterns._IDLE_MS}) * 1000) <= {_END}) OR nxt"),
+    f"SELECT * FROM ({patterns._IDLE_SQL}) WHERE epoch_us(alert_ts) // 1000 < {_CUT}",
 )
 def stream_keyed_process(spark, folder):
     return _processed(spark, folder, stateful.IdleAlert(patterns._IDLE_MS), "user_id bigint, alert_ts timestamp_ntz")
 
 
-_LAST_MS = "(SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type IN ('signup', 'purchase'))"
+_MATCH_CUT = "(SELECT max(epoch_us(ts) // 1000) - 1800000 FROM events WHERE event_type IN ('signup', 'purchase'))"
 
 
 @query(
     "stream_match_stateful",
-    patterns._match_sql(f"list_min(s.timers) <= {_LAST_MS}"),
+    patterns._match_sql(f"list_min(s.timers) < {_MATCH_CUT}", f"epoch_us(ts) // 1000 < {_MATCH_CUT}"),
 )
 def stream_match_stateful(spark, folder):
     rows = patterns.match_rows(timed(spark, folder))
@@ -183,9 +189,9 @@ def stream_match_stateful(spark, folder):
 
 @query(
     "stream_jump_alert",
-    """
+    f"""
     SELECT user_id, event_id, value, previous FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)
-    AS previous FROM events) WHERE abs(previous - value) > 10.0
+    AS previous FROM events) WHERE abs(previous - value) > 10.0 AND {_DONE}
     """,
 )
 def stream_jump_alert(spark, folder):
@@ -195,7 +201,7 @@ def stream_jump_alert(spark, folder):
 
 @query(
     "stream_running_count",
-    "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events",
+    f"SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events WHERE {_DONE}",
 )
 def stream_running_count(spark, folder):
     return _processed(spark, folder, stateful.RunningCount(), "user_id bigint, event_id bigint, seq bigint")
@@ -203,8 +209,8 @@ def stream_running_count(spark, folder):
 
 @query(
     "stream_over_rows",
-    """
-    SELECT user_id, event_id, count(*) OVER w AS cnt, round(avg(value) OVER w, 4) AS mean FROM events
+    f"""
+    SELECT user_id, event_id, count(*) OVER w AS cnt, round(avg(value) OVER w, 4) AS mean FROM events WHERE {_DONE}
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
     """,
 )
@@ -218,14 +224,14 @@ _MILLIS = "(SELECT event_id, user_id, event_type, value, date_trunc('millisecond
 
 
 def _timed_ms(spark, folder):
-    rows = ev_stream(spark, folder).withColumn("ts", F.date_trunc("millisecond", "ts"))
-    return eventtime.with_event_time(rows, "ts")
+    rows = ev_stream(spark, folder, micros(DISORDER) // 1_000_000).withColumn("ts", F.date_trunc("millisecond", "ts"))
+    return eventtime.with_event_time(rows, "ts", DISORDER)
 
 
 @query(
     "stream_rising_alert",
     patterns._runs_sql("value > pv", 12, "user_id, s AS rise_ts, s + INTERVAL 12 HOUR AS alert_ts", _MILLIS)
-    + f" AND s + INTERVAL 12 HOUR <= {_END}",
+    + f" AND epoch_us(s + INTERVAL 12 HOUR) // 1000 < {_CUT}",
 )
 def stream_rising_alert(spark, folder):
     schema = "user_id bigint, rise_ts timestamp_ntz, alert_ts timestamp_ntz"
@@ -235,7 +241,7 @@ def stream_rising_alert(spark, folder):
 @query(
     "stream_fail_burst",
     patterns._runs_sql("event_type = 'error'", 6, "user_id, s AS start_ts, last_ts, n", _MILLIS)
-    + f" AND n >= 2 AND s + INTERVAL 6 HOUR <= {_END}",
+    + f" AND n >= 2 AND epoch_us(s + INTERVAL 6 HOUR) // 1000 < {_CUT}",
 )
 def stream_fail_burst(spark, folder):
     rows = _timed_ms(spark, folder).withColumn("failed", F.col("event_type") == "error")
@@ -251,7 +257,7 @@ _WAIT = 24 * 3_600_000
     f"""
     WITH RECURSIVE m AS (SELECT user_id, epoch_us(ts) // 1000 AS t, event_type = 'signup' AS made,
             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS total
-        FROM events WHERE event_type IN ('signup', 'purchase')),
+        FROM events WHERE event_type IN ('signup', 'purchase') AND {_DONE}),
     s AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS timer, false AS paid,
             CAST(NULL AS VARCHAR) AS timed_out, CAST(NULL AS VARCHAR) AS done FROM m
         UNION ALL SELECT user_id, n, CASE WHEN made AND NOT paid THEN t + {_WAIT} WHEN NOT made AND (timer IS NULL OR paid) THEN t END,
@@ -266,7 +272,7 @@ _WAIT = 24 * 3_600_000
     UNION ALL SELECT user_id, done FROM s WHERE done IS NOT NULL
     UNION ALL SELECT s.user_id, CASE WHEN s.paid THEN 'paid_without_create' ELSE 'never_paid' END
         FROM s JOIN m ON s.user_id = m.user_id AND s.n = m.n AND m.n = m.total
-        WHERE s.timer <= (SELECT max(epoch_us(ts) // 1000) FROM events)
+        WHERE s.timer < {_CUT}
     """,
 )
 def stream_order_outcome(spark, folder):
@@ -276,8 +282,8 @@ def stream_order_outcome(spark, folder):
 
 @query(
     "stream_cdc_retract",
-    """
-    WITH c AS (SELECT *, lag(event_id) OVER w AS o_id, lag(value) OVER w AS o_value FROM events
+    f"""
+    WITH c AS (SELECT *, lag(event_id) OVER w AS o_id, lag(value) OVER w AS o_value FROM events WHERE {_DONE}
         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
     SELECT user_id, event_id AS change_id, true AS is_add, event_id AS row_id, value FROM c
     UNION ALL SELECT user_id, event_id, false, o_id, o_value FROM c WHERE o_id IS NOT NULL
@@ -309,6 +315,6 @@ def stream_cdc_current(spark, folder):
     """,
 )
 def stream_late_flags(spark, folder):
-    rows = arrivals(ev_stream(spark, folder))
+    rows = arrivals(ev_stream(spark, folder, 7200))
     out = jobs.late_flags(rows, ["arrival", "event_id"], "ts", "60 seconds", F.col("event_type") == "view")
     return out.select("event_id", "ts", "watermark", "is_late")

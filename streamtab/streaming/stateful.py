@@ -1,8 +1,9 @@
 """Keyed processors with state and timers: one definition, run on streams and on batch tables.
 
 A processor sees one key's rows in event-time order. Timers are in epoch milliseconds and fire before the first row
-that is later than them, else when the watermark passes them, else (batch) at the end of the data. State is a plain
-dict of JSON values, kept small by the processor.
+that is later than them, else when the watermark passes them, else (batch) at the end of the data. On a stream rows wait
+in state until the watermark has passed them, so disorder within the watermark's delay changes nothing, and what the
+watermark has not passed is not processed yet. State is a plain dict of JSON values, kept small by the processor.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from streamtab.functions.times import epoch_us
 from streamtab.operators.scan import find_hot, lag, run_over, run_sum
@@ -40,55 +42,87 @@ def _fire(processor: KeyedProcessor, state: dict, timers: set[int], before: int
 
 
 class _StreamRunner(StatefulProcessor):
-    def __init__(self, processor: KeyedProcessor, n_keys: int, columns: list[str], order: list[str]):
-        self.processor, self.n_keys, self.columns, self.order = processor, n_keys, columns, order
+    """Holds rows back until the watermark passes them, then hands them and due timers to the processor in one order.
+
+    A row or timer is due when its millisecond is before the watermark: no later row can then come before it. One timer per
+    key wakes the runner at the next thing due. With `forget_ms` a key's state goes once no row came for so long.
+    """
+
+    def __init__(self, processor: KeyedProcessor, schema: StructType, columns: list[str], order: list[str], forget_ms: int | None):
+        self.processor, self.schema, self.columns, self.order, self.forget_ms = processor, schema, columns, order, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.kept = handle.getValueState("kept", "body string")
+        self.kept = handle.getValueState("kept", "state string, timers array<bigint>, wake bigint, last bigint")
+        self.waiting = handle.getListState("waiting", self.schema)
 
-    def _load(self) -> tuple[dict, set[int]]:
+    def _load(self) -> tuple[dict, set[int], int | None, int | None]:
         kept = self.kept.get()
-        if kept is None:
-            return {}, set()
-        body = json.loads(kept[0])
-        return body["state"], set(body["timers"])
-
-    def _store(self, state: dict, timers: set[int], armed: set[int]) -> None:
-        for at in armed - timers:
-            self.handle.deleteTimer(at)
-        for at in timers - armed:
-            self.handle.registerTimer(at)
-        if state or timers:
-            self.kept.update((json.dumps({"state": state, "timers": sorted(timers)}),))
+        return (json.loads(kept[0]), set(kept[1]), kept[2], kept[3]) if kept else ({}, set(), None, None)
+
+    def _store(self, state: dict, timers: set[int], armed: int | None, last: int | None, first_row: int | None) -> None:
+        due = [t for t in (first_row, min(timers, default=None)) if t is not None]
+        if not due and state and self.forget_ms is not None and last is not None:
+            due = [last + self.forget_ms]
+        wake = min(due) + 1 if due else None
+        if wake != armed:
+            if armed is not None:
+                self.handle.deleteTimer(armed)
+            if wake is not None:
+                self.handle.registerTimer(wake)
+        if state or timers or wake is not None:
+            self.kept.update((json.dumps(state), sorted(timers), wake, last))
         elif self.kept.exists():
             self.kept.clear()
 
-    def _frame(self, key: tuple, rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        if rows:
-            yield pd.DataFrame([(*key, *r) for r in rows], columns=self.columns)
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        state, timers = self._load()
-        armed, out = set(timers), []
-        for row in pd.concat(list(rows)).sort_values(self.order).to_dict("records"):
-            out.extend(_fire(self.processor, state, timers, row["event_ms"]))
-            out.extend(self.processor.on_row(row, state, timers))
-        self._store(state, timers, armed)
-        yield from self._frame(key, out)
+        state, timers, armed, last = self._load()
+        names, first = self.schema.fieldNames(), None if armed is None else armed - 1
+        for frame in rows:
+            fresh = [tuple(_plain(v) for v in row) for row in zip(*(frame[n] for n in names))]
+            self.waiting.appendList(fresh)
+            at = names.index("event_ms")
+            first = min([r[at] for r in fresh] + ([] if first is None else [first]))
+        self._store(state, timers, armed, last, first)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state, timers = self._load()
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        armed = set(timers) - {at}
-        out = list(_fire(self.processor, state, timers, at + 1))
-        self._store(state, timers, armed)
-        yield from self._frame(key, out)
+        state, timers, _, last = self._load()
+        now = timerValues.getCurrentWatermarkInMs()
+        names = self.schema.fieldNames()
+        held = [dict(zip(names, row)) for row in self.waiting.get()] if self.waiting.exists() else []
+        due = sorted((r for r in held if r["event_ms"] < now), key=lambda r: tuple(r[c] for c in self.order))
+        later = [r for r in held if r["event_ms"] >= now]
+        out = []
+        for row in due:
+            out.extend(_fire(self.processor, state, timers, row["event_ms"]))
+            out.extend(self.processor.on_row(row, state, timers))
+            last = row["event_ms"]
+        out.extend(_fire(self.processor, state, timers, now))
+        if due:
+            if later:
+                self.waiting.put([tuple(r[n] for n in names) for r in later])
+            else:
+                self.waiting.clear()
+        if self.forget_ms is not None and not later and last is not None and last + self.forget_ms < now:
+            state, timers = {}, set()
+        self._store(state, timers, None, last, min((r["event_ms"] for r in later), default=None))
+        if out:
+            yield pd.DataFrame([(*key, *r) for r in out], columns=self.columns)
 
     def close(self) -> None:
         pass
 
 
+def _plain(value):
+    """A cell as the Python value that state takes."""
+    if value is None or value is pd.NaT or value != value:
+        return None
+    if isinstance(value, pd.Timestamp):
+        return value.to_pydatetime()
+    return value.item() if hasattr(value, "item") else value
+
+
 def keyed_process(
     df: DataFrame,
     keys: Sequence[str],
@@ -96,22 +130,32 @@ def keyed_process(
     processor: KeyedProcessor,
     schema: str,
     silence_ms: int | None = None,
+    forget_ms: int | None = None,
 ) -> DataFrame:
     """Run a processor per key. `order[0]` is the event time; `schema` is the DDL of keys and output columns.
 
     Batch tables are hash-partitioned and sorted by (keys, order), and each task walks its sorted rows with one key's
     state in memory: no group is gathered. Where a silence longer than `silence_ms` leaves the processor with neither
     state nor timers, say so: a key's stretches between such silences then run apart, which splits a hot key.
-    A stream needs a watermark on `order[0]`.
+    A stream needs a watermark on `order[0]`; its rows come out once the watermark has passed them, and with `forget_ms` a key that had no
+    row for so long loses its state.
     """
     timed = df.withColumn("event_ms", F.floor(epoch_us(order[0]) / F.lit(1000)))
     columns = [part.strip().split()[0] for part in schema.split(",")]
     if df.isStreaming:
-        runner = _StreamRunner(processor, len(keys), columns, list(order))
+        held = StructType([f for f in timed.schema.fields if f.name not in keys])
+        runner = _StreamRunner(processor, held, columns, list(order), forget_ms)
         return timed.groupBy(*keys).transformWithStateInPandas(
             statefulProcessor=runner, outputStructType=schema, outputMode="Append", timeMode="EventTime"
         )
 
+    # Whole-number keys travel as text: one null in a batch would make the column floating.
+    whole = {k: f"_key{i}" for i, k in enumerate(keys) if timed.schema[k].dataType.typeName() in ("byte", "short", "integer", "long")}
+    timed = timed.withColumns({c: F.col(k).cast("string") for k, c in whole.items()})
+    read = [lambda row, k=k: None if pd.isna(row[k]) else row[k] for k in keys]
+    for i, k in enumerate(keys):
+        if k in whole:
+            read[i] = lambda row, c=whole[k]: None if row[c] is None else int(row[c])
     groups = list(keys)
     if silence_ms is not None:
         hot = find_hot(timed, keys)
@@ -119,13 +163,14 @@ def keyed_process(
         fresh = (F.col("event_ms") - F.col("_before") > silence_ms).cast("bigint")
         timed = run_over(apart, keys, order, {"_stretch": run_sum(F.coalesce(fresh, F.lit(0)))}, hot=hot)
         groups.append("_stretch")
+        read.append(lambda row: row["_stretch"])
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, key, state, timers = None, (), {}, set()
         for batch in batches:
             out = []
             for row in batch.to_dict("records"):
-                group = tuple(row[k] if row[k] == row[k] else None for k in groups)
+                group = tuple(of(row) for of in read)
                 if group != current:
                     out.extend((*key, *r) for r in _fire(processor, state, timers, None))
                     current, key, state, timers = group, group[: len(keys)], {}, set()
