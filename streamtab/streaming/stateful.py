@@ -96,6 +96,8 @@ class _StreamRunner(StatefulProcessor):
         out = []
         for row in due:
             out.extend(_fire(self.processor, state, timers, row["event_ms"]))
+            if self.forget_ms is not None and last is not None and row["event_ms"] - last > self.forget_ms:
+                state, timers = {}, set()
             out.extend(self.processor.on_row(row, state, timers))
             last = row["event_ms"]
         out.extend(_fire(self.processor, state, timers, now))
@@ -108,12 +110,18 @@ class _StreamRunner(StatefulProcessor):
             state, timers = {}, set()
         self._store(state, timers, None, last, min((r["event_ms"] for r in later), default=None))
         if out:
-            yield pd.DataFrame([(*key, *r) for r in out], columns=self.columns)
+            yield _frame([(*key, *r) for r in out], self.columns)
 
     def close(self) -> None:
         pass
 
 
+def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+    """Output rows; a column of whole numbers with nulls stays whole."""
+    frame = pd.DataFrame(rows, columns=columns, dtype=object)
+    return frame.assign(**{c: frame[c].infer_objects() for c in columns if not frame[c].isna().any()})
+
+
 def _plain(value):
     """A cell as the Python value that state takes."""
     if value is None or value is pd.NaT or value != value:
@@ -137,8 +145,8 @@ def keyed_process(
     Batch tables are hash-partitioned and sorted by (keys, order), and each task walks its sorted rows with one key's
     state in memory: no group is gathered. Where a silence longer than `silence_ms` leaves the processor with neither
     state nor timers, say so: a key's stretches between such silences then run apart, which splits a hot key.
-    A stream needs a watermark on `order[0]`; its rows come out once the watermark has passed them, and with `forget_ms` a key that had no
-    row for so long loses its state.
+    With `forget_ms` a key that had no row for so long loses its state. A stream needs a watermark on `order[0]`; its rows come out
+    once the watermark has passed them.
     """
     timed = df.withColumn("event_ms", F.floor(epoch_us(order[0]) / F.lit(1000)))
     columns = [part.strip().split()[0] for part in schema.split(",")]
@@ -166,18 +174,21 @@ def keyed_process(
         read.append(lambda row: row["_stretch"])
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, key, state, timers = None, (), {}, set()
+        current, key, state, timers, last = None, (), {}, set(), None
         for batch in batches:
             out = []
             for row in batch.to_dict("records"):
                 group = tuple(of(row) for of in read)
                 if group != current:
                     out.extend((*key, *r) for r in _fire(processor, state, timers, None))
-                    current, key, state, timers = group, group[: len(keys)], {}, set()
+                    current, key, state, timers, last = group, group[: len(keys)], {}, set(), None
                 out.extend((*key, *r) for r in _fire(processor, state, timers, row["event_ms"]))
+                if forget_ms is not None and last is not None and row["event_ms"] - last > forget_ms:
+                    state, timers = {}, set()
+                last = row["event_ms"]
                 out.extend((*key, *r) for r in processor.on_row(row, state, timers))
-            yield pd.DataFrame(out, columns=columns)
-        yield pd.DataFrame([(*key, *r) for r in _fire(processor, state, timers, None)], columns=columns)
+            yield _frame(out, columns)
+        yield _frame([(*key, *r) for r in _fire(processor, state, timers, None)], columns)
 
     return timed.repartition(*groups).sortWithinPartitions(*groups, *order).mapInPandas(walk, schema)
 
