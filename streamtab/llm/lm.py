@@ -22,10 +22,10 @@ from streamtab.llm import rnn
 from streamtab.llm.common import batches, saved, words
 
 # Words whose counts are broadcast, words of the network, buckets of the others.
-TABLE_WORDS, NETWORK_WORDS, BUCKETS = 1 << 18, 48 * rnn.CLASS_SIZE, 32
+TABLE_WORDS, NETWORK_WORDS, BUCKETS = 1 << 18, 32 * rnn.CLASS_SIZE, 32
 ROUNDS = 2
 COUNTER_WORDS = 1 << 19
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 22
 END = b""
 
 

@@ -12,7 +12,11 @@ from collections.abc import Iterator
 import numpy as np
 
 UNITS, CLASS_SIZE = 16, 32
-WINDOW, LANES = 16, 128
+WINDOW, LANES = 16, 256
+# Every text is read whole, but only every third window is learnt from; the state is carried through all.
+LEARN_EVERY = 3
+# A chunk that is learnt from gets at least about so many windows, by fewer lanes.
+LEAST_WINDOWS = 40
 RATE, CLIP = 0.08, 5.0
 
 
@@ -44,19 +48,22 @@ def shaped(values: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndar
     return out
 
 
-def lanes(documents: list[np.ndarray], most: int = LANES) -> tuple[np.ndarray, np.ndarray]:
-    """Documents dealt into lanes of about equal length: tokens (steps, lanes; -1 past a lane's end) and each step's document.
+def lanes(documents: list[np.ndarray], most: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents dealt into lanes, longest lane first: tokens (steps, lanes; -1 past a lane's end), each step's document, and lengths.
 
-    Longest first onto the shortest lane; there are no more lanes than keep the longest document from being the only one left.
+    Longest document first onto the shortest lane; lanes that have ended are left out of later windows.
     """
     sizes = [len(d) for d in documents]
-    count = int(max(1, min(most, sum(sizes) // max(sizes), len(documents))))
+    count = max(1, min(most, len(documents)))
     heap, held = [(0, i) for i in range(count)], [[] for _ in range(count)]
     for d in sorted(range(len(documents)), key=lambda i: (-sizes[i], i)):
         length, lane = heapq.heappop(heap)
         held[lane].append(d)
         heapq.heappush(heap, (length + sizes[d], lane))
-    steps = max(length for length, _ in heap)
+    heap.sort(reverse=True)
+    held = [held[lane] for _, lane in heap]
+    lengths = np.array([length for length, _ in heap])
+    steps = int(lengths[0])
     tokens, owner = np.full((count, steps), -1, np.int32), np.zeros((count, steps), np.int32)
     for lane, own in enumerate(held):
         at = 0
@@ -64,29 +71,49 @@ def lanes(documents: list[np.ndarray], most: int = LANES) -> tuple[np.ndarray, n
             tokens[lane, at : at + sizes[d]] = documents[d]
             owner[lane, at : at + sizes[d]] = d
             at += sizes[d]
-    return np.ascontiguousarray(tokens.T), np.ascontiguousarray(owner.T)
+    return np.ascontiguousarray(tokens.T), np.ascontiguousarray(owner.T), lengths
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    x = np.exp(-x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-probability of column `at` of each row; the exponentials, written over `x`, and their sums."""
+    picked = x[np.arange(len(x)), at]
+    np.clip(x, None, 60, out=x)
+    np.exp(x, out=x)
+    total = x.sum(axis=1)
+    return picked - np.log(total), x, total
+
+
+def _error(x: np.ndarray, total: np.ndarray, at: np.ndarray, share: int) -> np.ndarray:
+    """Gradient of the loss over `share` from exponentials and sums, written over `x`."""
+    x /= total[:, None]
+    x[np.arange(len(x)), at] -= 1
+    x *= np.float32(1 / max(1, share))
+    return x
 
 
 class Pass:
-    """Runs a model over lanes window by window; with `learn`, every window also updates it (Adagrad)."""
+    """Runs a model over lanes window by window; with `learn`, every third window also updates it (Adagrad)."""
 
     def __init__(self, model: dict[str, np.ndarray], end: int, learn: bool = False):
         self.model, self.end, self.learn = model, end, learn
         self.vocab = model["word_bias"].size
-        self.squares = {k: np.full_like(v, 1e-3) for k, v in model.items()} if learn else {}
+        self.share = 1
+        self.squares = {k: np.full_like(v, 1e-7) for k, v in model.items()} if learn else {}
 
     def run(self, documents: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood (natural) of each document; its state starts at zero, with the end token as what came before."""
-        tokens, owner = lanes(documents)
+        most = LANES
+        if self.learn:
+            most = int(max(8, min(LANES, sum(map(len, documents)) // (WINDOW * LEAST_WINDOWS))))
+        # A window counts by its tokens: when few lanes are left it moves little.
+        self.share = most * WINDOW
+        tokens, owner, lengths = lanes(documents, most)
         steps, count = tokens.shape
         starts = np.ones((steps, count), bool)
         starts[1:] = owner[1:] != owner[:-1]
@@ -94,63 +121,76 @@ class Pass:
         before[1:] = np.where(starts[1:] | (tokens[:-1] < 0), self.end, tokens[:-1])
         state, total = np.zeros((count, UNITS), np.float32), np.zeros(len(documents))
         for at in range(0, steps, WINDOW):
-            cut = slice(at, min(at + WINDOW, steps))
+            live = int((lengths > at).sum())
+            cut, state = (slice(at, min(at + WINDOW, steps)), slice(0, live)), state[:live]
+            if self.learn and at // WINDOW % LEARN_EVERY:
+                state = self._states(before[cut], starts[cut], state)[-1][-1]
+                continue
             state, scores = self._window(tokens[cut], before[cut], starts[cut], state)
             valid = tokens[cut] >= 0
             total += np.bincount(owner[cut][valid], weights=scores, minlength=len(documents))
         return total
 
-    def _window(self, tokens, before, starts, state):
+    def _states(self, before, starts, state):
+        """State before each step (zero at a start), both gates, candidate, its recurrent part, and state after each step."""
         m, h3 = self.model, 2 * UNITS
-        steps, count = tokens.shape
+        steps, count = before.shape
         x = m["inputs"][before]
-        kept = np.empty((steps, count, UNITS), np.float32)  # state before each step, zero at a start
+        kept = np.empty((steps, count, UNITS), np.float32)
         gates, news, inner, states = (np.empty((steps, count, n), np.float32) for n in (h3, UNITS, UNITS, UNITS))
         for t in range(steps):
-            kept[t] = np.where(starts[t][:, None], 0, state)
+            kept[t] = state
+            kept[t][starts[t]] = 0
             g = kept[t] @ m["state"]
             gates[t] = _sigmoid(x[t, :, :h3] + g[:, :h3])
             inner[t] = g[:, h3:]
-            news[t] = np.tanh(x[t, :, h3:] + gates[t, :, UNITS:] * inner[t])
-            state = news[t] + gates[t, :, :UNITS] * (kept[t] - news[t])
-            states[t] = state
+            np.tanh(x[t, :, h3:] + gates[t, :, UNITS:] * inner[t], out=news[t])
+            states[t] = news[t] + gates[t, :, :UNITS] * (kept[t] - news[t])
+            state = states[t]
+        return kept, gates, news, inner, states
+
+    def _window(self, tokens, before, starts, state):
+        m = self.model
+        kept, gates, news, inner, states = self._states(before, starts, state)
         valid = tokens >= 0
         h, y = states[valid], tokens[valid]
-        size = m["word_bias"].shape[1]
+        classes, size = m["word_bias"].shape
         word = y < self.vocab
-        group = np.where(word, y // size, y - self.vocab + len(m["word_bias"]))
-        logs = _log_softmax(h @ m["class"] + m["class_bias"])
-        every = np.arange(len(y))
-        scores = logs[every, group].astype(np.float64)
+        group = np.where(word, y // size, y - self.vocab + classes)
+        logits = h @ m["class"]
+        logits += m["class_bias"]
+        logs, e, total = _softmax(logits, group)
+        scores = logs.astype(np.float64)
         order = np.flatnonzero(word)
         order = order[np.argsort(group[order], kind="stable")]
-        cuts = np.searchsorted(group[order], np.arange(len(m["word_bias"]) + 1))
+        cuts = np.searchsorted(group[order], np.arange(classes + 1))
+        sorted_h, places = h[order], y[order] % size
+        inside = np.empty(len(order), np.float64)
         dh = grads = None
         if self.learn:
-            d = np.exp(logs)
-            d[every, group] -= 1
-            d /= max(1, len(y))
+            d = _error(e, total, group, self.share)
             grads = {"class": h.T @ d, "class_bias": d.sum(axis=0), "word": np.zeros_like(m["word"]), "word_bias": np.zeros_like(m["word_bias"])}
             dh = d @ m["class"].T
-        for c in range(len(m["word_bias"])):
-            rows = order[cuts[c] : cuts[c + 1]]
-            if not len(rows):
+            back = np.empty_like(sorted_h)
+        for c in range(classes):
+            cut = slice(cuts[c], cuts[c + 1])
+            if cut.start == cut.stop:
                 continue
-            own = h[rows]
-            inside = _log_softmax(own @ m["word"][c] + m["word_bias"][c])
-            place = y[rows] - c * size
-            scores[rows] += inside[np.arange(len(rows)), place]
+            own, place = sorted_h[cut], places[cut]
+            logits = own @ m["word"][c]
+            logits += m["word_bias"][c]
+            inside[cut], e, total = _softmax(logits, place)
             if self.learn:
-                d = np.exp(inside)
-                d[np.arange(len(rows)), place] -= 1
-                d /= max(1, len(y))
+                d = _error(e, total, place, self.share)
                 grads["word"][c], grads["word_bias"][c] = own.T @ d, d.sum(axis=0)
-                dh[rows] += d @ m["word"][c].T
+                back[cut] = d @ m["word"][c].T
+        scores[order] += inside
         if self.learn and len(y):
+            dh[order] += back
             out = np.zeros_like(states)
             out[valid] = dh
             self._back(before, starts, kept, gates, news, inner, out, grads)
-        return state, scores
+        return states[-1], scores
 
     def _back(self, before, starts, kept, gates, news, inner, out, grads):
         """Backpropagation through the window's steps, and the update."""
