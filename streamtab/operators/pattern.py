@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from streamtab.functions.times import epoch_us, from_us, micros
 from streamtab.operators.over import top_n
-from streamtab.operators.scan import Near, find_hot, hot_limit, lag, run_count, run_min, run_over, run_sum
+from streamtab.operators.scan import Hot, Near, find_hot, hot_limit, is_small, lag, run_count, run_min, run_over, run_sum
 from streamtab.session import ready_checkpoints
 
 
@@ -172,7 +172,7 @@ def _greedy_starts(df: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
 
 
 def anchored_runs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], member: Column, width: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], member: Column, width: str, hot: Hot | None = None
 ) -> DataFrame:
     """Timed runs of `member` rows: a run starts at a member row when none is pending and lasts `width`.
 
@@ -181,7 +181,7 @@ def anchored_runs(
     """
     ts, span = order[0], micros(width)
     base = df.withColumns({"_m": F.coalesce(member, F.lit(False)), "_t": epoch_us(ts)})
-    hot = find_hot(df, keys)
+    hot = hot or find_hot(df, keys)
     breaks = run_min(F.when(~F.col("_m"), F.col("_t")), backward=True)
     near = run_over(base, keys, order, {"_pm": lag("_m"), "_pt": lag("_t"), "_breaks": breaks}, hot=hot)
     # A member row after a non-member, or more than `width` after the previous row, always starts a run.
@@ -206,7 +206,9 @@ def anchored_runs(
     if not usual.isEmpty():
         runs = runs.unionByName(_walked_runs(members.join(usual, "_kk", "left_semi"), okeys, span))
     if not endless.isEmpty():
-        runs = runs.unionByName(_chained_runs(members.join(endless, "_kk", "left_semi"), okeys, span))
+        # Endless islands number at most rows / limit.
+        side = F.broadcast(endless) if is_small(endless) else endless
+        runs = runs.unionByName(_chained_runs(members.join(side, "_kk", "left_semi"), okeys, span))
     kind = df.schema[ts].dataType
     return runs.select(
         *[F.col("_kk")[k].alias(k) for k in keys],
@@ -254,7 +256,8 @@ def _chained_runs(members: DataFrame, order: Sequence[str], span: int) -> DataFr
     """Runs of islands too long for one task, by pointer doubling over row numbers."""
     numbered = run_over(members, ["_kk"], order, {"_n": run_count()})
     rows = numbered.select("_kk", "_n", "_t", "_break").checkpoint()
-    size = rows.groupBy("_kk").agg((F.max("_n") + 1).alias("_size"))
+    size = rows.groupBy("_kk").agg((F.max("_n") + 1).alias("_size")).checkpoint()
+    size = F.broadcast(size) if is_small(size) else size
     starts = _greedy_starts(rows.select("_kk", "_n", "_t"), ["_kk"], span).join(size, "_kk")
     stop = F.coalesce(F.col("_next"), F.col("_size"))
     starts = starts.select("_kk", "_n", (stop - 1).alias("_stop"), (stop - F.col("_n")).alias("n"))
@@ -274,7 +277,8 @@ def fail_burst(
 def rising_alert(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, hold: str) -> DataFrame:
     """Alert at the time a value has not fallen for `hold` since a rise; the next rise after an alert re-arms it."""
     ts = order[0]
-    seen = run_over(df, keys, order, {"_before": lag(col)})
-    runs = anchored_runs(seen, keys, order, F.col(col) > F.col("_before"), hold)
+    hot = find_hot(df, keys)
+    seen = run_over(df, keys, order, {"_before": lag(col)}, hot=hot)
+    runs = anchored_runs(seen, keys, order, F.col(col) > F.col("_before"), hold, hot)
     fired = from_us(epoch_us("start_ts") + micros(hold)).cast(df.schema[ts].dataType)
     return runs.where(~F.col("cancelled")).select(*keys, F.col("start_ts").alias("rise_ts"), fired.alias("alert_ts"))

@@ -22,8 +22,8 @@ HOT_ROWS = 5_000_000
 CHUNK_ROWS = 1_000_000
 # A key is cut into at most this many chunks, so the scan over its chunk totals stays small.
 MAX_CHUNKS = 100_000
-# Largest side table that is broadcast; beyond it the join is left to Spark.
-BROADCAST_ROWS = 2_000_000
+# Largest side table, by its size as text, that is broadcast; beyond it the join is left to Spark.
+BROADCAST_BYTES = 32_000_000
 
 
 @dataclass(frozen=True)
@@ -94,9 +94,16 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, h
 
 @dataclass(frozen=True)
 class Hot:
-    """Outcome of a check for oversized keys: a table of them, or None."""
+    """Outcome of a check for oversized keys: a table of them, or None, and whether it may be broadcast."""
 
     keys: DataFrame | None
+    small: bool = False
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether a table that is already computed is small enough to broadcast, measured over all its rows."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
+    return (size or 0) <= BROADCAST_BYTES
 
 
 def hot_limit(spark: SparkSession) -> int:
@@ -110,7 +117,8 @@ def find_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
     if hot.isEmpty():
         return Hot(None)
     ready_checkpoints(df.sparkSession)
-    return Hot(hot.checkpoint())
+    kept = hot.checkpoint()
+    return Hot(kept, is_small(kept))
 
 
 def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> tuple[DataFrame, int]:
@@ -128,9 +136,9 @@ def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
     shift = pieces.select(
         *keys, "_pid", (prior - F.col("_start") + 1).alias("_shift"), (prior + F.col("_n")).alias("_upto")
     ).checkpoint()
-    # At most one row per partition plus one per key; counted before it is broadcast.
-    size, largest = shift.agg(F.count("*"), F.max("_upto")).first()
-    numbered = _join_on(placed, shift.drop("_upto"), [*keys, "_pid"], "inner", hint=size <= BROADCAST_ROWS)
+    # At most one row per partition plus one per key; measured before it is broadcast.
+    largest = shift.agg(F.max("_upto")).first()[0]
+    numbered = _join_on(placed, shift.drop("_upto"), [*keys, "_pid"], "inner", hint=is_small(shift))
     numbered = numbered.withColumn(name, F.col("_idx") + F.col("_shift")).drop("_mid", "_pid", "_idx", "_shift")
     return numbered, largest or 0
 
@@ -266,11 +274,12 @@ def run_over(
     chunk_rows = int(chunk_rows or conf.get(CHUNK_ROWS_KEY, str(CHUNK_ROWS)))
     if not keys:
         return _chunked(df, [], order, cols, chunk_rows)
-    found = (hot or find_hot(df, keys, hot_rows)).keys
-    if found is None:
+    hot = hot or find_hot(df, keys, hot_rows)
+    if hot.keys is None:
         return _plain(df, keys, order, cols)
-    calm = _plain(_join_on(df, found, keys, "left_anti"), keys, order, cols)
-    busy = _chunked(_join_on(df, found, keys, "left_semi"), keys, order, cols, chunk_rows)
+    # Hot keys number at most rows / hot_rows: broadcast, so no row is shuffled on the skewed key to learn that it is hot.
+    calm = _plain(_join_on(df, hot.keys, keys, "left_anti", hint=hot.small), keys, order, cols)
+    busy = _chunked(_join_on(df, hot.keys, keys, "left_semi", hint=hot.small), keys, order, cols, chunk_rows)
     return calm.unionByName(busy)
 
 

@@ -57,3 +57,20 @@ def test_number_rows_has_no_single_partition_window(spark):
     got = number_rows(df, [], ["t", "id"])
     want = df.withColumn("rn", F.row_number().over(Window.orderBy("t", "id")).cast("bigint"))
     assert rows(got, "id", "rn") == rows(want, "id", "rn")
+
+
+def test_hot_keys_are_broadcast_before_any_shuffle(spark):
+    """No exchange on the key may stand under the joins that part hot keys from the rest, whatever Spark's own threshold."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(3000).selectExpr("CASE WHEN id % 10 < 8 THEN 'hot' ELSE CAST(id AS STRING) END AS k", "id", "id % 7 AS v")
+        out = run_over(df, ["k"], ["id"], {"n": run_count(), "hi": run_max(F.col("v"))}, hot_rows=1000, chunk_rows=200)
+        plan = out._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" in plan and "LeftAnti, BuildRight" in plan
+        got = {(r["id"], r["n"], r["hi"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    up = Window.partitionBy("k").orderBy("id")
+    want = {(r["id"], r["n"], r["hi"]) for r in df.select("id", F.row_number().over(up).alias("n"), F.max("v").over(up).alias("hi")).collect()}
+    assert got == want
