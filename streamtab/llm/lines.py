@@ -13,6 +13,8 @@ from streamtab.llm.common import packed, saved
 
 MIN_WORDS = 50
 MAX_LEVEL = 62
+# About 20 MB.
+BROADCAST_CUTS = 200_000
 
 
 def line_words(line: Column) -> Column:
@@ -120,7 +122,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
 
     docs = docs.drop("n_lines", "n_deleted")
     body = F.col(f"`{text}`")
-    rows = packed(docs, doc=document_key(F.col(f"`{key}`"), body), body=body).join(cuts, "doc", "left")
+    rows = packed(docs, doc=document_key(F.col(f"`{key}`"), body), body=body)
+    # Few documents have cuts: up to so many cuts are broadcast, so that texts stay where they are; more are joined by shuffle.
+    number = cuts.agg(F.coalesce(F.sum(F.size("cuts")), F.lit(0))).first()[0]
+    rows = rows.join(F.broadcast(cuts) if number <= BROADCAST_CUTS else cuts, "doc", "left")
     body = F.col("body")
     flags = F.flatten(F.transform("cuts", lambda c: F.concat(F.array_repeat(F.lit(True), c["keep"]), F.array_repeat(F.lit(False), c["cut"]))))
     kept = F.zip_with(F.split(body, "\n"), flags, lambda line, on: F.struct(line.alias("line"), F.coalesce(on, F.lit(True)).alias("on")))
