@@ -1,13 +1,16 @@
-"""Benchmark decontamination: rare n-grams of test items seed alignments, and Smith-Waterman scores say which passages are copies.
+"""Benchmark decontamination: rare words of test items seed alignments, and Smith-Waterman scores say which passages are copies.
 
-The n-grams of test items, not of documents, are what is looked up: documents are streamed past a block of items twice, once to
-count how many documents hold each n-gram of an item and once to align around the rare ones.
+A copy may keep no two words of its item side by side (a word put in after each), so seeds are single words, in a number that no copy
+can do without. The words of test items, not of documents, are what is looked up: documents are streamed past a block of items twice,
+once to count how many documents hold each word of an item and once to align.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,17 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamtab.llm.common import batches, packed, saved
-from streamtab.llm.hashing import WordHashes, grams
 
-SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
-# Seeds that a passage must share with an item to be aligned; one does for an item of few n-grams.
-MIN_SEEDS, FEW_GRAMS = 2, 6
 # Share of an item's best possible score that makes a passage a copy of it.
 MIN_SCORE = 0.5
 # Words of test items that are broadcast at a time; larger benchmarks take more passes.
 BLOCK_WORDS = 1 << 20
-FILTER_BITS = 22
+# Counts of seeds by stretch and item that are held at a time.
+CELLS = 1 << 22
 HITS = "item_id long, score double, first_word long, last_word long"
 
 _BREAKS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
@@ -37,55 +37,86 @@ def normal_words(text: str | None) -> list[bytes]:
 
 
 class Items:
-    """Test items as word hashes, and their n-grams in a sorted table behind a bit filter.
+    """Test items as codes, which are places in the vocabulary of all items, and the items that each seed word points to.
 
-    An item shorter than an n-gram is looked up by all its words.
+    A passage that scores `least` matches at least that share of its item's words. So of any words of an item that are as many as may
+    be missing and `held` more, every copy has `held`; the rarest are taken. `reach` is how many words a copy can be long.
     """
 
-    def __init__(self, rows: list[tuple[int, np.ndarray]]):
-        self.rows = rows
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = {}
-        for n in sorted({min(SEED_WORDS, len(w)) for _, w in rows}):
-            own = [(k, i, g) for k, (_, w) in enumerate(rows) if min(SEED_WORDS, len(w)) == n for i, g in enumerate(grams(w, n))]
-            table = np.array(sorted({int(g) for _, _, g in own}), np.uint64)
-            where = [[] for _ in table]
-            for k, i, g in own:
-                where[int(np.searchsorted(table, g))].append((k, i))
-            self.by_length[n] = (table, self._filter(table), where)
-        self.starts = {}
-        at = 0
-        for n, (table, _, _) in self.by_length.items():
-            self.starts[n] = at
-            at += len(table)
-        self.total = at
-
-    @staticmethod
-    def _filter(table: np.ndarray) -> np.ndarray:
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        bits[(table >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        return bits
-
-    def keep(self, seeds: np.ndarray) -> None:
-        """Only the n-grams marked in `seeds` are looked up from now on."""
-        for n, (table, _, where) in self.by_length.items():
-            on = seeds[self.starts[n] : self.starts[n] + len(table)]
-            kept = np.flatnonzero(on)
-            self.by_length[n] = (table[kept], self._filter(table[kept]), [where[i] for i in kept])
-        self.starts, at = {}, 0
-        for n, (table, _, _) in self.by_length.items():
-            self.starts[n] = at
-            at += len(table)
-        self.total = at
-
-    def lookup(self, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Of each n-gram length: the length, the places in `hashes` and the rows of the table found there."""
-        for n, (table, bits, _) in self.by_length.items():
-            found = grams(hashes, n)
-            maybe = np.flatnonzero(bits[(found >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]) if len(table) else np.empty(0, np.int64)
-            if len(maybe):
-                rows = np.searchsorted(table, found[maybe])
-                hit = (rows < len(table)) & (table[np.minimum(rows, len(table) - 1)] == found[maybe])
-                yield n, maybe[hit], rows[hit]
+    def __init__(self, rows: list[tuple[int, list[bytes]]], least: float = MIN_SCORE):
+        self.places: dict[bytes, int] = {}
+        self.rows = [(i, np.array([self.places.setdefault(w, len(self.places)) for w in own], np.int64)) for i, own in rows]
+        self.counted = [np.unique(own, return_counts=True) for _, own in self.rows]
+        self.needed = [max(1, math.ceil(least * len(own) - 1e-9)) for _, own in self.rows]
+        self.held = np.array([(3 * n + 3) // 4 for n in self.needed], np.int64)
+        self.reach = [len(own) + int(MATCH * len(own) * (1 - least) / -GAP) for _, own in self.rows]
+        self.longest = max(self.reach)
+        # How often the item at hand holds each word; the last place is for words in no item.
+        self.times = np.zeros(len(self.places) + 1, np.int64)
+
+    def codes(self, found: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.places.get, found, repeat(-1)), np.int64, len(found))
+
+    def seed(self, frequency: np.ndarray) -> None:
+        """Index the items by their rarest words."""
+        pairs = []
+        for k, (_, own) in enumerate(self.rows):
+            rare = own[np.argsort(frequency[own], kind="stable")[: len(own) - self.needed[k] + int(self.held[k])]]
+            pairs.append(np.stack([rare, np.full(len(rare), k)], axis=1))
+        word, self.pointed = np.concatenate(pairs).T
+        order = np.argsort(word, kind="stable")
+        self.pointed = self.pointed[order]
+        self.starts = np.searchsorted(word[order], np.arange(len(self.places) + 1))
+
+    def candidates(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, low, high): runs of a document's words with enough seeds of an item, by pairs of neighbouring stretches.
+
+        Stretches have the longest reach, so every copy lies within a pair.
+        """
+        at = np.flatnonzero(codes >= 0)
+        stretch, size, hits = at // self.longest, len(self.places), []
+        # Each word counts once in the pair that its stretch begins and once in the pair that it ends.
+        keys = np.unique(np.concatenate([stretch, stretch + 1]) * size + np.tile(codes[at], 2))
+        pair, words = np.divmod(keys, size)
+        pairs = max(1, CELLS // len(self.rows))
+        for low in range(0, int(pair[-1]) + 1 if len(pair) else 0, pairs):
+            cut = slice(*np.searchsorted(pair, [low, low + pairs]))
+            first, sizes = self.starts[words[cut]], self.starts[words[cut] + 1] - self.starts[words[cut]]
+            entry = np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+            cell = np.repeat(pair[cut] - low, sizes) * len(self.rows) + self.pointed[entry]
+            most = int(pair[cut][-1]) - low + 1 if cut.stop > cut.start else 0
+            counts = np.bincount(cell, minlength=most * len(self.rows)).reshape(-1, len(self.rows))
+            hits += [(k, p + low) for p, k in np.argwhere(counts >= self.held).tolist()]
+        found: list[tuple[int, int, int]] = []
+        for k, p in sorted(hits):
+            if found and found[-1][0] == k and found[-1][2] >= (p - 1) * self.longest:
+                found[-1] = (k, found[-1][1], (p + 1) * self.longest)
+            else:
+                found.append((k, max(0, p - 1) * self.longest, (p + 1) * self.longest))
+        return found
+
+    def passages(self, k: int, codes: np.ndarray) -> list[tuple[int, int]]:
+        """Stretches outside which no run of `reach` words shares enough words with item k, each counted as often as the item has it."""
+        reach, (words, counts) = self.reach[k], self.counted[k]
+        self.times[words] = counts
+        most = self.times[codes]
+        self.times[words] = 0
+        at = np.flatnonzero(most)
+        if len(at) < self.needed[k]:
+            return []
+        order = at[np.argsort(codes[at], kind="stable")]
+        # The occurrence so many back that with it in the run this one is one too many.
+        back = np.arange(len(order)) - most[order]
+        before = order[np.maximum(back, 0)]
+        before = np.where((back >= 0) & (codes[before] == codes[order]), before, -1)
+        # It counts in the runs that begin behind that one, and at most `reach` words before it ends.
+        opens = np.sort(np.maximum(before + 1, order - reach + 1))
+        shared = np.searchsorted(opens, at, "right") - np.arange(len(at))
+        begins = at[shared >= self.needed[k]]
+        if not len(begins):
+            return []
+        cuts = np.flatnonzero(np.diff(begins) > reach)
+        return [(int(a), int(b) + reach) for a, b in zip(begins[np.r_[0, cuts + 1]], begins[np.r_[cuts, len(begins) - 1]])]
 
 
 def align(item: np.ndarray, passage: np.ndarray, least: float = 0) -> tuple[int, int, int]:
@@ -116,41 +147,18 @@ def align(item: np.ndarray, passage: np.ndarray, least: float = 0) -> tuple[int,
     return score, last - back, last
 
 
-def copies(items: Items, hashes: np.ndarray, least: float = MIN_SCORE) -> list[tuple[int, float, int, int]]:
+def copies(items: Items, codes: np.ndarray, least: float = MIN_SCORE) -> list[tuple[int, float, int, int]]:
     """(item, score, first, last word) of each item of which the document holds a copy, best passage of each."""
-    seeds: dict[int, list[tuple[int, int]]] = {}
-    for n, places, rows in items.lookup(hashes):
-        where = items.by_length[n][2]
-        for place, row in zip(places.tolist(), rows.tolist()):
-            for k, i in where[row]:
-                seeds.setdefault(k, []).append((place - i, place))
-    found = []
-    for k, hits in seeds.items():
-        item_id, words = items.rows[k]
-        length = len(words)
-        slack = length // 2 + 2
-        best = None
-        done = -1
-        needed = 1 if length - SEED_WORDS + 1 <= FEW_GRAMS else MIN_SEEDS
-        hits = sorted(hits)
-        for at, (start, place) in enumerate(hits):
-            if place <= done:  # inside the passage that was aligned last
-                continue
-            if needed > 1 and not (at + 1 < len(hits) and hits[at + 1][0] <= start + slack):
-                continue  # hits go by where the item would begin, so a second seed of the passage comes next
-            low, high = max(0, start - slack), start + length + slack
-            high = max(high, place + length)
-            done = high - slack - length // 2
-            passage = hashes[low:high]
-            if np.isin(words, passage).sum() < least * length:  # not even all shared words in line would do
-                continue
-            score, first, last = align(words, passage, least * MATCH * length)
-            share = score / (MATCH * length)
-            if share >= least and (best is None or share > best[1]):
-                best = (item_id, share, low + first, low + last)
-        if best:
-            found.append(best)
-    return found
+    best: dict[int, tuple[int, float, int, int]] = {}
+    for k, start, stop in items.candidates(codes):
+        item_id, own = items.rows[k]
+        for low, high in items.passages(k, codes[start:stop]):
+            low, high = start + low, start + high
+            score, first, last = align(own, codes[low:high], least * MATCH * len(own))
+            share = score / (MATCH * len(own))
+            if score and share >= least and (k not in best or share > best[k][1]):
+                best[k] = (item_id, share, low + first, low + last)
+    return list(best.values())
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, list[bytes]]]]:
@@ -174,9 +182,8 @@ def find_copies(
 ) -> DataFrame:
     """(key, item_id, score, first_word, last_word) of every document that holds a copy of a test item, one row per pair.
 
-    An n-gram is a seed when no more documents hold it than the median n-gram of its item, so each item keeps at least half of
-    its n-grams however often it leaked, and loses those of common words. `score` is the alignment's share of the item's best possible
-    score, over normalised words (lower case, no punctuation); words are counted from 0. Null and empty texts and items hold
+    These are all pairs in which some passage of the document scores at least `least`. `score` is the alignment's share of the item's
+    best possible score, over normalised words (lower case, no punctuation); words are counted from 0. Null and empty texts and items hold
     nothing; repeated rows each have their row; a benchmark item may have several texts.
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -188,32 +195,26 @@ def find_copies(
 
 
 def _find_block(spark: SparkSession, rows: DataFrame, kind: str, block: list[tuple[int, list[bytes]]], least: float) -> DataFrame:
-    hashes = WordHashes()
-    coded = [(i, hashes.of(w)) for i, w in block]
-    shared = spark.sparkContext.broadcast(coded)
+    shared = spark.sparkContext.broadcast(block)
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, known = Items(shared.value), WordHashes()
-        held = np.zeros(items.total, np.int64)
+        items = Items(shared.value, least)
+        held = np.zeros(len(items.places) + 1, np.int64)
         for batch in batches(parts, chars=1 << 24):
             for value in batch["text"].to_pylist():
-                words = known.of(normal_words(value))
-                for n, _, found in items.lookup(words):
-                    held[items.starts[n] + np.unique(found)] += 1
-        at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(at), "docs": pa.array(held[at])})
-
-    items = Items(coded)
-    frequency = np.zeros(items.total, np.int64)
-    for row in rows.select("text").mapInArrow(count, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs")).collect():
-        frequency[row["gram"]] = row["docs"]
-    seeds = rare_seeds(items, frequency)
+                held[np.unique(items.codes(normal_words(value)))] += 1
+        at = np.flatnonzero(held[:-1])
+        yield pa.RecordBatch.from_pydict({"word": pa.array(at), "docs": pa.array(held[at])})
+
+    frequency = np.zeros(len({w for _, own in block for w in own}), np.int64)
+    for row in rows.select("text").mapInArrow(count, "word long, docs long").groupBy("word").agg(F.sum("docs").alias("docs")).collect():
+        frequency[row["word"]] = row["docs"]
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, known = Items(shared.value), WordHashes()
-        mine.keep(seeds)
+        mine = Items(shared.value, least)
+        mine.seed(frequency)
         for batch in batches(parts, chars=1 << 24):
-            found = [(i, *c) for i, value in zip(batch["id"].to_pylist(), batch["text"].to_pylist()) for c in copies(mine, known.of(normal_words(value)), least)]
+            found = [(i, *c) for i, value in zip(batch["id"].to_pylist(), batch["text"].to_pylist()) for c in copies(mine, mine.codes(normal_words(value)), least)]
             ids, item, score, first, last = zip(*found) if found else ([],) * 5
             yield pa.RecordBatch.from_pydict(
                 {"id": pa.array(ids, batch.schema.field("id").type), "item_id": pa.array(item, pa.int64()), "score": pa.array(score, pa.float64()),
@@ -222,20 +223,6 @@ def _find_block(spark: SparkSession, rows: DataFrame, kind: str, block: list[tup
     return rows.mapInArrow(search, f"id {kind}, {HITS}")
 
 
-def rare_seeds(items: Items, frequency: np.ndarray) -> np.ndarray:
-    """Which n-grams are seeds: for some item, no commoner than the item's median n-gram."""
-    owned: dict[int, list[int]] = {}
-    for n, (_, _, where) in items.by_length.items():
-        for row, places in enumerate(where):
-            for k, _ in places:
-                owned.setdefault(k, []).append(items.starts[n] + row)
-    seeds = np.zeros(items.total, bool)
-    for rows in owned.values():
-        own = np.array(rows)
-        seeds[own[frequency[own] <= np.median(frequency[own])]] = True
-    return seeds
-
-
 def without_copies(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", least: float = MIN_SCORE) -> DataFrame:
     """The rows of `docs` that hold no copy of a test item, with all their columns."""
     mark = F.struct(F.col(f"`{key}`").alias("key"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("digest"))
