@@ -61,6 +61,15 @@ def test_learning_finds_a_pattern():
     assert rnn.Pass(model, 0).run(docs[:1])[0] > 0.5 * before
 
 
+def test_every_window_is_learnt_from():
+    docs = [np.repeat(np.arange(5), rnn.WINDOW)[:n].astype(np.int32) for n in (5 * rnn.WINDOW, 5 * rnn.WINDOW, 3 * rnn.WINDOW)]
+    model = small_model(4)
+    start = model["inputs"].copy()
+    rnn.Pass(model, 7, learn=True).run(docs)
+    moved = np.abs(model["inputs"] - start).max(axis=1) > 0
+    assert moved[[0, 1, 2, 3, 4, 7]].all() and not moved[[5, 6]].any()
+
+
 def base(docs):
     counts = Counter()
     for key, text in docs:
