@@ -15,6 +15,8 @@ from streamtab.llm.common import saved
 from streamtab.sources.files import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Near copies in a corpus: words of a shingle and least similarity in percent. Query op4 has values of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -26,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose n-gram sets are linked, the one with the smallest id stays."""
-    return partenum.one_of_each(spark, docs.select(*COLUMNS))
+    return partenum.one_of_each(spark, docs.select(*COLUMNS), n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,3 +76,13 @@ def test_empty_documents(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_between_80_and_85_percent_go(spark):
+    text = [f"w{i}" for i in range(104)]
+    own = " ".join(text)
+    near, far = (" ".join(text + [f"x{i}" for i in range(n)]) for n in (22, 27))
+    docs = spark.createDataFrame([(1, own), (2, near), (3, "other " + far.replace("w", "v")), (4, far.replace("w", "u")), (5, own.replace("w", "u"))], "doc_id long, text string")
+    docs = docs.selectExpr("*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    # 100 shingles of five words in 122 are common to 1 and 2; 100 in 127 to 4 and 5.
+    assert ids(cp.near_duplicates(spark, docs, FOLDER)) == {1, 3, 4, 5}
