@@ -1,4 +1,4 @@
-"""The queries of the ten operators and of the pipeline, over whole tables and with production parameters."""
+"""The queries of the operators and of the pipeline, over whole tables and with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from streamtab.llm import chat, decontam, license, lines, lm, mix, partenum, quality, tokens, warc
+from streamtab.llm import chat, decontam, license, lines, lm, minhash, mix, partenum, planes, quality, spelling, tokens, warc
 from streamtab.llm.common import saved
 from streamtab.llm.registry import QUERIES, SQL, query  # noqa: F401
 from streamtab.sources.files import table
@@ -147,6 +147,113 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_documents(spark, table(spark, folder, "documents").select("doc_id", "text"))
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_MINHASH_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT rid, array_to_string(list_slice(ws, i, i + {minhash.SHINGLE - 1}), ' ') AS shingle
+  FROM (SELECT rid, ws, unnest(generate_series(1, greatest(len(ws) - {minhash.SHINGLE - 1}, 1))) AS i FROM d WHERE len(ws) > 0)
+), c AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.rid < b.rid GROUP BY ALL),
+e AS (
+  SELECT x, y FROM p JOIN c a ON x = a.rid JOIN c b ON y = b.rid WHERE 100 * common >= {minhash.PERCENT} * (a.n + b.n - common)
+), both_ways AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach(x, y) AS (SELECT rid, rid FROM d UNION SELECT reach.x, b.y FROM reach JOIN both_ways b ON reach.y = b.x),
+least AS (SELECT reach.x AS rid, min(doc_id) AS component_id FROM reach JOIN d ON reach.y = d.rid GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d LEFT JOIN c USING (rid) JOIN least USING (rid)
+"""
+
+
+@query("op11_minhash_dedup", _MINHASH_SQL)
+def minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return minhash.near_copies(spark, docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _planes_sql() -> str:
+    """One block of expressions per round."""
+    apart = "list_sum(list_transform(generate_series(1, 64), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+    parts = [
+        """v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS k, v AS c FROM (SELECT sha256('3:' || vec_id) AS h, v FROM v) ORDER BY k LIMIT 8
+)"""
+    ]
+    for r in range(planes.ROUNDS + 1):
+        parts.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, min(row(apart, k)) AS best
+  FROM (SELECT rid, vec_id, v, k, CAST({apart} AS BIGINT) AS apart FROM v CROSS JOIN c{r}) GROUP BY rid)"""
+        )
+        if r < planes.ROUNDS:
+            parts.append(
+                f"""t{r} AS (SELECT best[2] AS k, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, (SELECT unnest(generate_series(1, 64)) AS i) GROUP BY ALL),
+m{r} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM t{r} GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT k, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (k))"""
+            )
+    last = planes.ROUNDS
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, best[1] AS distance, CAST(sum(best[1]) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} ON best[2] = k"""
+
+
+@query("op12_centroid_clustering", _planes_sql())
+def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return planes.cluster_vectors(spark, table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+# CRC-32 by its table, which follows from the polynomial; near words share the word with one code point gone or masked.
+_SPELLING_SQL = f"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(CAST(b AS BIGINT), generate_series(1, 8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM (SELECT unnest(generate_series(0, 255)) AS b)
+), r AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents) GROUP BY ALL
+), h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(
+           generate_series(1, octet_length(encode(m))), lambda i: CAST('0x' || substr(hex(encode(m)), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT))),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS m FROM r), crc
+), f AS (
+  SELECT CASE WHEN h % {spelling.EDIT_EVERY} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h
+), w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM f GROUP BY word HAVING length(word) >= {spelling.LETTERS} AND sum(n) >= {spelling.OCCURRENCES}
+), k AS (
+  SELECT word, substr(word, 1, i - 1) || substr(word, i + 1) AS short, i, substr(word, 1, i - 1) || ' ' || substr(word, i + 1) AS masked
+  FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM w)
+), p AS MATERIALIZED (
+  SELECT DISTINCT a.word AS x, b.word AS y FROM k a JOIN k b ON a.masked = b.masked AND a.word <> b.word
+  UNION SELECT k.word, w.word FROM k JOIN w ON k.short = w.word
+  UNION SELECT w.word, k.word FROM k JOIN w ON k.short = w.word
+), b AS (
+  SELECT x, count(*) AS n_near, min(row(-n, y)) AS best FROM p JOIN w ON p.y = w.word GROUP BY x
+), g AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= {spelling.RATIO} * n THEN best[2] END AS form,
+         CASE WHEN -best[1] >= {spelling.RATIO} * n THEN -best[1] END AS form_n
+  FROM w LEFT JOIN b ON word = x
+), chain AS (
+  WITH RECURSIVE steps(word, root) AS (SELECT word, word FROM g UNION ALL SELECT steps.word, g.form FROM steps JOIN g ON root = g.word AND g.form IS NOT NULL)
+  SELECT steps.word, root FROM steps JOIN g ON root = g.word AND g.form IS NULL
+)
+SELECT g.word, form, root, n, n_near, form_n FROM g JOIN chain USING (word)
+"""
+
+
+@query("op13_spelling_groups", _SPELLING_SQL)
+def spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spelling.group_spellings(spark, docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)

@@ -45,5 +45,5 @@ def test_source_mix(spark):
 
 
 def test_names():
-    assert [n for n in QUERIES if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert [n for n in QUERIES if n.startswith("op")] and {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in QUERIES and set(SQL) <= set(QUERIES)

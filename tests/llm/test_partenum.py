@@ -28,8 +28,8 @@ def sets_of(text, n=4):
     return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) or (frozenset([tuple(w)]) if w else frozenset())
 
 
-def brute(docs, percent=85):
-    sets = [sets_of(t) for _, t in docs]
+def brute(docs, percent=85, n=4):
+    sets = [sets_of(t, n) for _, t in docs]
     root = list(range(len(docs)))
 
     def find(x):
