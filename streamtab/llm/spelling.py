@@ -1,11 +1,12 @@
 """Spelling variants by a trie over letter-group counts.
 
-A word's frequency vector counts its letters in 16 groups. One inserted letter raises one count by one, a deleted one lowers one, a
+A word's frequency vector counts its letters in 21 groups. One inserted letter raises one count by one, a deleted one lowers one, a
 replaced one does both, or neither within a group. So all near words of a word lie on paths of the trie of vectors that leave
 its own path by at most one surplus and one deficit. A depth-first search spends that budget, and the words of the leaves it
-reaches are verified letter by letter.
+reaches are verified letter by letter. Of two near words that with the smaller vector asks, of one vector the smaller word: the
+deficit is only spent below the surplus, and every pair is met once.
 
-The top levels of the trie are the partitioning: a word is stored under its first counts and asked for under every first counts that
+The top levels of the trie are the partitioning: a word is stored under its first counts and asks under every first counts that
 its budget reaches, so a task holds one subtree at a time. A subtree with many words is dealt into pieces of bounded size, and the
 words that ask are sent to each piece.
 """
@@ -30,12 +31,14 @@ LETTERS = 6
 OCCURRENCES = 5
 RATIO = 5
 # Levels of the trie from the top: letters whose counts tell most words apart first. What is in no group is in the last one.
-GROUPS = ("e", "a", "ts", "on", "ir", "lh", "ud", "cm", "gp", "bf", "vw", "ky", "jx", "qz", "áéíóú")
+GROUPS = (*"eatsonirlhudcm", "gp", "bf", "vw", "ky", "jx", "qz", "áéíóú")
 LEVELS = len(GROUPS) + 1
 # Levels by which words are dealt to tasks.
-TOP = 4
+TOP = 6
 # Words of one subtree that a task holds at a time.
-PIECE = 1 << 14
+PIECE = 1 << 13
+# What of the budget is spent: nothing, the surplus, both.
+FRESH, SURPLUS, BOTH = 0, 1, 2
 # Distinct words of which a task counts occurrences before it hands them on.
 HELD = 1 << 17
 _GROUP = {letter: i for i, letters in enumerate(GROUPS) for letter in letters}
@@ -62,18 +65,16 @@ def vector(word: str) -> bytes:
     return bytes(min(c, 255) for c in counts)
 
 
-def reachable(top: bytes) -> Iterator[tuple[bytes, int, int]]:
-    """(first counts, surplus left, deficit left) of every subtree that a word with these first counts has to ask, each once."""
-    yield top, 1, 1
+def reachable(top: bytes) -> Iterator[tuple[bytes, int]]:
+    """(first counts, budget spent) of every subtree that a word with these first counts has to ask, each once."""
+    yield top, FRESH
     for i, count in enumerate(top):
         if count < 255:
-            yield top[:i] + bytes([count + 1]) + top[i + 1 :], 0, 1
-        if count:
-            down = top[:i] + bytes([count - 1]) + top[i + 1 :]
-            yield down, 1, 0
-            for j, other in enumerate(top):
-                if j != i and other < 255:
-                    yield down[:j] + bytes([other + 1]) + down[j + 1 :], 0, 0
+            up = top[:i] + bytes([count + 1]) + top[i + 1 :]
+            yield up, SURPLUS
+            for j in range(i + 1, len(top)):
+                if top[j]:
+                    yield up[:j] + bytes([top[j] - 1]) + up[j + 1 :], BOTH
 
 
 def near(a: str, b: str) -> bool:
@@ -89,7 +90,7 @@ def near(a: str, b: str) -> bool:
 
 
 class Trie:
-    """Words under their counts from level `depth` on."""
+    """Words under their counts from level `depth` on: dicts by count, a list of (word, n) below the last."""
 
     def __init__(self, depth: int = 0):
         self.depth, self.root = depth, {}
@@ -100,23 +101,35 @@ class Trie:
             node = node.setdefault(count, {})
         node.setdefault(counts[-1], []).append((word, n))
 
-    def search(self, counts: bytes, surplus: int, deficit: int) -> Iterator[tuple[str, int]]:
-        """Words on paths that leave `counts` by at most so many more and so many fewer letters."""
-        last = LEVELS - 1
-        stack = [(self.root, self.depth, surplus, deficit)]
+    def search(self, counts: bytes, spent: int) -> list[tuple[str, int]]:
+        """Words of the leaves on paths that leave `counts` by one letter more at most, and below that by one fewer at most."""
+        found, stack = [], [(self.root, self.depth, spent)]
         while stack:
-            node, level, more, fewer = stack.pop()
-            count = counts[level]
-            for step, up, down in ((0, more, fewer), (1, more - 1, fewer), (-1, more, fewer - 1)):
-                if up < 0 or down < 0:
-                    continue
-                child = node.get(count + step)
-                if child is None:
-                    continue
-                if level == last:
-                    yield from child
-                else:
-                    stack.append((child, level + 1, up, down))
+            node, level, spent = stack.pop()
+            while node is not None and level < LEVELS:
+                count = counts[level]
+                level += 1
+                if spent == FRESH:
+                    child = node.get(count + 1)
+                    if child is not None:
+                        stack.append((child, level, SURPLUS))
+                elif spent == SURPLUS:
+                    child = node.get(count - 1)
+                    if child is not None:
+                        stack.append((child, level, BOTH))
+                node = node.get(count)
+            if node is not None:
+                found += node
+        return found
+
+    def near(self, counts: bytes, spent: int, word: str) -> Iterator[tuple[str, int]]:
+        """The near words that `word` asks for: all it reaches that come after it by vector and letters."""
+        half = len(word) // 2
+        start, end = word[:half], word[half:]
+        for other, n in self.search(counts, spent):
+            # One edit leaves the first or the second half as it is.
+            if (other.startswith(start) or other.endswith(end)) and near(word, other) and (word < other or vector(other) != counts):
+                yield other, n
 
 
 def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", every: int = EDIT_EVERY) -> DataFrame:
@@ -142,67 +155,74 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", every:
     return rows.mapInArrow(read, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _asking(words: DataFrame) -> DataFrame:
-    """(cell, asks, word, n, surplus, deficit) of the subtrees a word asks."""
+def _placed(words: DataFrame) -> DataFrame:
+    """(cell, word, n, counts): every word with its vector, under the subtree it is in."""
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(parts, rows=2000):
-            out = [[], [], [], [], []]
-            for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
-                for cell, surplus, deficit in reachable(vector(word)[:TOP]):
-                    for column, value in zip(out, (cell, word, n, surplus, deficit)):
-                        column.append(value)
-            kinds = (pa.binary(), pa.string(), pa.int64(), pa.int8(), pa.int8())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["cell", "word", "n", "surplus", "deficit"])
+        for batch in batches(parts, rows=10_000):
+            counts = [vector(w) for w in batch["word"].to_pylist()]
+            cells = [c[:TOP] for c in counts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cells, pa.binary()), batch["word"], batch["n"], pa.array(counts, pa.binary())], ["cell", "word", "n", "counts"]
+            )
 
-    return words.mapInArrow(read, "cell binary, word string, n long, surplus byte, deficit byte")
+    return words.mapInArrow(read, "cell binary, word string, n long, counts binary")
 
 
-def _stored(words: DataFrame) -> DataFrame:
-    """(cell, word, n): every word under the subtree it is in."""
+def _asking(placed: DataFrame) -> DataFrame:
+    """(cell, word, n, counts, spent) of the subtrees a word asks."""
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(parts, rows=10_000):
-            cells = [vector(w)[:TOP] for w in batch["word"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary()), batch["word"], batch["n"]], ["cell", "word", "n"])
+        for batch in batches(parts, rows=2000):
+            cells, spent, rows = [], [], []
+            for i, top in enumerate(batch["cell"].to_pylist()):
+                for cell, state in reachable(top):
+                    cells.append(cell)
+                    spent.append(state)
+                    rows.append(i)
+            rows = pa.array(rows, pa.int64())
+            own = [batch[c].take(rows) for c in ("word", "n", "counts")]
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary()), *own, pa.array(spent, pa.int8())], ["cell", "word", "n", "counts", "spent"])
 
-    return words.mapInArrow(read, "cell binary, word string, n long")
+    return placed.mapInArrow(read, "cell binary, word string, n long, counts binary, spent byte")
 
 
 def near_words(spark: SparkSession, words: DataFrame, piece: int = PIECE) -> DataFrame:
     """(word, n_near, best_n, best) of the words of (word, n) that have near ones: how many, and the one of largest n, of equal n the first."""
-    stored = saved(spark, _stored(words), "spelling-stored")
-    cells = stored.groupBy("cell").agg(F.ceil(F.count("*") / piece).cast("int").alias("pieces"))
+    placed = saved(spark, _placed(words), "spelling-placed")
+    cells = placed.groupBy("cell").agg(F.ceil(F.count("*") / piece).cast("int").alias("pieces"))
     cells = saved(spark, cells, "spelling-cells")
-    # Only subtrees that exist are asked, each piece of them; `asks` puts the stored words of a piece before those that ask.
-    asking = _asking(words).join(cells, "cell").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    asking = asking.select("cell", "piece", F.lit(1).cast("byte").alias("asks"), "word", "n", "surplus", "deficit")
-    own = stored.join(cells, "cell").select(
-        "cell", F.pmod(F.xxhash64("word"), F.col("pieces")).cast("int").alias("piece"), F.lit(0).cast("byte").alias("asks"), "word", "n",
-        F.lit(0).cast("byte").alias("surplus"), F.lit(0).cast("byte").alias("deficit"),
-    )
+    # Only subtrees that exist are asked, each piece of them. The stored words of a piece, `spent` null, come before those that ask.
+    asking = _asking(placed).join(cells, "cell").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    asking = asking.select("cell", "piece", "word", "n", "counts", "spent")
+    own = placed.join(cells, "cell").select(
+        "cell", F.pmod(F.xxhash64("word"), F.col("pieces")).cast("int").alias("piece"), "word", "n", "counts", F.lit(None).cast("byte").alias("spent")
+    )
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, trie = None, Trie(TOP)
         for batch in batches(parts, rows=5000):
-            out = [[], [], [], []]
-            columns = (batch[c].to_pylist() for c in ("cell", "piece", "asks", "word", "n", "surplus", "deficit"))
-            for cell, part, asks, word, n, surplus, deficit in zip(*columns):
+            # Word to (near words, -n of the best, best).
+            found: dict[str, tuple[int, int, str]] = {}
+
+            def tell(word: str, other: str, n: int, found: dict = found) -> None:
+                seen, least, best = found.get(word, (0, 1, ""))
+                found[word] = (seen + 1, *min((least, best), (-n, other)))
+
+            for cell, part, word, n, counts, spent in zip(*(batch[c].to_pylist() for c in ("cell", "piece", "word", "n", "counts", "spent"))):
                 if (cell, part) != current:
                     current, trie = (cell, part), Trie(TOP)
-                counts = vector(word)
-                if not asks:
+                if spent is None:
                     trie.add(counts, word, n)
                     continue
-                found = [(-k, other) for other, k in trie.search(counts, surplus, deficit) if near(word, other)]
-                if found:
-                    best = min(found)
-                    for column, value in zip(out, (word, len(found), -best[0], best[1])):
-                        column.append(value)
+                for other, k in trie.near(counts, spent, word):
+                    tell(word, other, k)
+                    tell(other, word, n)
+            columns = zip(*((w, k, -n, best) for w, (k, n, best) in found.items())) if found else ((),) * 4
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["word", "n_near", "best_n", "best"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["word", "n_near", "best_n", "best"])
 
-    together = own.unionByName(asking).repartition("cell", "piece").sortWithinPartitions("cell", "piece", "asks")
+    together = own.unionByName(asking).repartition("cell", "piece").sortWithinPartitions("cell", "piece", F.col("spent").asc_nulls_first())
     found = together.mapInArrow(search, "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("k"), F.col("best").alias("best")))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b")).select(

@@ -66,15 +66,17 @@ def test_near_and_reach(a, b, place, letter):
     for other in (b, a, a[:place] + a[place + 1 :], a[:place] + letter + a[place:], a[:place] + letter + a[place + 1 :]):
         assert spelling.near(a, other) == (distance(a, other) == 1)
         if spelling.near(a, other) and other:
-            trie = spelling.Trie()
-            trie.add(spelling.vector(other), other, 1)
-            assert list(trie.search(spelling.vector(a), 1, 1)) == [(other, 1)]
-            mine, top = spelling.vector(a), spelling.vector(other)[: spelling.TOP]
-            routes = [(s, d) for cell, s, d in spelling.reachable(mine[: spelling.TOP]) if cell == top]
-            assert len(routes) == 1
-            below = spelling.Trie(spelling.TOP)
-            below.add(spelling.vector(other), other, 1)
-            assert list(below.search(mine, *routes[0])) == [(other, 1)]
+            # One of the two asks, in the whole trie and in the one subtree that it is sent to.
+            for depth in (0, spelling.TOP):
+                hits = []
+                for word, stored in ((a, other), (other, a)):
+                    counts, kept = spelling.vector(word), spelling.vector(stored)
+                    routes = [s for cell, s in spelling.reachable(counts[:depth]) if cell == kept[:depth]]
+                    assert len(routes) <= 1
+                    trie = spelling.Trie(depth)
+                    trie.add(kept, stored, 1)
+                    hits += [hit for s in routes for hit in trie.near(counts, s, word)]
+                assert len(hits) == 1
 
 
 def corpus(seed):
