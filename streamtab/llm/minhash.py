@@ -2,7 +2,8 @@
 
 A document is the set of its distinct word shingles, and its signature the least value of each of 128 universal hash functions over
 that set. Four minima in a row make a band; two documents that share a band are candidates. At 85 % a pair misses all
-32 bands with probability 5e-11. Candidates are compared by their signatures, then by their whole sets, so no link is wrong.
+32 bands with probability 5e-11. Candidates are compared by their signatures and by parity sketches, whose distance is a lower bound
+of the number of elements two sets differ in, then by their whole sets, so no link is wrong.
 
 Documents with equal sets are one class (a 64-bit digest of the set), and classes are what is compared. A bucket of a
 band is never expanded into its pairs: its members are first compared with one of them only, and afterwards only members that
@@ -35,7 +36,7 @@ LONG_BANDS, LONG_ROWS = 160, 8
 # A linked pair with fewer equal minima than the signature test asks for is as rare as this.
 RISK = 1e-9
 # Members of one bucket that one task compares with as many others at a time.
-BLOCK = 512
+BLOCK = 2048
 FILTER_BITS = 24
 # Shingles hashed at a time: what a core's cache holds.
 _STRETCH = 1 << 14
@@ -107,6 +108,28 @@ def bands(signatures: np.ndarray) -> np.ndarray:
     return total
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """Parity of the number of elements in each of a power of two of bits, two to four an element (256 to 16384)."""
+    size = min(max(256, 1 << (2 * len(elements)).bit_length()), 16384)
+    bits = np.bincount((mixed(elements * _MIX) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A sketch, or a matrix of them, of 64-bit words as the shorter sketch that the same elements make."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def may_link(sizes: tuple[int, int], sketches: tuple[bytes, bytes], percent: int = PERCENT) -> bool:
+    """Whether two sets can be linked: every element that only one of them has flips one parity."""
+    a, b = (np.frombuffer(x, np.uint64) for x in sketches)
+    words = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum()) * (100 + percent) <= (100 - percent) * sum(sizes)
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= percent * (len(a) + len(b) - common)
@@ -152,7 +175,7 @@ def banded(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _members(spark: SparkSession, texts: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """(class, size, signature, elements) of the wanted classes.
+    """(class, size, signature, sketch, elements) of the wanted classes.
 
     A filter of fixed size, a bit per wanted class, tells most other texts apart; the join that follows is exact.
     """
@@ -183,10 +206,11 @@ def _members(spark: SparkSession, texts: DataFrame, classes: DataFrame, n: int)
             if names:
                 yield pa.RecordBatch.from_pydict({
                     "class": pa.array(names, pa.int64()), "size": pa.array([len(s) for s in sets], pa.int64()),
-                    "signature": _lists(minima(sets).view(np.int32), pa.int32()),
+                    "signature": _lists(minima(sets).view(np.int32), pa.int32()), "sketch": pa.array([sketch(s) for s in sets], pa.binary()),
                     "elements": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))})
 
-    found = texts.mapInArrow(read, "class long, size long, signature array<int>, elements array<long>").join(classes, "class", "left_semi")
+    kinds = "class long, size long, signature array<int>, sketch binary, elements array<long>"
+    found = texts.mapInArrow(read, kinds).join(classes, "class", "left_semi")
     return saved(spark, found.dropDuplicates(["class"]), "minhash-members")
 
 
@@ -195,7 +219,7 @@ def _matrix(column: pa.ListArray) -> np.ndarray:
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of `pairs` that are linked: by sizes and signatures first, then by the sets themselves."""
+    """The (a, b) of `pairs` that are linked: by sizes, signatures and sketches first, then by the sets themselves."""
     enough = least_equal(percent)
 
     def alike(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +227,10 @@ def _verified(spark: SparkSession, pairs: DataFrame, members: DataFrame, percent
             if batch.num_rows:
                 small, large = (f(batch["size_a"].to_numpy(), batch["size_b"].to_numpy()) for f in (np.minimum, np.maximum))
                 equal = (_matrix(batch["signature_a"]) == _matrix(batch["signature_b"])).sum(axis=1)
-                yield batch.select(["a", "b"]).filter(pa.array((100 * small >= percent * large) & (equal >= enough)))
+                fits = (100 * small >= percent * large) & (equal >= enough)
+                facts = (batch[c].to_pylist() for c in ("size_a", "size_b", "sketch_a", "sketch_b"))
+                fits &= np.fromiter((may_link(f[:2], f[2:], percent) for f in zip(*facts)), bool, batch.num_rows)
+                yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     def exact(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts, chars=1 << 24):
@@ -218,7 +245,7 @@ def _verified(spark: SparkSession, pairs: DataFrame, members: DataFrame, percent
             rows = rows.join(members.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
         return rows.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
 
-    near = saved(spark, beside(["size", "signature"], pairs).mapInArrow(alike, "a long, b long"), "minhash-near")
+    near = saved(spark, beside(["size", "signature", "sketch"], pairs).mapInArrow(alike, "a long, b long"), "minhash-near")
     return saved(spark, beside(["elements"], near).mapInArrow(exact, "a long, b long"), "minhash-links")
 
 
@@ -280,7 +307,7 @@ def _divided(rows: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _across(spark: SparkSession, rows: DataFrame, members: DataFrame, percent: int, forest: bool, block: int) -> DataFrame:
-    """Pairs of one bucket and different components whose sizes and signatures allow a link.
+    """Pairs of one bucket and different components whose sizes, signatures and sketches allow a link.
 
     A bucket is dealt into blocks of about `block` members; every two of its blocks meet in one task. With `forest`, of the pairs found
     there only as many are named as connect their components.
@@ -294,11 +321,19 @@ def _across(spark: SparkSession, rows: DataFrame, members: DataFrame, percent: i
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "label")
-    dealt = dealt.join(members.select("class", "size", "signature"), "class")
+    dealt = dealt.join(members.select("class", "size", "sketch", "signature"), "class")
 
     def pairs(held: list[tuple]) -> Iterator[tuple[int, int]]:
         own, names, labels, sizes = (np.array(c) for c in list(zip(*held))[:4])
-        signatures = np.stack([h[4] for h in held])
+        signatures = np.stack([h[5] for h in held])
+        widths = np.array([len(h[4]) // 8 for h in held])
+        # Sketches of each width and of wider ones, folded to it.
+        sketches, places = {}, {}
+        for width in np.unique(widths):
+            wide = np.flatnonzero(widths >= width)
+            sketches[width] = np.stack([folded(np.frombuffer(held[i][4], np.uint64), width) for i in wide])
+            places[width] = np.full(len(held), -1)
+            places[width][wide] = np.arange(len(wide))
         root: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -311,13 +346,18 @@ def _across(spark: SparkSession, rows: DataFrame, members: DataFrame, percent: i
             other = right[(labels[right] != labels[a]) & (100 * np.minimum(sizes[right], sizes[a]) >= percent * np.maximum(sizes[right], sizes[a]))]
             if left is right:
                 other = other[other > a]
-            for b in other[(signatures[other] == signatures[a]).sum(axis=1) >= enough]:
-                if forest:
-                    x, y = find(int(labels[a])), find(int(labels[b]))
-                    if x == y:
-                        continue
-                    root[x] = y
-                yield min(names[a], names[b]), max(names[a], names[b])
+            other = other[(signatures[other] == signatures[a]).sum(axis=1) >= enough]
+            shared = np.minimum(widths[other], widths[a])
+            for width in np.unique(shared):
+                some = other[shared == width]
+                flipped = np.bitwise_count(sketches[width][places[width][some]] ^ sketches[width][places[width][a]]).sum(axis=1, dtype=np.int64)
+                for b in some[flipped * (100 + percent) <= (100 - percent) * (sizes[some] + sizes[a])]:
+                    if forest:
+                        x, y = find(int(labels[a])), find(int(labels[b]))
+                        if x == y:
+                            continue
+                        root[x] = y
+                    yield min(names[a], names[b]), max(names[a], names[b])
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, current = [], None
@@ -325,7 +365,7 @@ def _across(spark: SparkSession, rows: DataFrame, members: DataFrame, percent: i
             found = []
             if batch.num_rows:
                 keys = zip(*(batch[c].to_pylist() for c in ("bucket", "i", "j")))
-                facts = zip(*(batch[c].to_pylist() for c in ("own", "class", "label", "size")), _matrix(batch["signature"]).copy())
+                facts = zip(*(batch[c].to_pylist() for c in ("own", "class", "label", "size", "sketch")), _matrix(batch["signature"]).copy())
                 for key, fact in zip(keys, facts):
                     if key != current:
                         found += pairs(held) if held else ()

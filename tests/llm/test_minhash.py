@@ -37,7 +37,7 @@ def families(seed):
     return docs
 
 
-@pytest.mark.parametrize("block", [512, 4])
+@pytest.mark.parametrize("block", [2048, 4])
 def test_components_against_brute_force(spark, block):
     docs = families(3)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
@@ -68,6 +68,7 @@ def test_linked_pairs_pass_the_signature_test():
             apart = int(size * 15 / 85)
             a, b = (np.unique(np.concatenate([common, x])) for x in np.split(rng.integers(0, 1 << 63, 2 * (apart // 2), dtype=np.uint64), 2))
             assert minhash.linked(a, b)
+            assert minhash.may_link((len(a), len(b)), (minhash.sketch(a), minhash.sketch(b)))
             x, y = minhash.minima([a, b])
             assert (x == y).sum() >= enough
             assert (minhash.bands(np.stack([x]))[0] == minhash.bands(np.stack([y]))[0]).any()
