@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from streamtab.catalog import patterns
 from streamtab.catalog.aggregates import ORDER, _ARRIVALS, arrivals
-from streamtab.catalog.base import EV, ev_stream, query
+from streamtab.catalog.base import EV, SQL, ev, ev_stream, query
 from streamtab.catalog.sources import _REQUEST_URL, requests
 from streamtab.functions.text import is_page_request
 from streamtab.operators import aggregate, combine, eventtime, windows
-from streamtab.functions.times import micros
+from streamtab.functions.times import epoch_us, micros
+from streamtab.plans import jobs as batch_jobs
 from streamtab.sources.files import table_stream
 from streamtab.streaming import jobs, stateful
 from streamtab.streaming.run import drain, drain_latest
@@ -29,6 +30,13 @@ def timed(spark, folder, delay=DISORDER):
     return eventtime.with_event_time(ev_stream(spark, folder, micros(delay) // 1_000_000), "ts", delay)
 
 
+def timed_to_the_end(spark, folder, delay=DISORDER):
+    """The same events with the watermark beyond the last of them in the end; the row that takes it there is left out behind the watermark."""
+    rows = eventtime.with_event_time(ev_stream(spark, folder, micros(delay) // 1_000_000, closed=True), "ts", delay)
+    # One condition that names the time as well: it is not moved before the watermark.
+    return rows.where(F.coalesce(F.col("event_id") * 0, F.unix_micros("ts")) == 0)
+
+
 def _closed_counts(delay: str) -> str:
     return f"""
     SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS window_start,
@@ -91,20 +99,96 @@ def stream_hot_items(spark, folder):
     return jobs.hot_items(timed(spark, folder).withColumnRenamed("k", "item_id"), "item_id")
 
 
-@query(
-    "stream_hot_pages",
-    f"""
-    WITH {EV}, v AS (SELECT *, {_REQUEST_URL} AS url FROM ev WHERE event_type <> 'signup'),
-    h AS (SELECT url, time_bucket(INTERVAL '1 minute', ts) + (i * INTERVAL '1 minute') AS window_end
-        FROM v, (SELECT unnest(generate_series(1, 10)) AS i) WHERE NOT regexp_matches(url, '\\.(css|js|png|ico)$')),
-    c AS (SELECT url, window_end, count(*) AS cnt FROM h GROUP BY ALL)
-    SELECT url, window_end, cnt, CAST(row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS INTEGER) AS rank
-    FROM c QUALIFY rank <= 3
-    """,
-)
+@query("stream_hot_pages", SQL["hot_pages"])
 def stream_hot_pages(spark, folder):
-    views = requests(timed(spark, folder, "1 minute 1 second")).where(is_page_request(F.col("method"), F.col("url")))
-    return jobs.hot_pages(views.select("ts", "url"), 3, "10 minutes", "1 minute")
+    views = requests(timed_to_the_end(spark, folder, "1 minute 1 second"))
+    return jobs.hot_pages(views, 3, "10 minutes", "5 seconds")
+
+
+def _marketing(rows):
+    channel = F.concat(F.lit("ch"), F.pmod("user_id", F.lit(3)))
+    return rows.select("ts", channel.alias("channel"), F.col("event_type").alias("behavior"))
+
+
+def _per_hour(windows_of: str) -> str:
+    """Every window of a key in one row per hour: how many, their sum, the greatest count and a sum that tells their places."""
+    return f"""
+    SELECT channel, behavior, time_bucket(INTERVAL '1 hour', window_end) AS hour, count(*) AS n_windows, CAST(sum(cnt) AS BIGINT) AS total,
+    max(cnt) AS most, CAST(sum(cnt * (epoch_us(window_end) // 1000000 % 3600 + 1)) AS BIGINT) AS placed FROM ({windows_of}) GROUP BY ALL
+    """
+
+
+def _hourly_windows(counts):
+    place = F.pmod(F.floor(epoch_us("window_end") / F.lit(1_000_000)), F.lit(3600)) + 1
+    return counts.groupBy("channel", "behavior", F.date_trunc("hour", "window_end").alias("hour")).agg(
+        F.count("*").alias("n_windows"), F.sum("cnt").alias("total"), F.max("cnt").alias("most"), F.sum(F.col("cnt") * place).alias("placed")
+    )
+
+
+_FIVE_SECONDS = """
+    SELECT {key}, time_bucket(INTERVAL '5 seconds', ts) + (i * INTERVAL '5 seconds') AS window_end, count(*) AS cnt
+    FROM events, (SELECT unnest(generate_series(1, 720)) AS i) WHERE event_type <> 'error' GROUP BY ALL
+"""
+_CHANNELS_5S = _per_hour(_FIVE_SECONDS.format(key="'ch' || CAST(user_id % 3 AS VARCHAR) AS channel, event_type AS behavior"))
+_TOTAL_5S = _per_hour(_FIVE_SECONDS.format(key="'total' AS channel, 'total' AS behavior"))
+
+
+@query("channel_counts_5s", _CHANNELS_5S)
+def channel_counts_5s(spark, folder):
+    """All windows of one hour every five seconds, told by the hour."""
+    return _hourly_windows(batch_jobs.channel_counts(_marketing(ev(spark, folder)), "ts", "channel", "behavior", "error"))
+
+
+@query("channel_total_5s", _TOTAL_5S)
+def channel_total_5s(spark, folder):
+    return _hourly_windows(batch_jobs.channel_total(_marketing(ev(spark, folder)), "ts", "behavior", "error"))
+
+
+@query("stream_channel_counts", _CHANNELS_5S)
+def stream_channel_counts(spark, folder):
+    counts = batch_jobs.channel_counts(_marketing(timed_to_the_end(spark, folder)), "ts", "channel", "behavior", "error")
+    return _hourly_windows(drain(counts, "channel_counts"))
+
+
+@query("stream_channel_total", _TOTAL_5S)
+def stream_channel_total(spark, folder):
+    counts = batch_jobs.channel_total(_marketing(timed_to_the_end(spark, folder)), "ts", "behavior", "error")
+    return _hourly_windows(drain(counts, "channel_total"))
+
+
+_PANES_1S = """
+    SELECT event_type, time_bucket(INTERVAL '1 hour', window_end) AS hour, count(*) AS n_windows, CAST(sum(cnt) AS BIGINT) AS cnt,
+    CAST(sum(CAST(round(total * 1000) AS BIGINT)) AS BIGINT) AS total, min(lo) AS lo, max(hi) AS hi,
+    CAST(sum(CAST(round((lo + hi) * 1000) AS BIGINT) * (epoch_us(window_end) // 1000000 % 3600 + 1)) AS BIGINT) AS placed FROM (
+        SELECT event_type, time_bucket(INTERVAL '1 second', ts) + (i * INTERVAL '1 second') AS window_end, count(*) AS cnt,
+        sum(value) AS total, min(value) AS lo, max(value) AS hi
+        FROM events, (SELECT unnest(generate_series(1, 3600)) AS i) GROUP BY ALL) GROUP BY ALL
+"""
+
+
+def _hourly_values(spark, folder, rows):
+    aggs = {"cnt": ("count", "*"), "total": ("sum", "value"), "lo": ("min", "value"), "hi": ("max", "value")}
+    return windows.slide(rows, "ts", "1 hour", "1 second", ["event_type"], aggs)
+
+
+def _told(out):
+    place = F.pmod(F.floor(epoch_us("window_end") / F.lit(1_000_000)), F.lit(3600)) + 1
+    thousandths = [F.round(c * 1000).cast("bigint") for c in (F.col("total"), F.col("lo") + F.col("hi"))]
+    return out.groupBy("event_type", F.date_trunc("hour", "window_end").alias("hour")).agg(
+        F.count("*").alias("n_windows"), F.sum("cnt").alias("cnt"), F.sum(thousandths[0]).alias("total"), F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"), F.sum(thousandths[1] * place).alias("placed"),
+    )
+
+
+@query("pane_slide_1s", _PANES_1S)
+def pane_slide_1s(spark, folder):
+    """Sums and extremes of one hour every second, told by the hour."""
+    return _told(_hourly_values(spark, folder, ev(spark, folder)))
+
+
+@query("stream_pane_slide", _PANES_1S)
+def stream_pane_slide(spark, folder):
+    return _told(drain(_hourly_values(spark, folder, timed_to_the_end(spark, folder)), "pane_slide"))
 
 
 @query(

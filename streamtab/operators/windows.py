@@ -50,16 +50,20 @@ def slide(
     """Sliding windows: keys, window_end and mergeable aggregates, name -> (count|sum|min|max|avg, column or '*').
 
     `expand` lets Spark copy each row into size/step windows; `panes` folds rows into non-overlapping panes first and
-    combines panes, so the copies are of panes and not of rows. `auto` takes panes for long windows; both forms return
-    the same types.
+    combines panes, so the copies are of panes and not of rows; on a stream each closed window is emitted once, append mode. `auto` takes
+    panes for long windows; both forms return the same types.
     """
     if strategy == "auto":
-        strategy = "expand" if micros(size) // micros(step) <= EXPAND_LIMIT or df.isStreaming else "panes"
+        strategy = "expand" if micros(size) // micros(step) <= EXPAND_LIMIT else "panes"
     if strategy == "expand":
         out = df.groupBy(F.window(F.col(ts), size, step).alias("_w"), *keys).agg(
             *[_plain_agg(kind, col).alias(n) for n, (kind, col) in aggs.items()]
         )
         return out.select(*keys, F.col("_w.end").alias("window_end"), *aggs.keys())
+    if df.isStreaming:
+        from streamtab.streaming.panes import slide_stream
+
+        return slide_stream(df, ts, size, step, keys, aggs)
     return _slide_panes(df, ts, micros(size), micros(step), keys, aggs)
 
 
@@ -69,6 +73,34 @@ def _plain_agg(kind: str, col: str) -> Column:
     return {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}[kind](col)
 
 
+def _pane_parts(aggs: dict[str, tuple[str, str]]) -> dict[str, Column]:
+    """What a pane keeps for each aggregate; every part folds by sum, min or max, named by its suffix."""
+    parts: dict[str, Column] = {}
+    for n, (kind, col) in aggs.items():
+        if kind in ("count", "avg"):
+            parts[f"_{n}_count"] = F.count(col)
+        if kind in ("sum", "avg"):
+            parts[f"_{n}_sum"] = F.sum(col)
+        if kind in ("min", "max"):
+            parts[f"_{n}_{kind}"] = _plain_agg(kind, col)
+    parts["_rows"] = F.count("*")
+    return parts
+
+
+def _part_fold(name: str):
+    return F.min if name.endswith("_min") else F.max if name.endswith("_max") else F.sum
+
+
+def _from_parts(df: DataFrame, aggs: dict[str, tuple[str, str]]) -> list[Column]:
+    """The aggregates from folded parts, in the types of the plain form."""
+    kinds = df.groupBy().agg(*[_plain_agg(kind, col).alias(n) for n, (kind, col) in aggs.items()]).schema
+    out = []
+    for n, (kind, _) in aggs.items():
+        value = F.try_divide(f"_{n}_sum", f"_{n}_count") if kind == "avg" else F.col(f"_{n}_{kind}")
+        out.append(value.cast(kinds[n].dataType).alias(n))
+    return out
+
+
 def _slide_panes(
     df: DataFrame, ts: str, size: int, step: int, keys: Sequence[str], aggs: dict[str, tuple[str, str]]
 ) -> DataFrame:
@@ -77,20 +109,15 @@ def _slide_panes(
     A window is named by its last pane position `pos` (window end = (pos + 1) panes). It is generated once, by the
     last non-empty pane it covers. Keys are cut into stretches of `span` panes, each carrying the `m - 1` panes before
     it, so one task's group has a fixed number of panes however many rows or how much time a key has.
+
+    Counts come from one running sum, into which a pane enters and which it leaves. Other aggregates cannot leave again: panes are cut into blocks
+    of `m`, and a window is the end of one block and the start of the next, so one scan forwards and one backwards over every block
+    give both halves. Either way the cost of a window does not depend on how many panes it covers.
     """
     pane = gcd(size, step)
     m, s = size // pane, step // pane
     span = 16 * m
-    parts: dict[str, Column] = {}
-    for n, (kind, col) in aggs.items():
-        if kind in ("count", "avg"):
-            parts[f"_{n}_count"] = F.count(col)
-        if kind in ("sum", "avg"):
-            parts[f"_{n}_sum"] = F.sum(col)
-        if kind in ("min", "max"):
-            parts[f"_{n}_{kind}"] = _plain_agg(kind, col)
-    parts["_rows"] = F.count("*")
-
+    parts = _pane_parts(aggs)
     folded = df.groupBy(*keys, F.floor(epoch_us(ts) / F.lit(pane)).alias("_p")).agg(
         *[c.alias(n) for n, c in parts.items()]
     )
@@ -112,40 +139,43 @@ def _slide_panes(
     ends = F.when(first <= last, F.sequence(first, last, F.lit(s).cast("bigint"))).otherwise(
         F.array().cast("array<bigint>")
     )
-    counts_only = all(kind == "count" for kind, _ in aggs.values())
-    names = list(parts)
-
-    # One generated row per entry: 0 = the pane itself, then (counts) its departure, then the windows it closes.
-    at = [F.col("_p")]
-    if counts_only:
-        # A pane enters at its position and leaves m positions later: one running sum, no re-scan of the frame.
-        at.append(F.col("_p") + m)
+    by_count = all(kind == "count" for kind, _ in aggs.values())
+    laid = (_by_running_sum if by_count else _by_blocks)(folded, keys, m, ends, list(parts))
+    end = from_us((F.col("_pos") + 1) * F.lit(pane)).cast(df.schema[ts].dataType).alias("window_end")
+    return laid.where(F.col("_rows") > 0).select(*keys, end, *_from_parts(df, aggs))
+
+
+def _by_running_sum(folded: DataFrame, keys: Sequence[str], m: int, ends: Column, names: list[str]) -> DataFrame:
+    """(keys, _pos, parts) of the windows `ends`: a pane enters at its position and leaves m positions later."""
+    at = [F.col("_p"), F.col("_p") + m]
     laid = folded.select(
         *keys, "_c", *names, F.posexplode(F.concat(F.array(*[c.cast("bigint") for c in at]), ends)).alias("_i", "_pos")
     )
     probe = F.col("_i") >= len(at)
-    signed = {
-        n: F.when(F.col("_i") == 0, F.col(n)).when(~probe, -F.col(n)) if counts_only else F.when(~probe, F.col(n))
-        for n in names
-    }
+    signed = {n: F.when(F.col("_i") == 0, F.col(n)).when(~probe, -F.col(n)) for n in names}
     laid = laid.select(*keys, "_c", "_pos", probe.alias("_probe"), *[c.alias(n) for n, c in signed.items()])
-    if counts_only:
-        over = stretch.orderBy("_pos", "_probe").rowsBetween(Window.unboundedPreceding, 0)
-    else:
-        over = stretch.orderBy("_pos").rangeBetween(-(m - 1), 0)
-
-    def total(n: str) -> Column:
-        fold = F.min if n.endswith("_min") else F.max if n.endswith("_max") else F.sum
-        return fold(n).over(over)
-
-    laid = laid.select(*keys, "_pos", "_probe", *[total(n).alias(n) for n in names])
-    kinds = df.agg(*[_plain_agg(kind, col).alias(n) for n, (kind, col) in aggs.items()]).schema
-    out = []
-    for n, (kind, _) in aggs.items():
-        value = F.try_divide(f"_{n}_sum", f"_{n}_count") if kind == "avg" else F.col(f"_{n}_{kind}")
-        out.append(value.cast(kinds[n].dataType).alias(n))
-    end = from_us((F.col("_pos") + 1) * F.lit(pane)).cast(df.schema[ts].dataType).alias("window_end")
-    return laid.where(F.col("_probe") & (F.col("_rows") > 0)).select(*keys, end, *out)
+    over = Window.partitionBy(*keys, "_c").orderBy("_pos", "_probe").rowsBetween(Window.unboundedPreceding, 0)
+    laid = laid.select(*keys, "_pos", "_probe", *[F.sum(n).over(over).alias(n) for n in names])
+    return laid.where("_probe")
+
+
+def _by_blocks(folded: DataFrame, keys: Sequence[str], m: int, ends: Column, names: list[str]) -> DataFrame:
+    """(keys, _pos, parts) of the windows `ends`: the start of their last block scanned forwards, the end of the one before backwards."""
+    # Each pane (side 0), each window where it ends (1) and, unless that ends a block, where it starts (2).
+    place = F.array(F.struct(F.lit(0).alias("side"), F.col("_p").cast("bigint").alias("at"), F.lit(None).cast("bigint").alias("pos")))
+    stops = F.transform(ends, lambda e: F.struct(F.lit(1).alias("side"), e.alias("at"), e.alias("pos")))
+    starts = F.transform(
+        F.filter(ends, lambda e: F.pmod(e + 1, F.lit(m)) > 0), lambda e: F.struct(F.lit(2).alias("side"), (e + 1 - m).alias("at"), e.alias("pos"))
+    )
+    laid = folded.select(*keys, "_c", *names, F.explode(F.concat(place, stops, starts)).alias("_e"))
+    held = [F.when(F.col("_e.side") == 0, F.col(n)).alias(n) for n in names]
+    laid = laid.select(*keys, "_c", "_e.*", F.floor(F.col("_e.at") / F.lit(m)).alias("_b"), *held)
+    block = Window.partitionBy(*keys, "_c", "_b").rowsBetween(Window.unboundedPreceding, 0)
+    forwards, backwards = block.orderBy("at", "side"), block.orderBy(F.col("at").desc(), "side")
+    halves = [F.when(F.col("side") == 1, _part_fold(n)(n).over(forwards)).otherwise(_part_fold(n)(n).over(backwards)).alias(n) for n in names]
+    laid = laid.select(*keys, "_c", "side", F.col("pos").alias("_pos"), *halves).where("side > 0")
+    # Both halves of a window lie in the same partition already.
+    return laid.groupBy(*keys, "_c", "_pos").agg(*[_part_fold(n)(n).alias(n) for n in names])
 
 
 def session(

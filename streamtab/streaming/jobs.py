@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamtab.functions.text import is_page_request
 from streamtab.functions.times import epoch_us, from_us, micros
 from streamtab.operators.eventtime import with_watermark_at
 from streamtab.operators.over import top_n
@@ -25,11 +26,11 @@ def hot_items(stream: DataFrame, item: str, n: int = 5, size: str = "1 hour", st
 
 
 def hot_pages(stream: DataFrame, n: int, size: str, step: str) -> DataFrame:
-    """Page counts re-emitted while a window is still open to late rows; the last count of a page replaces earlier
-    ones before ranking."""
-    counts = slide(stream, "ts", size, step, ["url"], {"cnt": ("count", "*")}, "expand")
-    latest = drain_latest(counts, "hot_pages", ["url", "window_end"])
-    return top_n(latest, ["window_end"], [F.col("cnt").desc(), F.col("url")], n)
+    """Top `n` pages of every closed window, GET requests of pages only. A page's windows come from a ring of its panes; all counts of a
+    window leave the state in one micro-batch, where they are ranked."""
+    counts = slide(stream.where(is_page_request(F.col("method"), F.col("url"))), "ts", size, step, ["url"], {"cnt": ("count", "*")}, "panes")
+    order = [F.col("cnt").desc(), F.col("url")]
+    return drain_batches(counts, "hot_pages", "append", lambda batch: top_n(batch, ["window_end"], order, n)).drop("batch")
 
 
 def first_of_day(stream: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
