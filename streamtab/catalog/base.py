@@ -87,7 +87,7 @@ def ev_stream(spark: SparkSession, folder: str, disorder: int = 0, batches: int
     """Events as a stream of `batches` micro-batches in order of arrival, time as an instant, no watermark yet.
 
     An event arrives up to `disorder` seconds after its time, by its id, so times are out of order within and between batches. With `closed` one
-    more batch brings a row a week after the last event, which has a null `event_id`: the watermark then passes every event.
+    more batch brings rows a week after the last event, which have a null `event_id`: the watermark then passes every event.
     """
     session = child_session(spark)
     rows = table(session, folder, "events")
@@ -100,9 +100,9 @@ def ev_stream(spark: SparkSession, folder: str, disorder: int = 0, batches: int
         part = F.coalesce(F.floor((F.col("_at") - (low or 0)) / width), F.lit(0)) == i
         rows.where(part).drop("_at").write.mode("append").parquet(path)
     if closed:
-        last = rows.where(F.col("_at") == high).limit(1).drop("_at")
-        last = last.withColumns({"event_id": F.lit(None).cast("bigint"), "ts": F.lit(None).cast("timestamp_ntz")})
+        # One row of every type, so that a filter on the type keeps one.
         end = F.timestamp_micros(F.lit((high or 0) + CLOSING_US)).cast("timestamp_ntz")
-        last.withColumn("ts", end).coalesce(1).write.mode("append").parquet(path)
+        last = rows.drop("_at").dropDuplicates(["event_type"]).withColumns({"event_id": F.lit(None).cast("bigint"), "ts": end})
+        last.coalesce(1).write.mode("append").parquet(path)
     stream = session.readStream.schema(EVENTS).option("maxFilesPerTrigger", rows.rdd.getNumPartitions()).parquet(path)
     return _typed(stream).withColumn("ts", F.col("ts").cast("timestamp"))

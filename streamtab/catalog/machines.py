@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from streamtab.catalog.aggregates import _LATE, arrivals
 from streamtab.catalog.base import ev_stream, query
-from streamtab.catalog.streams import _CUT, _DONE, _MILLIS, USER, _processed, _timed_ms
+from streamtab.catalog.streams import _MILLIS, USER, _processed, _timed_ms
 from streamtab.functions.times import epoch_us, micros
 from streamtab.streaming import jobs, machines
 
 _HOUR = 3_600_000
 _W = "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"
-_ROWS = f"rows_done AS (SELECT * FROM {_MILLIS} WHERE {_DONE})"
+_ROWS = f"rows_done AS (SELECT * FROM {_MILLIS})"
 
 
 @query(
@@ -71,7 +71,6 @@ def stream_daily_uv(spark, folder):
     o AS (SELECT user_id, event_id, CASE WHEN nxt < ts + INTERVAL 24 HOUR THEN nxt END AS then_ts,
         ts + INTERVAL 24 HOUR AS deadline FROM n WHERE event_type = 'signup')
     SELECT *, CASE WHEN then_ts IS NULL THEN 'timeout' ELSE 'matched' END AS status FROM o
-    WHERE then_ts IS NOT NULL OR epoch_us(deadline) // 1000 < {_CUT}
     """,
 )
 def stream_followed_by(spark, folder):

@@ -19,22 +19,22 @@ from streamtab.streaming.run import drain, drain_latest
 USER = ["user_id"]
 # How long after its time an event may arrive; the watermark stays as far behind.
 DISORDER = "30 minutes"
-_END = "(SELECT max(ts) - INTERVAL 30 MINUTE FROM events)"
-# Processors count milliseconds and have handled what is before the watermark.
-_CUT = "(SELECT epoch_us(max(ts)) // 1000 - 1800000 FROM events)"
-_DONE = f"epoch_us(ts) // 1000 < {_CUT}"
 
 
-def timed(spark, folder, delay=DISORDER):
-    """Events that arrive as much out of order as the watermark's delay allows."""
+def _before_closing(rows):
+    """Without the rows that only move the watermark on; naming the time as well, the condition is not moved before the watermark."""
+    return rows.where(F.coalesce(F.col("event_id") * 0, F.unix_micros("ts")) == 0)
+
+
+def running(spark, folder, delay=DISORDER):
+    """Events that arrive as much out of order as the watermark's delay allows; in the end the watermark is so far behind the last."""
     return eventtime.with_event_time(ev_stream(spark, folder, micros(delay) // 1_000_000), "ts", delay)
 
 
-def timed_to_the_end(spark, folder, delay=DISORDER):
-    """The same events with the watermark beyond the last of them in the end; the row that takes it there is left out behind the watermark."""
-    rows = eventtime.with_event_time(ev_stream(spark, folder, micros(delay) // 1_000_000, closed=True), "ts", delay)
-    # One condition that names the time as well: it is not moved before the watermark.
-    return rows.where(F.coalesce(F.col("event_id") * 0, F.unix_micros("ts")) == 0)
+def timed(spark, folder, delay=DISORDER):
+    """The same events, with the watermark beyond the last of them in the end."""
+    rows = ev_stream(spark, folder, micros(delay) // 1_000_000, closed=True)
+    return _before_closing(eventtime.with_event_time(rows, "ts", delay))
 
 
 def _closed_counts(delay: str) -> str:
@@ -46,7 +46,7 @@ def _closed_counts(delay: str) -> str:
 
 
 def _hourly(spark, folder, delay):
-    counts = windows.tumble(timed(spark, folder, delay), "ts", "1 hour", ["event_type"], {"cnt": F.count("*")})
+    counts = windows.tumble(running(spark, folder, delay), "ts", "1 hour", ["event_type"], {"cnt": F.count("*")})
     return drain(counts, "wm")
 
 
@@ -74,7 +74,7 @@ def wm_periodic(spark, folder):
 )
 def allowed_lateness(spark, folder):
     """Disorder of 2 minutes and lateness of 1 minute keep a window open for 3; each late row re-emits its window."""
-    rows = timed(spark, folder, "3 minutes")
+    rows = running(spark, folder, "3 minutes")
     counts = windows.tumble(rows, "ts", "15 minutes", USER, {"hi": F.max("value")}).drop("window_start")
     return drain_latest(counts, "lateness", ["user_id", "window_end"])
 
@@ -93,7 +93,7 @@ def stream_word_count(spark, folder):
 
 @query(
     "stream_hot_items",
-    patterns._HOT_ITEMS.replace("GROUP BY ALL)", f"GROUP BY ALL HAVING window_end <= {_END})"),
+    patterns._HOT_ITEMS,
 )
 def stream_hot_items(spark, folder):
     return jobs.hot_items(timed(spark, folder).withColumnRenamed("k", "item_id"), "item_id")
@@ -101,7 +101,7 @@ def stream_hot_items(spark, folder):
 
 @query("stream_hot_pages", SQL["hot_pages"])
 def stream_hot_pages(spark, folder):
-    views = requests(timed_to_the_end(spark, folder, "1 minute 1 second"))
+    views = requests(timed(spark, folder, "1 minute 1 second"))
     return jobs.hot_pages(views, 3, "10 minutes", "5 seconds")
 
 
@@ -146,13 +146,13 @@ def channel_total_5s(spark, folder):
 
 @query("stream_channel_counts", _CHANNELS_5S)
 def stream_channel_counts(spark, folder):
-    counts = batch_jobs.channel_counts(_marketing(timed_to_the_end(spark, folder)), "ts", "channel", "behavior", "error")
+    counts = batch_jobs.channel_counts(_marketing(timed(spark, folder)), "ts", "channel", "behavior", "error")
     return _hourly_windows(drain(counts, "channel_counts"))
 
 
 @query("stream_channel_total", _TOTAL_5S)
 def stream_channel_total(spark, folder):
-    counts = batch_jobs.channel_total(_marketing(timed_to_the_end(spark, folder)), "ts", "behavior", "error")
+    counts = batch_jobs.channel_total(_marketing(timed(spark, folder)), "ts", "behavior", "error")
     return _hourly_windows(drain(counts, "channel_total"))
 
 
@@ -188,14 +188,14 @@ def pane_slide_1s(spark, folder):
 
 @query("stream_pane_slide", _PANES_1S)
 def stream_pane_slide(spark, folder):
-    return _told(drain(_hourly_values(spark, folder, timed_to_the_end(spark, folder)), "pane_slide"))
+    return _told(drain(_hourly_values(spark, folder, timed(spark, folder)), "pane_slide"))
 
 
 @query(
     "stream_hourly_uv",
     f"""
     SELECT time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end, count(DISTINCT user_id) AS uv FROM events
-    WHERE event_type = 'view' GROUP BY 1 HAVING window_end <= (SELECT max(ts) - INTERVAL 30 MINUTE FROM events WHERE event_type = 'view')
+    WHERE event_type = 'view' GROUP BY 1
     """,
 )
 def stream_hourly_uv(spark, folder):
@@ -210,7 +210,7 @@ def stream_hourly_uv(spark, folder):
         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
     s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM g)
     SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 2 HOUR AS session_end, count(*) AS cnt FROM s
-    GROUP BY user_id, sid HAVING max(ts) + INTERVAL 2 HOUR <= {_END}
+    GROUP BY user_id, sid
     """,
 )
 def stream_session(spark, folder):
@@ -222,7 +222,7 @@ def stream_session(spark, folder):
     "SELECT DISTINCT user_id, date_trunc('day', ts) AS day FROM events WHERE event_type = 'view'",
 )
 def stream_first_visit(spark, folder):
-    views = timed(spark, folder, "1 day").where("event_type = 'view'")
+    views = running(spark, folder, "1 day").where("event_type = 'view'")
     out = drain(jobs.first_of_day(views, USER, "ts"), "first_visit")
     return out.select("user_id", F.col("day").cast("timestamp_ntz"))
 
@@ -252,18 +252,15 @@ def _processed(spark, folder, processor, schema, rows=None, keys=USER):
 
 @query(
     "stream_keyed_process",
-    f"SELECT * FROM ({patterns._IDLE_SQL}) WHERE epoch_us(alert_ts) // 1000 < {_CUT}",
+    patterns._IDLE_SQL,
 )
 def stream_keyed_process(spark, folder):
     return _processed(spark, folder, stateful.IdleAlert(patterns._IDLE_MS), "user_id bigint, alert_ts timestamp_ntz")
 
 
-_MATCH_CUT = "(SELECT max(epoch_us(ts) // 1000) - 1800000 FROM events WHERE event_type IN ('signup', 'purchase'))"
-
-
 @query(
     "stream_match_stateful",
-    patterns._match_sql(f"list_min(s.timers) < {_MATCH_CUT}", f"epoch_us(ts) // 1000 < {_MATCH_CUT}"),
+    patterns._match_sql("true"),
 )
 def stream_match_stateful(spark, folder):
     rows = patterns.match_rows(timed(spark, folder))
@@ -275,7 +272,7 @@ def stream_match_stateful(spark, folder):
     "stream_jump_alert",
     f"""
     SELECT user_id, event_id, value, previous FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)
-    AS previous FROM events) WHERE abs(previous - value) > 10.0 AND {_DONE}
+    AS previous FROM events) WHERE abs(previous - value) > 10.0
     """,
 )
 def stream_jump_alert(spark, folder):
@@ -285,7 +282,7 @@ def stream_jump_alert(spark, folder):
 
 @query(
     "stream_running_count",
-    f"SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events WHERE {_DONE}",
+    f"SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq FROM events",
 )
 def stream_running_count(spark, folder):
     return _processed(spark, folder, stateful.RunningCount(), "user_id bigint, event_id bigint, seq bigint")
@@ -294,7 +291,7 @@ def stream_running_count(spark, folder):
 @query(
     "stream_over_rows",
     f"""
-    SELECT user_id, event_id, count(*) OVER w AS cnt, round(avg(value) OVER w, 4) AS mean FROM events WHERE {_DONE}
+    SELECT user_id, event_id, count(*) OVER w AS cnt, round(avg(value) OVER w, 4) AS mean FROM events
     WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
     """,
 )
@@ -308,14 +305,13 @@ _MILLIS = "(SELECT event_id, user_id, event_type, value, date_trunc('millisecond
 
 
 def _timed_ms(spark, folder):
-    rows = ev_stream(spark, folder, micros(DISORDER) // 1_000_000).withColumn("ts", F.date_trunc("millisecond", "ts"))
-    return eventtime.with_event_time(rows, "ts", DISORDER)
+    rows = ev_stream(spark, folder, micros(DISORDER) // 1_000_000, closed=True).withColumn("ts", F.date_trunc("millisecond", "ts"))
+    return _before_closing(eventtime.with_event_time(rows, "ts", DISORDER))
 
 
 @query(
     "stream_rising_alert",
-    patterns._runs_sql("value > pv", 12, "user_id, s AS rise_ts, s + INTERVAL 12 HOUR AS alert_ts", _MILLIS)
-    + f" AND epoch_us(s + INTERVAL 12 HOUR) // 1000 < {_CUT}",
+    patterns._runs_sql("value > pv", 12, "user_id, s AS rise_ts, s + INTERVAL 12 HOUR AS alert_ts", _MILLIS),
 )
 def stream_rising_alert(spark, folder):
     schema = "user_id bigint, rise_ts timestamp_ntz, alert_ts timestamp_ntz"
@@ -325,7 +321,7 @@ def stream_rising_alert(spark, folder):
 @query(
     "stream_fail_burst",
     patterns._runs_sql("event_type = 'error'", 6, "user_id, s AS start_ts, last_ts, n", _MILLIS)
-    + f" AND n >= 2 AND epoch_us(s + INTERVAL 6 HOUR) // 1000 < {_CUT}",
+    + " AND n >= 2",
 )
 def stream_fail_burst(spark, folder):
     rows = _timed_ms(spark, folder).withColumn("failed", F.col("event_type") == "error")
@@ -341,7 +337,7 @@ _WAIT = 24 * 3_600_000
     f"""
     WITH RECURSIVE m AS (SELECT user_id, epoch_us(ts) // 1000 AS t, event_type = 'signup' AS made,
             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS total
-        FROM events WHERE event_type IN ('signup', 'purchase') AND {_DONE}),
+        FROM events WHERE event_type IN ('signup', 'purchase')),
     s AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS timer, false AS paid,
             CAST(NULL AS VARCHAR) AS timed_out, CAST(NULL AS VARCHAR) AS done FROM m
         UNION ALL SELECT user_id, n, CASE WHEN made AND NOT paid THEN t + {_WAIT} WHEN NOT made AND (timer IS NULL OR paid) THEN t END,
@@ -356,7 +352,7 @@ _WAIT = 24 * 3_600_000
     UNION ALL SELECT user_id, done FROM s WHERE done IS NOT NULL
     UNION ALL SELECT s.user_id, CASE WHEN s.paid THEN 'paid_without_create' ELSE 'never_paid' END
         FROM s JOIN m ON s.user_id = m.user_id AND s.n = m.n AND m.n = m.total
-        WHERE s.timer < {_CUT}
+        WHERE s.timer IS NOT NULL
     """,
 )
 def stream_order_outcome(spark, folder):
@@ -367,7 +363,7 @@ def stream_order_outcome(spark, folder):
 @query(
     "stream_cdc_retract",
     f"""
-    WITH c AS (SELECT *, lag(event_id) OVER w AS o_id, lag(value) OVER w AS o_value FROM events WHERE {_DONE}
+    WITH c AS (SELECT *, lag(event_id) OVER w AS o_id, lag(value) OVER w AS o_value FROM events
         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
     SELECT user_id, event_id AS change_id, true AS is_add, event_id AS row_id, value FROM c
     UNION ALL SELECT user_id, event_id, false, o_id, o_value FROM c WHERE o_id IS NOT NULL

@@ -146,11 +146,13 @@ def keyed_process(
     state in memory: no group is gathered. Where a silence longer than `silence_ms` leaves the processor with neither
     state nor timers, say so: a key's stretches between such silences then run apart, which splits a hot key.
     With `forget_ms` a key that had no row for so long loses its state. A stream needs a watermark on `order[0]`; its rows come out
-    once the watermark has passed them.
+    once the watermark has passed them, and rows without a time are left out.
     """
     timed = df.withColumn("event_ms", F.floor(epoch_us(order[0]) / F.lit(1000)))
     columns = [part.strip().split()[0] for part in schema.split(",")]
     if df.isStreaming:
+        # A row without a time has no place in the order and no watermark passes it.
+        timed = timed.where("event_ms IS NOT NULL")
         held = StructType([f for f in timed.schema.fields if f.name not in keys])
         runner = _StreamRunner(processor, held, columns, list(order), forget_ms)
         return timed.groupBy(*keys).transformWithStateInPandas(
