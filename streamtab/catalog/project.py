@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from streamtab.catalog.base import EV, ev, query
 from streamtab.functions import udfs
 from streamtab.functions.text import hash_code
-from streamtab.operators import combine, route
+from streamtab.operators import combine, eventtime, route
 from streamtab.operators.over import top_k_values
 from streamtab.sources.files import table
 
@@ -77,15 +77,29 @@ def rename_project(spark, folder):
     )
 
 
-@query("partition_map", "SELECT event_id, user_id AS id, true AS in_range FROM events")
+@query("partition_map", "SELECT event_id, user_id AS id, CAST(user_id % 4 AS INTEGER) AS subtask FROM events")
 def partition_map(spark, folder):
-    rows = ev(spark, folder).select("event_id", "user_id").withColumn("part", F.spark_partition_id())
+    """The resource opened once per partition is the number of the partition, which a keyed distribution decides."""
+    rows = route.distribute(ev(spark, folder).select("event_id", "user_id"), "custom", 4, F.pmod("user_id", F.lit(4)))
 
-    def add(opened, batch):
-        out = batch.rename(columns={"user_id": "id"})
-        return out.assign(in_range=opened & (out["part"] >= 0))[["event_id", "id", "in_range"]]
+    def opened():
+        from pyspark import TaskContext
 
-    return route.map_partitions(rows, lambda: True, add, lambda opened: None, "event_id bigint, id bigint, in_range boolean")
+        return TaskContext.get().partitionId()
+
+    def add(subtask, batch):
+        return batch.rename(columns={"user_id": "id"}).assign(subtask=subtask)
+
+    return route.map_partitions(rows, opened, add, lambda subtask: None, "event_id bigint, id bigint, subtask int")
+
+
+@query("processing_time", "SELECT count(*) AS n, CAST(1 AS BIGINT) AS instants, true AS after_events FROM events")
+def processing_time(spark, folder):
+    """One instant for a whole batch, later than the events."""
+    rows = eventtime.with_processing_time(ev(spark, folder))
+    return rows.agg(
+        F.count("*").alias("n"), F.count_distinct("pt").alias("instants"), (F.min("pt") > F.max("ts").cast("timestamp")).alias("after_events")
+    )
 
 
 @query(

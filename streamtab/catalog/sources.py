@@ -233,8 +233,11 @@ def cdc_retract(spark, folder):
 @query("sink_csv", "SELECT event_id, user_id, value FROM events WHERE value > 20.0")
 def sink_csv(spark, folder):
     path = scratch_path(spark, "sink_csv")
-    sinks.append_csv(ev(spark, folder).where("value > 20.0").select("event_id", "user_id", "value"), path)
-    return files.csv_table(spark, path, "event_id bigint, user_id bigint, value double")
+    rows = ev(spark, folder).where("value > 20.0").select("event_id", "user_id", "value")
+    for part in (0, 1, 1):
+        # The second write is replayed.
+        sinks.append_csv(rows.where(F.pmod("event_id", F.lit(2)) == part), path, write_id=part)
+    return sinks.read_written(spark, path, "event_id bigint, user_id bigint, value double", "csv")
 
 
 @query(
@@ -292,3 +295,15 @@ def sink_tagged(spark, folder):
     rows = tag_rows(ev(spark, folder).select("event_id", "value"), {"high": F.col("value") > 30.0}, "low")
     sinks.write_tagged(rows, path)
     return spark.read.parquet(path).select("tag", "event_id", "value")
+
+
+@query("sink_tagged_formats", "SELECT CASE WHEN value > 30.0 THEN 'high' ELSE 'low' END AS tag, event_id, value FROM events")
+def sink_tagged_formats(spark, folder):
+    """A format and a place for each tag."""
+    path, schema = scratch_path(spark, "tagged"), "event_id bigint, value double"
+    places = {"high": ("csv", f"{path}/high"), "low": ("parquet", f"{path}/low")}
+    rows = tag_rows(ev(spark, folder).select("event_id", "value"), {"high": F.col("value") > 30.0}, "low")
+    for _ in range(2):
+        sinks.write_tags(rows, places, "first")
+    high, low = (sinks.read_written(spark, place, schema, fmt).withColumn("tag", F.lit(tag)) for tag, (fmt, place) in places.items())
+    return high.unionByName(low).select("tag", "event_id", "value")

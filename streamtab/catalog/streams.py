@@ -191,6 +191,17 @@ def stream_pane_slide(spark, folder):
     return _told(drain(_hourly_values(spark, folder, timed(spark, folder)), "pane_slide"))
 
 
+@query("stream_salted_window_count", SQL["salted_window_count"])
+def stream_salted_window_count(spark, folder):
+    """Two windowed aggregates in one stream: by salt, then without."""
+    return drain(aggregate.salted_window_count(timed(spark, folder), "ts", ["event_type"], "1 hour", "event_id", 5), "salted")
+
+
+@query("stream_salted_page_views", SQL["salted_page_views"])
+def stream_salted_page_views(spark, folder):
+    return drain(batch_jobs.page_views(timed(spark, folder).where("event_type = 'view'"), "ts", "event_id"), "page_views")
+
+
 @query(
     "stream_hourly_uv",
     f"""

@@ -1,18 +1,44 @@
-"""Sinks. Each is safe to replay: a batch written twice leaves what one write leaves."""
+"""Sinks. Each is safe to replay: a batch written twice leaves what one write leaves. (A plain append without a write id is not.)"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def append_csv(df: DataFrame, path: str, checkpoint: str | None = None, **options: str):
-    """Append rows as CSV. An updating streaming aggregate is refused by Spark, as it must be."""
+def write_once(df: DataFrame, path: str, write_id: str | int, fmt: str = "parquet", **options: str) -> None:
+    """Add the rows of one write to the table at `path`; a write repeated with its id takes the place of the first.
+
+    Rows go to a folder of their own; a manifest with one entry per id then names it. A write that dies before its entry leaves
+    nothing that `read_written` sees, and each entry is overwritten whole.
+    """
+    folder = f"{path}/rows/{uuid.uuid4().hex}"
+    df.write.format(fmt).options(**options).save(folder)
+    entry = df.sparkSession.createDataFrame([(str(write_id), folder)], "write_id string, folder string")
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/{write_id}")
+
+
+def read_written(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", **options: str) -> DataFrame:
+    """The rows of every write that the manifest of `write_once` names."""
+    folders = [r["folder"] for r in spark.read.parquet(f"{path}/manifest/*").select("folder").collect()]
+    return spark.read.format(fmt).schema(schema).options(**options).load(folders)
+
+
+def append_csv(df: DataFrame, path: str, checkpoint: str | None = None, write_id: str | int | None = None, **options: str):
+    """Append rows as CSV. An updating streaming aggregate is refused by Spark, as it must be.
+
+    A stream keeps its own log of batches. A batch table is safe to replay with a `write_id` (read with `read_written`); without one its rows
+    are appended again by every call.
+    """
     if df.isStreaming:
         stream = df.writeStream.format("csv").outputMode("append").options(**options)
         return stream.option("checkpointLocation", checkpoint).start(path)
+    if write_id is not None:
+        return write_once(df, path, write_id, "csv", **options)
     return df.write.mode("append").options(**options).csv(path)
 
 
@@ -85,3 +111,24 @@ def write_tagged_stream(df: DataFrame, path: str, checkpoint: str, tag: str = "t
         write_tagged(batch, f"{path}/batch={batch_id}", tag)
 
     return df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+
+
+def write_tags(df: DataFrame, sinks: dict[str, tuple[str, str]], write_id: str | int, tag: str = "tag") -> None:
+    """Each tag to a sink of its own: tag -> (format, path). The rows are computed once; a repeated `write_id` changes nothing.
+
+    Rows of a tag without a sink, or of none, are an error before anything is written.
+    """
+    rows = df.persist()
+    try:
+        other = rows.where(~F.coalesce(F.col(tag).isin(list(sinks)), F.lit(False))).select(tag).limit(1).collect()
+        if other:
+            raise ValueError(f"no sink for tag {other[0][0]!r}")
+        for name, (fmt, path) in sinks.items():
+            write_once(rows.where(F.col(tag) == name).drop(tag), path, write_id, fmt)
+    finally:
+        rows.unpersist()
+
+
+def write_tags_stream(df: DataFrame, sinks: dict[str, tuple[str, str]], checkpoint: str, tag: str = "tag"):
+    """Streaming form: the number of a micro-batch is its write id."""
+    return df.writeStream.foreachBatch(lambda batch, i: write_tags(batch, sinks, i, tag)).option("checkpointLocation", checkpoint)

@@ -67,3 +67,35 @@ def test_change_event_missing_image_is_empty(spark):
     got = parse_change_event(raw, "id bigint").first()
     assert got["db"] == "shop" and got["table_name"] == "t" and got["op"] == "create"
     assert got["before"] is not None and got["before"]["id"] is None and got["after"]["id"] == 1
+
+
+def test_a_replayed_write_takes_the_place_of_the_first(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k bigint, v string, seq bigint"
+    sinks.append_csv(batch(spark, [(1, "a", 1)]), path, write_id="x")
+    for _ in range(2):
+        sinks.append_csv(batch(spark, [(2, "b", 1), (2, "b", 1)]), path, write_id="y")
+    # A write that died before its entry is not seen.
+    batch(spark, [(9, "z", 9)]).write.csv(f"{path}/rows/left-behind")
+    assert rows(sinks.read_written(spark, path, schema, "csv"), "k", "v") == [(1, "a"), (2, "b"), (2, "b")]
+
+
+def test_tags_go_to_sinks_of_their_own(spark, tmp_path):
+    places = {"1": ("csv", str(tmp_path / "a")), "2": ("json", str(tmp_path / "b"))}
+    df = batch(spark, [(1, "a", 1), (2, "b", 1), (1, "c", 3)]).withColumn("tag", F.col("k").cast("string"))
+    for _ in range(2):
+        sinks.write_tags(df, places, 0)
+    got = [rows(sinks.read_written(spark, place, "k bigint, v string, seq bigint", fmt), "v", "seq") for fmt, place in places.values()]
+    assert got == [[("a", 1), ("c", 3)], [("b", 1)]]
+    with pytest.raises(ValueError):
+        sinks.write_tags(df.withColumn("tag", F.lit(None).cast("string")), places, 1)
+
+
+def test_tagged_stream_survives_a_restart(spark, tmp_path):
+    """Stopped after each run and started again from its checkpoint, it writes every row once."""
+    places, schema = {"1": ("csv", str(tmp_path / "a")), "2": ("parquet", str(tmp_path / "b"))}, "k bigint, v string, seq bigint"
+    for i, data in enumerate([[(1, "a", 1), (2, "b", 2)], [(1, "c", 3)]]):
+        batch(spark, data).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in")).withColumn("tag", F.col("k").cast("string"))
+        sinks.write_tags_stream(stream, places, str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    got = [rows(sinks.read_written(spark, place, schema, fmt), "v", "seq") for fmt, place in places.values()]
+    assert got == [[("a", 1), ("c", 3)], [("b", 2)]]
