@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from streamtab.functions.text import is_page_request
 from streamtab.functions.times import epoch_us, from_us, micros
@@ -14,23 +15,44 @@ from streamtab.operators.over import top_n
 from streamtab.operators.windows import slide
 from streamtab.session import scratch_path
 from streamtab.sources.sinks import read_latest, upsert_table
-from streamtab.streaming.run import drain_batches, drain_latest, use_rocksdb
+from streamtab.streaming.run import drain_batches, start_batches, use_rocksdb
+
+
+def _item_counts(stream: DataFrame, item: str, size: str, step: str) -> DataFrame:
+    return slide(stream, "ts", size, step, [item], {"cnt": ("count", "*")}, "expand")
+
+
+def _page_counts(stream: DataFrame, size: str, step: str) -> DataFrame:
+    return slide(stream.where(is_page_request(F.col("method"), F.col("url"))), "ts", size, step, ["url"], {"cnt": ("count", "*")}, "panes")
+
+
+def _best(key: str, n: int) -> Callable[[DataFrame], DataFrame]:
+    """Ranks the windows of a micro-batch: all counts of a window leave the state in one."""
+    return lambda batch: top_n(batch, ["window_end"], [F.col("cnt").desc(), F.col(key)], n)
+
+
+def start_hot_items(
+    stream: DataFrame, item: str, path: str, checkpoint: str, n: int = 5, size: str = "1 hour", step: str = "5 minutes", **trigger
+) -> StreamingQuery:
+    """Start the top `n` per closed window; see `start_batches` for trigger and restart, `read_batches` for the result."""
+    return start_batches(_item_counts(stream, item, size, step), path, checkpoint, "append", _best(item, n), **trigger)
+
+
+def start_hot_pages(
+    stream: DataFrame, path: str, checkpoint: str, n: int = 3, size: str = "10 minutes", step: str = "5 seconds", **trigger
+) -> StreamingQuery:
+    """Start the top `n` pages per closed window, GET requests of pages only. A page's windows come from a ring of its panes."""
+    return start_batches(_page_counts(stream, size, step), path, checkpoint, "append", _best("url", n), **trigger)
 
 
 def hot_items(stream: DataFrame, item: str, n: int = 5, size: str = "1 hour", step: str = "5 minutes") -> DataFrame:
-    """Top `n` per closed window. All counts of a window leave the state in one micro-batch, where they are ranked."""
-    counts = slide(stream, "ts", size, step, [item], {"cnt": ("count", "*")}, "expand")
-    order = [F.col("cnt").desc(), F.col(item)]
-    ranked = drain_batches(counts, "hot_items", "append", lambda batch: top_n(batch, ["window_end"], order, n))
-    return ranked.drop("batch")
+    """The top `n` per closed window of what is available now."""
+    return drain_batches(_item_counts(stream, item, size, step), "hot_items", "append", _best(item, n)).drop("batch")
 
 
 def hot_pages(stream: DataFrame, n: int, size: str, step: str) -> DataFrame:
-    """Top `n` pages of every closed window, GET requests of pages only. A page's windows come from a ring of its panes; all counts of a
-    window leave the state in one micro-batch, where they are ranked."""
-    counts = slide(stream.where(is_page_request(F.col("method"), F.col("url"))), "ts", size, step, ["url"], {"cnt": ("count", "*")}, "panes")
-    order = [F.col("cnt").desc(), F.col("url")]
-    return drain_batches(counts, "hot_pages", "append", lambda batch: top_n(batch, ["window_end"], order, n)).drop("batch")
+    """The top `n` pages per closed window of what is available now."""
+    return drain_batches(_page_counts(stream, size, step), "hot_pages", "append", _best("url", n)).drop("batch")
 
 
 def first_of_day(stream: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
