@@ -6,12 +6,15 @@ and carry page indexes, so a reader of metadata skips the ids and a reader of so
 
 from __future__ import annotations
 
+import json
 import re
 import string
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, count, islice
 
 import numpy as np
 import public_tokenizers
@@ -24,7 +27,10 @@ from streamtab.llm.common import batches
 from streamtab.session import scratch_path
 
 END_ID = 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+CACHE_BYTES = 16 << 20
+# Stands after the words of a text; no word holds a space.
+_END = b" "
 LAYOUT = {
     "parquet.writer.version": "PARQUET_2_0",
     "parquet.block.size": str(32 << 20),
@@ -52,6 +58,18 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def cuts_at_spaces(tokenizer: Tokenizer) -> bool:
+    """Whether a tokenizer drops white space before it merges letters, so that words can be encoded apart as `WordEncoder` does."""
+    parts = json.loads(tokenizer.to_str())
+    steps = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+    normal = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+    if [s["type"] for s in steps] != ["Split", "ByteLevel"] or normal != ["NFC", "Replace", "Lowercase"]:
+        return False
+    split, level = steps
+    dropped = split["behavior"] == "Removed" and split["invert"] and "[^\\s" in split["pattern"].get("Regex", "")
+    return dropped and not level["add_prefix_space"] and not level["use_regex"] and parts["model"]["type"] == "BPE"
+
+
 class WordEncoder:
     """Ids of texts, each distinct word put through the tokenizer once while it stays in a bounded cache.
 
@@ -61,13 +79,20 @@ class WordEncoder:
     token; words that hold `<|` are encoded alone.
     """
 
-    def __init__(self, path: str, divider: str = "<|startoftext|>", limit: int = CACHE_WORDS):
+    def __init__(self, path: str, divider: str = "<|startoftext|>", limit: int = CACHE_WORDS, limit_bytes: int = CACHE_BYTES):
         self.tokenizer = Tokenizer.from_file(path)
         self.divider, self.mark = divider, self.tokenizer.token_to_id(divider)
-        self.limit = limit
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.by_word = cuts_at_spaces(self.tokenizer) and self.mark is not None
+        self.limit, self.limit_bytes = limit, limit_bytes
         self.table = str.maketrans({chr(b): c for b, c in byte_characters().items()})
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the caches: `index` numbers words as they are met, and word i has the ids `flat[begin[i] : begin[i] + size[i]]`."""
+        self.index: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.flat, self.begin, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pieces: dict[str, bytes] = {}
+        self.held = 0
 
     def _alone(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
@@ -78,8 +103,8 @@ class WordEncoder:
         found = self.pieces[piece] = array("i", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
         return found
 
-    def _learn(self, fresh: list[bytes]) -> None:
-        others, known, pieces, match = [], self.known, self.pieces, _PLAIN.fullmatch
+    def _learn(self, fresh: list[bytes]) -> dict[bytes, bytes]:
+        others, known, pieces, match = [], {}, self.pieces, _PLAIN.fullmatch
         for word in fresh:
             if b"<|" in word:
                 known[word] = self._alone(word)
@@ -101,22 +126,56 @@ class WordEncoder:
             cuts = np.flatnonzero(ids == self.mark)
             data, begin = ids.tobytes(), np.concatenate([[0], cuts + 1]) * 4
             stop = np.append(cuts, len(ids)) * 4
-            self.known.update((w, data[a:b]) for w, a, b in zip(some, begin.tolist(), stop.tolist()))
+            known.update((w, data[a:b]) for w, a, b in zip(some, begin.tolist(), stop.tolist()))
+        return known
+
+    def _whole(self, texts: list[bytes | None], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        coded = self.tokenizer.encode_batch([(t or b"").decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        found = [e.ids if end_id is None else [*e.ids, end_id] for e in coded]
+        return np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def ids_of(self, texts: list[bytes | None], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all UTF-8 `texts` in a row, `end_id` after each, and how many each text has.
+
+        Words become numbers in one look-up each, new ones take the next number; the rest is done on arrays of numbers. With a
+        tokenizer that does not cut at white space, texts are encoded whole.
+        """
+        if not self.by_word:
+            return self._whole(texts, end_id)
+        split = [(t or b"").split() for t in texts]
+        if end_id is not None:
+            for found in split:
+                found.append(_END)
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum()))
+        new = len(self.index) - len(self.size)
+        if new:
+            fresh = list(islice(reversed(self.index), new))[::-1]
+            known = self._learn([w for w in fresh if w != _END])
+            if end_id is not None:
+                known[_END] = np.array([end_id], "<i4").tobytes()
+            coded = [known[w] for w in fresh]
+            size = np.fromiter(map(len, coded), np.int64, new) // 4
+            self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(coded), "<i4")])
+            self.held += sum(map(len, fresh)) + 4 * int(size.sum())
+        sizes = self.size[at]
+        reach = np.append(0, np.cumsum(sizes))
+        ids = self.flat[np.arange(reach[-1]) + np.repeat(self.begin[at] - reach[:-1], sizes)]
+        if len(self.index) > self.limit or self.held > self.limit_bytes:
+            self.forget()
+        return ids, np.diff(reach[np.append(0, np.cumsum(lengths))])
 
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers, `end` appended."""
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        fresh = set().union(*split) - self.known.keys()
-        if len(fresh) + len(self.known) > self.limit:
-            self.known, self.pieces = {}, {}
-            fresh = set().union(*split)
-        self._learn(list(fresh))
-        get = self.known.__getitem__
-        return [b"".join(map(get, found)) + end for found in split]
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
+        ids, sizes = self.ids_of([None if t is None else t.encode("utf-8", "surrogatepass") for t in texts])
+        return [part.astype("<i4").tobytes() + end for part in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, end_id: int) -> WordEncoder:
+    """One encoder a worker process, for one end id; `forget` frees its words when a task ends."""
     return WordEncoder(path)
 
 
@@ -128,23 +187,23 @@ def write_tokens(
     One range shuffle of the texts puts neighbouring keys into one file; each task then encodes and counts as it writes. A null or
     empty text is the end id alone. Repeated rows stay repeated. Files are named in order, and `part` holds that order.
     """
-    file, end = tokenizer or public_tokenizers.path("word_bpe_49k.json"), np.array([end_id], "<i4").tobytes()
+    file = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, start, encoder = TaskContext.get().partitionId(), 0, _encoder(file)
+        part, start, encoder = TaskContext.get().partitionId(), 0, _encoder(file, end_id)
         for batch in batches(parts, rows=2000, chars=1 << 22):
-            coded = encoder.encode(batch["text"].to_pylist(), end)
-            sizes = np.array([len(x) // 4 for x in coded], np.int64)
+            ids, sizes = encoder.ids_of(batch["text"].cast(pa.binary()).to_pylist(), end_id)
             ends = np.cumsum(sizes)
-            ids = pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32())
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch["doc_id"], "part": pa.array(np.full(len(coded), part, np.int32)), "local_start": pa.array(start + ends - sizes),
-                 "n_tokens": pa.array(sizes), "ids": pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), ids)})
+                {"doc_id": batch["doc_id"], "part": pa.array(np.full(len(sizes), part, np.int32)), "local_start": pa.array(start + ends - sizes),
+                 "n_tokens": pa.array(sizes), "ids": pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))})
             start += int(sizes.sum())
+        # The worker process goes on to other tasks, maybe of other stages.
+        encoder.forget()
 
     path = path or scratch_path(spark, "tokens")
     rows.mapInArrow(encode, SCHEMA).write.options(**LAYOUT).parquet(path)

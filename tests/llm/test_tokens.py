@@ -22,6 +22,25 @@ def test_word_by_word_is_the_tokenizer(texts):
     assert [np.frombuffer(g, "<i4").tolist() for g in got] == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_other_tokenizers_encode_whole_texts(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    texts = ["a b  c", " lead", "", "naïve\n\n😀 x", "<|endoftext|>"]
+    got = tokens.WordEncoder(path).encode(texts, b"")
+    assert [np.frombuffer(g, "<i4").tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    df = spark.createDataFrame([*enumerate(texts), (5, None)], "doc_id long, text string")
+    read = tokens.read_metadata(spark, tokens.write_tokens(spark, df, tokenizer=path, end_id=50256), ids=True).orderBy("doc_id").collect()
+    assert [r["ids"] for r in read] == [plain.encode(t, add_special_tokens=False).ids + [50256] for t in [*texts, ""]]
+
+
+def test_words_are_forgotten_by_bytes():
+    encoder = tokens.WordEncoder(PATH, limit_bytes=400)
+    for i in range(30):
+        ids, sizes = encoder.ids_of([f"word{i} {'x' * i}".encode(), None], 1)
+        assert ids.tolist() == PLAIN.encode(f"word{i} {'x' * i}", add_special_tokens=False).ids + [1, 1] and sizes.sum() == len(ids)
+        assert encoder.held <= 400
+
+
 def brute(docs):
     start, out = 0, []
     for key, text in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] is not None, (d[1] or "").encode())):
