@@ -30,6 +30,8 @@ CELLS = 3
 # Members of a signature group that are compared with each other in one task; larger groups are divided by more signatures.
 GROUP_ROWS = 2048
 FILTER_BITS = 24
+# Signatures that are handed on at once (1 MB).
+BATCH_SIGNATURES = 1 << 17
 _ODD = np.uint64(0x94D049BB133111EB)
 
 
@@ -146,52 +148,54 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def classes(rows: DataFrame, n: int) -> DataFrame:
-    """(row columns, n_shingles, class) of rows with a `text`, which is dropped; no words: 0 shingles and a null class."""
+def classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """(row columns, n_shingles, class, sigs) of rows with a `text`, which is dropped: one pass that splits and hashes each text once.
+
+    No words: 0 shingles and a null class. `sigs` are the class's signatures; null on rows whose set was met before in their stretch
+    of rows, so that copies next to each other carry them once.
+    """
     kept = [c for c in rows.columns if c != "text"]
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches(parts, chars=1 << 24):
-            sets = [shingles(t, hashes, n) for t in batch["text"].to_pylist()]
-            out = {c: batch[c] for c in kept} | {
-                "n_shingles": pa.array([len(s) for s in sets], pa.int64()), "class": pa.array([digest(s) if len(s) else None for s in sets], pa.int64())}
-            yield pa.RecordBatch.from_pydict(out)
-
-    return rows.mapInArrow(read, ", ".join(filter(None, [kinds, "n_shingles long, class long"])))
-
+        hashes, seen = WordHashes(), set()
 
-def _signature_rows(texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(sig, id) of every class; within a stretch of rows equal sets count once."""
+        def made(batch: pa.RecordBatch, sizes: list[int], names: list[int | None], sigs: list[np.ndarray | None]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {c: batch[c] for c in kept} | {"n_shingles": pa.array(sizes, pa.int64()), "class": pa.array(names, pa.int64()),
+                 "sigs": pa.array([None if s is None else s.view(np.int64) for s in sigs], pa.list_(pa.int64()))})
 
-    def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
         for batch in batches(parts, rows=2000, chars=1 << 22):
-            own, ids = [], []
-            if len(seen) > 1 << 18:
+            sizes, names, sigs, start, held = [], [], [], 0, 0
+            if len(seen) > 1 << 17:
                 seen.clear()
             for text in batch["text"].to_pylist():
                 elements = shingles(text, hashes, n)
-                name = digest(elements)
-                if len(elements) and name not in seen:
-                    seen.add(name)
-                    own.append(signatures(elements, percent))
-                    ids.append(np.full(len(own[-1]), name, np.int64))
-            if own:
-                yield pa.RecordBatch.from_pydict({"sig": _signed(np.concatenate(own)), "id": pa.array(np.concatenate(ids))})
-
-    return texts.mapInArrow(read, "sig long, id long")
-
-
-def _sets(spark: SparkSession, texts: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, size, sketch, elements) of the classes in `ids`.
-
-    A bit per class, in a filter of fixed size, tells most other texts apart before their sets are shuffled; the join is exact.
+                name = digest(elements) if len(elements) else None
+                sizes.append(len(elements))
+                names.append(name)
+                sigs.append(None if name is None or name in seen else signatures(elements, percent))
+                seen.add(name)
+                held += 0 if sigs[-1] is None else len(sigs[-1])
+                # Cut by signatures, of which a text has a number that grows with its length and with the threshold.
+                if held > BATCH_SIGNATURES:
+                    yield made(batch.slice(start, len(sizes)), sizes, names, sigs)
+                    start += len(sizes)
+                    sizes, names, sigs, held = [], [], [], 0
+            yield made(batch.slice(start, len(sizes)), sizes, names, sigs)
+
+    return rows.mapInArrow(read, ", ".join(filter(None, [kinds, "n_shingles long, class long, sigs array<long>"])))
+
+
+def _sets(spark: SparkSession, texts: DataFrame, made: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, size, sketch, elements) of the classes in `ids`, each read from one of its texts.
+
+    A bit per hash of such a text, in a filter of fixed size, tells most other texts apart before they are split; the join is exact.
     """
-    bit = F.col("id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    lanes = ids.groupBy(F.shiftright(bit, 5).cast("int").alias("lane")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(id & 31 AS INT))")).alias("bits")
+    wanted = made.where("class IS NOT NULL").groupBy(F.col("class").alias("id")).agg(F.min("copy").alias("copy")).join(ids, "id", "left_semi")
+    bit = F.col("copy").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    lanes = wanted.groupBy(F.shiftright(bit, 5).cast("int").alias("lane")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(copy & 31 AS INT))")).alias("bits")
     ).toPandas()
     table = np.zeros(1 << FILTER_BITS - 5, np.int64)
     table[lanes["lane"].to_numpy(dtype=np.int64)] = lanes["bits"].to_numpy(dtype=np.int64)
@@ -200,24 +204,23 @@ def _sets(spark: SparkSession, texts: DataFrame, ids: DataFrame, n: int) -> Data
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, filled = WordHashes(), set(), shared.value
         for batch in batches(parts, rows=2000, chars=1 << 22):
+            low = batch["copy"].to_numpy() & ((1 << FILTER_BITS) - 1)
+            batch = batch.filter(pa.array((filled[low >> 5] >> (low & 31) & 1).astype(bool)))
             out = {"id": [], "size": [], "sketch": [], "elements": []}
-            if len(seen) > 1 << 18:
+            if len(seen) > 1 << 17:
                 seen.clear()
             for text in batch["text"].to_pylist():
                 elements = shingles(text, hashes, n)
-                if not len(elements):
-                    continue
-                name = digest(elements)
-                low = name & (1 << FILTER_BITS) - 1
-                if name not in seen and filled[low >> 5] >> (low & 31) & 1:
+                name = digest(elements) if len(elements) else None
+                if name is not None and name not in seen:
                     seen.add(name)
                     for column, value in zip(out, (name, len(elements), sketch(elements), elements.view(np.int64))):
                         out[column].append(value)
             kinds = {"id": pa.int64(), "size": pa.int64(), "sketch": pa.binary(), "elements": pa.list_(pa.int64())}
             yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds[c]) for c, v in out.items()})
 
-    found = texts.mapInArrow(read, "id long, size long, sketch binary, elements array<long>").join(ids, "id", "left_semi")
-    return saved(spark, found.dropDuplicates(["id"]), "partenum-sets")
+    found = texts.select("text", F.xxhash64("text").alias("copy")).mapInArrow(read, "id long, size long, sketch binary, elements array<long>")
+    return saved(spark, found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "partenum-sets")
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -339,13 +342,17 @@ def _across(spark: SparkSession, rows: DataFrame, sets: DataFrame, percent: int,
     return grouped.mapInArrow(compare, "a long, b long").distinct()
 
 
-def class_components(spark: SparkSession, texts: DataFrame, n: int = SHINGLE, percent: int = PERCENT, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(id, label) of the classes that are linked to others."""
+def class_components(
+    spark: SparkSession, texts: DataFrame, n: int = SHINGLE, percent: int = PERCENT, group_rows: int = GROUP_ROWS, made: DataFrame | None = None
+) -> DataFrame:
+    """(id, label) of the classes that are linked to others; `made` are the `classes` of `texts` with `copy`, if already there."""
     every = Window.partitionBy("sig")
-    rows = _signature_rows(texts, n, percent)
+    if made is None:
+        made = saved(spark, classes(texts.select(F.xxhash64("text").alias("copy"), "text"), n, percent), "partenum-classes")
+    rows = made.where("sigs IS NOT NULL").select(F.explode("sigs").alias("sig"), F.col("class").alias("id"))
     rows = rows.withColumn("first", F.min("id").over(every)).withColumn("last", F.max("id").over(every)).where("first < last")
     shared = saved(spark, rows.select("sig", "id", "first"), "partenum-shared")
-    sets = _sets(spark, texts, shared.select("id").distinct(), n)
+    sets = _sets(spark, texts, made, shared.select("id").distinct(), n)
     # Each class against the first of each of its groups.
     links = _verified(spark, shared.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), sets, percent)
     labels = None if links.isEmpty() else components(spark, links)
@@ -367,8 +374,9 @@ def near_groups(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     take part, and a component of only such rows has a null id.
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    own = saved(spark, classes(rows, n), "partenum-classes")
-    labels = class_components(spark, rows.select("text"), n, percent)
+    made = saved(spark, classes(rows.select("id", F.xxhash64("text").alias("copy"), "text"), n, percent), "partenum-classes")
+    labels = class_components(spark, rows.select("text"), n, percent, made=made)
+    own = made.select("id", "n_shingles", "class")
     # From here on a class is a row, so a large group of copies is one row until its documents are looked up.
     by_class = own.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"))
     by_class = by_class.join(labels.withColumnRenamed("id", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
