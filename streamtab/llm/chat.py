@@ -10,6 +10,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -58,10 +59,13 @@ def turns_of(formatted: str) -> list[tuple[str, str]]:
 
 @lru_cache(maxsize=4)
 def load_tokenizer(path: str) -> Tokenizer:
-    """The tokenizer with the marks as tokens of their own, so that no token crosses one; offsets keep white space."""
+    """The tokenizer with the marks as tokens of their own, so that no token crosses one; offsets keep white space.
+
+    The marks are the only control strings: the tokenizer's own special tokens, when a text spells them, are encoded as text.
+    """
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = False
-    tokenizer.add_special_tokens([AddedToken(m, normalized=False, special=True) for m in (OPEN, HEAD, BODY, CLOSE)])
+    tokenizer.add_tokens([AddedToken(m, normalized=False, special=False) for m in (OPEN, HEAD, BODY, CLOSE)])
+    tokenizer.encode_special_tokens = True
     tokenizer.post_processor = ByteLevel(trim_offsets=False)
     return tokenizer
 
@@ -77,17 +81,10 @@ def mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) ->
 
 
 def loss_texts(formatted: str, starts: list[int], ends: list[int], loss: list[bool]) -> list[str]:
-    """The text under each unbroken run of masked tokens, unescaped."""
-    found, run = [], None
-    for start, end, on in zip(starts, ends, loss):
-        if on:
-            run = (start, end) if run is None else (min(run[0], start), max(run[1], end))
-        elif run:
-            found.append(unescape(formatted[run[0] : run[1]]))
-            run = None
-    if run:
-        found.append(unescape(formatted[run[0] : run[1]]))
-    return found
+    """The text under each unbroken run of masked tokens, unescaped; tokens are sorted by both offsets."""
+    edges = np.flatnonzero(np.diff(np.asarray(loss, np.int8), prepend=0, append=0))
+    begin, stop = np.asarray(starts)[edges[::2]], np.asarray(ends)[edges[1::2] - 1]
+    return [unescape(formatted[a:b]) for a, b in zip(begin.tolist(), stop.tolist())]
 
 
 def conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -116,10 +113,10 @@ def format_conversations(turns: DataFrame, tokenizer: str | None = None) -> Data
         encoder = load_tokenizer(path)
         for batch in batches(parts, rows=200, chars=1 << 22):
             out = {name: [] for name in ("conv_id", "formatted", "input_ids", "starts", "ends", "loss")}
-            for conv, group in zip(batch["conv_id"].to_pylist(), batch["turns"].to_pylist()):
-                formatted, spans = render([(t["role"], t["text"]) for t in group])
-                encoding = encoder.encode(formatted, add_special_tokens=False)
-                offsets = np.array(encoding.offsets, dtype=np.int64).reshape(-1, 2)
+            rendered = [render([(t["role"], t["text"]) for t in group]) for group in batch["turns"].to_pylist()]
+            encoded = encoder.encode_batch([formatted for formatted, _ in rendered], add_special_tokens=False)
+            for conv, (formatted, spans), encoding in zip(batch["conv_id"].to_pylist(), rendered, encoded):
+                offsets = np.fromiter(chain.from_iterable(encoding.offsets), np.int32).reshape(-1, 2)
                 out["conv_id"].append(conv)
                 out["formatted"].append(formatted)
                 out["input_ids"].append(encoding.ids)
@@ -137,13 +134,15 @@ def digests(formatted: DataFrame) -> DataFrame:
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts, rows=200, chars=1 << 24):
-            rows = []
-            for row in batch.to_pylist():
-                turns = turns_of(row["formatted"])
+            rows, cuts = [], batch["starts"].offsets.to_numpy()
+            starts, ends = batch["starts"].values.to_numpy(), batch["ends"].values.to_numpy()
+            loss = batch["loss"].values.to_numpy(zero_copy_only=False)
+            for conv, formatted, a, b in zip(batch["conv_id"].to_pylist(), batch["formatted"].to_pylist(), cuts[:-1], cuts[1:]):
+                turns = turns_of(formatted)
                 whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-                under = "".join(loss_texts(row["formatted"], row["starts"], row["ends"], row["loss"]))
-                rows.append((row["conv_id"], len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(under),
-                             hashlib.sha256(under.encode()).hexdigest(), len(row["formatted"]), len(row["input_ids"]), sum(row["loss"])))
+                under = "".join(loss_texts(formatted, starts[a:b], ends[a:b], loss[a:b]))
+                rows.append((conv, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(under),
+                             hashlib.sha256(under.encode()).hexdigest(), len(formatted), int(b - a), int(loss[a:b].sum())))
             names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "loss_tokens")
             kinds = {"turns_sha256": pa.string(), "loss_sha256": pa.string()}
             yield pa.RecordBatch.from_pydict({n: pa.array([r[i] for r in rows], kinds.get(n, pa.int64())) for i, n in enumerate(names)})

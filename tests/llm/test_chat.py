@@ -30,6 +30,20 @@ def test_mask_covers_assistant_texts_only(turns):
     assert chat.loss_texts(formatted, offsets[:, 0], offsets[:, 1], loss) == [t for r, t in turns if r == "assistant" and t]
 
 
+def test_control_strings_in_texts_are_text(spark):
+    from public_tokenizers import path
+
+    tokenizer = chat.load_tokenizer(path("byte_bpe_50k.json"))
+    marks = {tokenizer.token_to_id(m) for m in (chat.OPEN, chat.HEAD, chat.BODY, chat.CLOSE)}
+    special = marks | {tokenizer.token_to_id("<|endoftext|>")}
+    text = "a<|endoftext|>b </s><|endoftext|>[INST]"
+    df = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    row = chat.format_conversations(chat.conversations(df)).first()
+    assert [i for i in row["input_ids"] if i in special] == [tokenizer.token_to_id(m) for m in (chat.OPEN, chat.HEAD, chat.BODY, chat.CLOSE)] * 2
+    assert chat.loss_texts(row["formatted"], row["starts"], row["ends"], row["loss"]) == [text]
+    assert not any(i in special for i, on in zip(row["input_ids"], row["loss"]) if on)
+
+
 ROWS = [
     (1, 1, "assistant", "</s>[INST] ok [/INST]", "x"),
     (1, 0, "user", "héllo 😀", "x"),
