@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,8 +49,8 @@ def fit_budget(lengths: Sequence[int], counts: Sequence[int], budget: int) -> li
     """How many documents of each length to take so that their sizes add up to `budget`, or as near below as can be.
 
     Longest first, each length gets its share of the budget less what a knapsack needs to work with (twice the longest length);
-    a bounded subset-sum over what is left of each length then fits the rest. Reached sums are the bits of an integer; one
-    integer per step is kept to walk back, and the walk stops at the first step that reaches the budget.
+    a bounded subset-sum over what is left of each length then fits the rest. Reached sums are the bits of an integer; of each sum
+    the step that reached it first is kept to walk back, one number a sum whatever the number of steps.
     """
     taken = [0] * len(lengths)
     total = sum(n * c for n, c in zip(lengths, counts))
@@ -66,19 +67,27 @@ def fit_budget(lengths: Sequence[int], counts: Sequence[int], budget: int) -> li
         used += taken[i] * lengths[i]
     rest = budget - used
     reach, mask, steps = 1, (1 << (rest + 1)) - 1, []
+    first = np.zeros(rest + 1, np.int32)
     for i in order:
         left, lot = counts[i] - taken[i], 1
         while left and lot * lengths[i] <= rest and not reach >> rest & 1:
             lot = min(lot, left)
-            steps.append((i, lot, reach))
-            reach |= (reach << lot * lengths[i]) & mask
+            new = (reach << lot * lengths[i]) & mask & ~reach
+            if new:
+                bits = np.frombuffer(new.to_bytes(rest // 8 + 1, "little"), np.uint8)
+                filled = np.flatnonzero(bits)
+                byte, bit = np.nonzero(np.unpackbits(bits[filled, None], axis=1, bitorder="little"))
+                first[filled[byte] * 8 + bit] = len(steps)
+                steps.append((i, lot))
+                reach |= new
             left -= lot
             lot *= 2
     at = reach.bit_length() - 1
-    for i, lot, before in reversed(steps):
-        if not before >> at & 1:
-            taken[i] += lot
-            at -= lot * lengths[i]
+    # The sum before a step was reached by an earlier step, so no step is taken twice.
+    while at:
+        i, lot = steps[first[at]]
+        taken[i] += lot
+        at -= lot * lengths[i]
     return taken
 
 

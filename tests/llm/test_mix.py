@@ -81,3 +81,15 @@ def test_odd_rows(spark):
     assert copies.columns == df.columns
     assert copies.count() == sum(r["times"] for r in rows)
     assert mix.mixed_rows(spark, nothing(spark)).count() == 0
+
+
+def test_a_budget_out_of_reach_takes_little_memory():
+    import tracemalloc
+
+    lengths = [*range(2, 4002, 2), 200_000]
+    tracemalloc.start()
+    taken = mix.fit_budget(lengths, [1] * len(lengths), sum(lengths) // 2 - 1 | 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n * k for n, k in zip(lengths, taken)) == (sum(lengths) // 2 - 1 | 1) - 1
+    assert peak < 20 << 20
