@@ -80,8 +80,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log-probability of column `at` of each row; the exponentials, written over `x`, and their sums."""
+    x -= x.max(axis=1, keepdims=True)
     picked = x[np.arange(len(x)), at]
-    np.clip(x, None, 60, out=x)
     np.exp(x, out=x)
     total = x.sum(axis=1)
     return picked - np.log(total), x, total

@@ -110,3 +110,9 @@ def test_better_than_the_base_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = [r for r in lm.score_documents(spark, docs).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > 0.985 * sum(r["base_score"] for r in rows)
+
+
+def test_large_logits_stay_log_probabilities():
+    x = np.array([[100.0, 0.0], [-200.0, -300.0], [0.0, 0.0]], np.float32)
+    picked, grown, total = rnn._softmax(x, np.array([0, 1, 0]))
+    assert np.allclose(picked, [0, -100, np.log(0.5)], atol=1e-5) and np.isfinite(grown).all() and (picked <= 0).all()
