@@ -27,8 +27,8 @@ from streamtab.llm.common import batches
 from streamtab.session import scratch_path
 
 END_ID = 1
-CACHE_WORDS = 200_000
-CACHE_BYTES = 16 << 20
+CACHE_WORDS = 400_000
+CACHE_BYTES = 32 << 20
 # Stands after the words of a text; no word holds a space.
 _END = b" "
 LAYOUT = {
