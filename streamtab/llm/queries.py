@@ -100,25 +100,23 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.checksums(tokens.read_metadata(spark, tokens.write_tokens(spark, docs), ids=True))
 
 
+# Every pair of equal lines, the stretches that pairs form along two documents, and the later lines of those that are long enough.
 _LINES_SQL = f"""
-WITH d AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
-l AS (SELECT doc_id, text, ls, unnest(generate_series(1, len(ls))) AS i FROM d),
-c AS (SELECT *, sum(CASE WHEN ls[i] = '' THEN 0 ELSE len(string_split(ls[i], ' ')) END) OVER
-        (PARTITION BY doc_id, text ORDER BY i) AS upto,
-        CASE WHEN ls[i] = '' THEN 0 ELSE len(string_split(ls[i], ' ')) END AS words FROM l),
-e AS (SELECT a.doc_id, a.text, a.i, min(b.i) AS stop FROM c a JOIN c b
-      ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.text = b.text AND b.i >= a.i AND b.upto >= a.upto - a.words + {lines.MIN_WORDS}
-      GROUP BY ALL),
-k AS (SELECT e.doc_id, e.text, e.i, stop, md5(array_to_string(list_slice(ls, e.i, stop), chr(10))) || '/' || (stop - e.i) AS content
-      FROM e JOIN d ON e.doc_id IS NOT DISTINCT FROM d.doc_id AND e.text = d.text),
-r AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id NULLS FIRST, text, i) AS nth FROM k),
-x AS (SELECT DISTINCT doc_id, text, unnest(generate_series(i, stop)) AS i FROM r WHERE nth > 1),
-kept AS (SELECT l.doc_id, l.text, count(*) FILTER (x.i IS NOT NULL) AS n_deleted,
-                coalesce(string_agg(ls[l.i], chr(10) ORDER BY l.i) FILTER (x.i IS NULL), '') AS left_text
-         FROM l LEFT JOIN x ON l.doc_id IS NOT DISTINCT FROM x.doc_id AND l.text = x.text AND l.i = x.i GROUP BY ALL)
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS nth, * FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+s AS (SELECT nth, string_split(text, chr(10)) AS ls FROM d),
+l AS (SELECT nth, i, ls[i] AS line, len(regexp_extract_all(ls[i], '[^\\x20\\x09-\\x0D]+')) AS words
+      FROM (SELECT nth, ls, unnest(generate_series(1, len(ls))) AS i FROM s)),
+p AS (SELECT a.nth, a.i, a.words, b.nth AS other, a.i - b.i AS shift FROM l a JOIN l b ON a.line = b.line AND (b.nth < a.nth OR (b.nth = a.nth AND b.i < a.i))),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY nth, other, shift ORDER BY i) AS run FROM p),
+r AS (SELECT nth, min(i) AS low, max(i) AS high FROM g GROUP BY nth, other, shift, run HAVING sum(words) >= {lines.MIN_WORDS}),
+x AS (SELECT DISTINCT nth, unnest(generate_series(low, high)) AS i FROM r),
+kept AS (SELECT l.nth, count(*) FILTER (x.i IS NOT NULL) AS n_deleted,
+                coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (x.i IS NULL), '') AS left_text
+         FROM l LEFT JOIN x ON l.nth = x.nth AND l.i = x.i GROUP BY l.nth),
+o AS (SELECT d.doc_id, d.text, n_deleted, left_text FROM kept JOIN d ON kept.nth = d.nth)
 SELECT s.doc_id, CAST(CASE WHEN s.text IS NULL THEN 0 ELSE len(string_split(s.text, chr(10))) END AS BIGINT) AS n_lines,
        coalesce(n_deleted, 0) AS n_deleted, CAST(length(left_text) AS BIGINT) AS kept_chars, md5(left_text) AS kept_md5
-FROM documents s LEFT JOIN kept ON s.doc_id IS NOT DISTINCT FROM kept.doc_id AND s.text = kept.text
+FROM documents s LEFT JOIN o ON s.doc_id IS NOT DISTINCT FROM o.doc_id AND s.text = o.text
 """
 
 
