@@ -93,16 +93,20 @@ def ev_stream(spark: SparkSession, folder: str, disorder: int = 0, batches: int
     rows = table(session, folder, "events")
     late = F.pmod(F.col("event_id") * 7919, F.lit(disorder)) * 1_000_000 if disorder else F.lit(0)
     rows = rows.withColumn("_at", epoch_us("ts") + late)
+    rows = rows.persist()
     low, high = rows.agg(F.min("_at"), F.max("_at")).first()
     path = scratch_path(session, "arrivals")
     width = ((high or 0) - (low or 0)) // batches + 1
+    files = rows.rdd.getNumPartitions()
     for i in range(batches):
         part = F.coalesce(F.floor((F.col("_at") - (low or 0)) / width), F.lit(0)) == i
-        rows.where(part).drop("_at").write.mode("append").parquet(path)
+        # Rows are dealt evenly, so that every batch has as many files as a trigger takes.
+        rows.where(part).drop("_at").repartition(files).write.mode("append").parquet(path)
     if closed:
         # One row of every type, so that a filter on the type keeps one.
         end = F.timestamp_micros(F.lit((high or 0) + CLOSING_US)).cast("timestamp_ntz")
         last = rows.drop("_at").dropDuplicates(["event_type"]).withColumns({"event_id": F.lit(None).cast("bigint"), "ts": end})
         last.coalesce(1).write.mode("append").parquet(path)
-    stream = session.readStream.schema(EVENTS).option("maxFilesPerTrigger", rows.rdd.getNumPartitions()).parquet(path)
+    rows.unpersist()
+    stream = session.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path)
     return _typed(stream).withColumn("ts", F.col("ts").cast("timestamp"))

@@ -76,39 +76,52 @@ class _StreamRunner(StatefulProcessor):
             self.kept.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        state, timers, armed, last = self._load()
-        names, first = self.schema.fieldNames(), None if armed is None else armed - 1
-        for frame in rows:
-            fresh = [tuple(_plain(v) for v in row) for row in zip(*(frame[n] for n in names))]
-            self.waiting.appendList(fresh)
-            at = names.index("event_ms")
-            first = min([r[at] for r in fresh] + ([] if first is None else [first]))
-        self._store(state, timers, armed, last, first)
+        names = self.schema.fieldNames()
+        fresh = [tuple(_plain(v) for v in row) for frame in rows for row in zip(*(frame[n] for n in names))]
+        now = timerValues.getCurrentWatermarkInMs()
+        kept = self._load()
+        if kept[2] is not None and kept[2] <= now:
+            # The key would wake in this batch anyway: one visit to its state does both.
+            self.handle.deleteTimer(kept[2])
+            return self._advance(key, kept, fresh, now)
+        state, timers, armed, last = kept
+        at = names.index("event_ms")
+        self.waiting.appendList(fresh)
+        self._store(state, timers, armed, last, min([r[at] for r in fresh] + ([] if armed is None else [armed - 1])))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state, timers, _, last = self._load()
-        now = timerValues.getCurrentWatermarkInMs()
+        return self._advance(key, self._load(), [], timerValues.getCurrentWatermarkInMs())
+
+    def _advance(self, key, kept: tuple, fresh: list[tuple], now: int) -> Iterator[pd.DataFrame]:
+        """Handle what is due of the waiting and the fresh rows; the rest waits on. The key's timer is spent."""
+        state, timers, _, last = kept
         names = self.schema.fieldNames()
-        held = [dict(zip(names, row)) for row in self.waiting.get()] if self.waiting.exists() else []
-        due = sorted((r for r in held if r["event_ms"] < now), key=lambda r: tuple(r[c] for c in self.order))
-        later = [r for r in held if r["event_ms"] >= now]
+        at, places = names.index("event_ms"), [names.index(c) for c in self.order]
+        held = list(self.waiting.get()) if self.waiting.exists() else []
+        due = sorted((r for r in (*held, *fresh) if r[at] < now), key=lambda r: tuple(r[c] for c in places))
+        later = [r for r in held if r[at] >= now]
+        waits = [r for r in fresh if r[at] >= now]
         out = []
-        for row in due:
+        for row in (dict(zip(names, r)) for r in due):
             out.extend(_fire(self.processor, state, timers, row["event_ms"]))
             if self.forget_ms is not None and last is not None and row["event_ms"] - last > self.forget_ms:
                 state, timers = {}, set()
             out.extend(self.processor.on_row(row, state, timers))
             last = row["event_ms"]
         out.extend(_fire(self.processor, state, timers, now))
-        if due:
-            if later:
-                self.waiting.put([tuple(r[n] for n in names) for r in later])
-            else:
-                self.waiting.clear()
+        # Rows already in state are written again only when some of them leave.
+        if len(later) == len(held):
+            if waits:
+                self.waiting.appendList(waits)
+        elif later or waits:
+            self.waiting.put([*map(tuple, later), *waits])
+        else:
+            self.waiting.clear()
+        later += waits
         if self.forget_ms is not None and not later and last is not None and last + self.forget_ms < now:
             state, timers = {}, set()
-        self._store(state, timers, None, last, min((r["event_ms"] for r in later), default=None))
+        self._store(state, timers, None, last, min((r[at] for r in later), default=None))
         if out:
             yield _frame([(*key, *r) for r in out], self.columns)
 
