@@ -327,17 +327,47 @@ _OUTCOME = """
 """
 
 
+_WAIT = 24 * 3_600_000
+# Step by step through an order's rows: due timer, row, new timer.
+_OUTCOMES = f"""
+WITH RECURSIVE m AS (SELECT user_id, epoch_us(ts) // 1000 AS t, event_type = 'signup' AS made,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, count(*) OVER (PARTITION BY user_id) AS total
+    FROM events WHERE event_type IN ('signup', 'purchase')),
+s AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS timer, false AS paid,
+        CAST(NULL AS VARCHAR) AS timed_out, CAST(NULL AS VARCHAR) AS done FROM m
+    UNION ALL SELECT user_id, n, CASE WHEN made AND NOT paid THEN t + {_WAIT} WHEN NOT made AND (timer IS NULL OR paid) THEN t END,
+        NOT made AND (timer IS NULL OR paid), timed_out,
+        CASE WHEN made AND paid THEN 'paid' WHEN NOT made AND timer IS NOT NULL AND NOT paid
+            THEN CASE WHEN t < timer THEN 'paid' ELSE 'paid_late' END END
+    FROM (SELECT user_id, n, t, made, CASE WHEN NOT fired THEN timer END AS timer, paid AND NOT fired AS paid,
+        CASE WHEN fired THEN CASE WHEN paid THEN 'paid_without_create' ELSE 'never_paid' END END AS timed_out
+        FROM (SELECT m.*, s.timer, s.paid, coalesce(s.timer < m.t, false) AS fired
+            FROM s JOIN m ON s.user_id = m.user_id AND m.n = s.n + 1)))
+SELECT user_id, timed_out AS result_state FROM s WHERE timed_out IS NOT NULL
+UNION ALL SELECT user_id, done FROM s WHERE done IS NOT NULL
+UNION ALL SELECT s.user_id, CASE WHEN s.paid THEN 'paid_without_create' ELSE 'never_paid' END
+    FROM s JOIN m ON s.user_id = m.user_id AND s.n = m.n AND m.n = m.total
+    WHERE s.timer IS NOT NULL
+"""
+
+
+@query("order_outcome", _OUTCOMES)
+def order_outcome(spark, folder):
+    create, pay = F.col("event_type") == "signup", F.col("event_type") == "purchase"
+    return pattern.order_outcome(ev(spark, folder), USER, ORDER, create, pay, "24 hours")
+
+
 @query(
-    "order_outcome",
+    "order_outcome_first",
     f"""
     WITH t AS (SELECT user_id, min(CASE WHEN event_type = 'signup' THEN ts END) AS create_ts,
         min(CASE WHEN event_type = 'purchase' THEN ts END) AS pay_ts FROM events GROUP BY user_id)
     SELECT *, {_OUTCOME} FROM t WHERE create_ts IS NOT NULL OR pay_ts IS NOT NULL
     """,
 )
-def order_outcome(spark, folder):
+def order_outcome_first(spark, folder):
     create, pay = F.col("event_type") == "signup", F.col("event_type") == "purchase"
-    return pattern.order_outcome(ev(spark, folder), "user_id", "ts", create, pay, "24 hours")
+    return pattern.first_outcome(ev(spark, folder), "user_id", "ts", create, pay, "24 hours")
 
 
 @query(
@@ -357,7 +387,7 @@ def order_outcome_shipping(spark, folder):
         F.col("l_orderkey").alias("orderkey"), F.col("l_shipdate").alias("ts"), F.lit("pay").alias("kind")
     )
     rows = made.unionByName(sent)
-    return pattern.order_outcome(rows, "orderkey", "ts", F.col("kind") == "create", F.col("kind") == "pay", "24 hours")
+    return pattern.first_outcome(rows, "orderkey", "ts", F.col("kind") == "create", F.col("kind") == "pay", "24 hours")
 
 
 @query(

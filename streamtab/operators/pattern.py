@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from streamtab.functions.times import epoch_us, from_us, micros
 from streamtab.operators.over import top_n
-from streamtab.operators.scan import Hot, Near, find_hot, hot_limit, is_small, lag, run_count, run_min, run_over, run_sum
+from streamtab.operators.scan import Hot, Near, find_hot, hot_limit, is_small, lag, lead, run_count, run_max, run_min, run_over, run_sum
 from streamtab.session import ready_checkpoints
 
 
@@ -88,8 +88,35 @@ def followed_by(
     return out.where(met | reached).select(*df.columns, "then_ts", "deadline", "status")
 
 
-def order_outcome(df: DataFrame, key: str, ts: str, create: Column, pay: Column, within: str) -> DataFrame:
-    """One outcome per order from its first create and first pay."""
+def order_outcome(df: DataFrame, keys: Sequence[str], order: Sequence[str], create: Column, pay: Column, within: str) -> DataFrame:
+    """(keys, result_state): every outcome of an order's creates and pays in time order, as the keyed processor `OrderOutcome` gives them on streams.
+
+    A create waits for a pay until its deadline, a later create takes its place, a pay without a create waits for one of its own millisecond.
+    Whatever else comes later finds the order empty. `order` starts with the event time and ends with a tie-break; rows without a time are
+    left out. A row either leaves the order open whatever was before it, or turns open into empty and empty into open, so a state is
+    the parity of the turns since the last row of the first kind: running counts, which cut a hot order into chunks.
+    """
+    wait = F.lit(micros(within) // 1000)
+    kept = df.where((create | pay) & F.col(order[0]).isNotNull())
+    kept = kept.withColumns({"_made": F.coalesce(create, F.lit(False)), "_ms": F.floor(epoch_us(order[0]) / F.lit(1000))})
+    kept = kept.select(*dict.fromkeys([*keys, *order, "_made", "_ms"]))
+    hot = find_hot(kept, keys)
+    near = {"_was": lag("_made"), "_then": lag("_ms"), "_next": lead("_ms"), "_made_next": lead("_made")}
+    seen = run_over(kept, keys, order, {**near, "_n": run_count()}, hot=hot)
+    since = F.col("_ms") - F.col("_then")
+    turns = F.when(F.col("_made"), ~F.col("_was") & (since == 0)).otherwise(F.col("_was") & (since <= wait))
+    seen = seen.withColumn("_turns", F.coalesce(turns, F.lit(False)))
+    seen = run_over(seen, keys, order, {"_base": run_max(F.when(~F.col("_turns"), F.col("_n")))}, hot=hot)
+    open_after = (F.col("_n") - F.col("_base")) % 2 == 0
+    ahead = F.col("_next") - F.col("_ms")
+    waiting = F.when(ahead.isNull() | (ahead > wait), "never_paid").when(F.col("_made_next"), None).when(ahead < wait, "paid").otherwise("paid_late")
+    stray = F.when(ahead.isNull() | (ahead > 0), "paid_without_create").when(F.col("_made_next"), "paid")
+    out = seen.where(open_after).withColumn("result_state", F.when(F.col("_made"), waiting).otherwise(stray))
+    return out.where(F.col("result_state").isNotNull()).select(*keys, "result_state")
+
+
+def first_outcome(df: DataFrame, key: str, ts: str, create: Column, pay: Column, within: str) -> DataFrame:
+    """One outcome per order from its first create and first pay, whatever came between or later."""
     times = df.groupBy(key).agg(
         F.min(F.when(create, F.col(ts))).alias("create_ts"), F.min(F.when(pay, F.col(ts))).alias("pay_ts")
     )

@@ -1,7 +1,9 @@
 """Patterns, state processors and jobs on small fixtures, against brute force and known answers."""
 
 import datetime as dt
+import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -125,13 +127,35 @@ def test_order_outcomes_and_state_machine(spark):
     data = [("paid", 0, "create"), ("paid", 899, "pay"), ("late", 0, "create"), ("late", 900, "pay"), ("none", 0, "create"),
             ("stray", 5, "pay")]
     df = timeline(spark, data)
-    got = pattern.order_outcome(df, "k", "ts", F.col("v") == "create", F.col("v") == "pay", "15 minutes")
+    got = pattern.first_outcome(df, "k", "ts", F.col("v") == "create", F.col("v") == "pay", "15 minutes")
     want = [("late", "paid_late"), ("none", "never_paid"), ("paid", "paid"), ("stray", "paid_without_create")]
     assert rows(got, "k", "result_state") == want
     # The machine runs on a watermark that passes the deadline with the late payment, so it has timed out by then.
     machine = stateful.OrderOutcome("v", "create", "pay", 900_000)
     out = stateful.keyed_process(df, ["k"], ["ts", "event_id"], machine, "k string, result_state string")
     assert rows(out) == want
+    assert rows(pattern.order_outcome(df, ["k"], ["ts", "event_id"], F.col("v") == "create", F.col("v") == "pay", "15 minutes")) == sorted(
+        [("late", "paid_late"), *[w for w in want if w[0] != "late"]]
+    )
+
+
+@pytest.mark.parametrize("seed,hot", [(1, None), (2, None), (3, 40)])
+def test_order_outcomes_are_those_of_the_machine(spark, seed, hot):
+    rng = random.Random(seed)
+    times = {k: sorted(rng.randrange(60) for _ in range(n)) for k, n in (("a", 30), ("b", 60), ("c", 1), ("d", 200))}
+    data = [(k, t, rng.choice(["create", "pay", "pay", "create", "other"])) for k, at in times.items() for t in at]
+    df = timeline(spark, data)
+    machine = stateful.OrderOutcome("v", "create", "pay", 3_000)
+    want = rows(stateful.keyed_process(df, ["k"], ["ts", "event_id"], machine, "k string, result_state string"))
+    if hot:
+        spark.conf.set("streamtab.hotKeyRows", str(hot))
+        spark.conf.set("streamtab.chunkRows", "16")
+    try:
+        got = rows(pattern.order_outcome(df, ["k"], ["ts", "event_id"], F.col("v") == "create", F.col("v") == "pay", "3 seconds"))
+    finally:
+        spark.conf.unset("streamtab.hotKeyRows")
+        spark.conf.unset("streamtab.chunkRows")
+    assert got == want and len({s for _, s in got}) == 4
 
 
 def brute_slots(data, waits):
