@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamtab.catalog.aggregates import _LATE, arrivals
+from streamtab.catalog import patterns
+from streamtab.catalog.aggregates import ORDER, _LATE, arrivals
 from streamtab.catalog.base import ev_stream, query
-from streamtab.catalog.streams import _MILLIS, USER, _processed, _timed_ms
+from streamtab.catalog.streams import _MILLIS, USER, _processed, _timed_ms, timed
 from streamtab.functions.times import epoch_us, micros
 from streamtab.streaming import jobs, machines
+from streamtab.streaming.run import drain
 
 _HOUR = 3_600_000
 _W = "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"
@@ -170,3 +172,9 @@ def stream_split_late(spark, folder):
     end = F.timestamp_micros((F.floor(epoch_us("ts") / size) + 1) * size)
     late = F.coalesce(epoch_us(end) + micros("1 minute") <= epoch_us("watermark"), F.lit(False))
     return out.select("event_id", end.alias("window_end"), F.when(late, "late").otherwise("on_time").alias("tag"))
+
+
+@query("stream_match_steps", patterns._STEPS)
+def stream_match_steps(spark, folder):
+    matches = machines.match_steps(timed(spark, folder), USER, ORDER, patterns.pattern_of_steps(), "7 days")
+    return patterns.step_times(drain(matches, "steps"))

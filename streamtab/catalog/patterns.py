@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from streamtab.catalog.aggregates import _ARRIVALS, ORDER, arrivals
 from streamtab.catalog.base import EV, HOPS, ev, query
 from streamtab.catalog.sources import _REQUEST_URL, requests
+from streamtab.functions.times import from_us
 from streamtab.operators import eventtime, over, pattern
 from streamtab.plans import jobs
 from streamtab.sources.files import table
@@ -304,6 +305,33 @@ def strict_sequence(spark, folder):
     return out.select("user_id", "event_id", "first_ts", "last_ts")
 
 
+_STEPS = """
+    WITH m AS (SELECT *, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    e AS (SELECT *, min(CASE WHEN event_type = 'error' THEN n END) OVER (PARTITION BY user_id ORDER BY n
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS error_n FROM m)
+    SELECT s.user_id, s.event_id, s.ts AS first_ts, b.ts AS error_ts, c.ts AS last_ts FROM e s
+    JOIN e a ON a.user_id = s.user_id AND a.n = s.error_n JOIN e b ON b.user_id = s.user_id AND b.n = a.error_n
+    JOIN e c ON c.user_id = s.user_id AND c.n = b.n + 1
+    WHERE s.event_type = 'signup' AND c.event_type = 'purchase' AND c.ts - s.ts < INTERVAL 7 DAY
+"""
+
+
+def pattern_of_steps():
+    """A signup, later two errors, and a purchase right after the second."""
+    kind = F.col("event_type")
+    return [pattern.Step(kind == "signup"), pattern.Step(kind == "error", 2), pattern.Step(kind == "purchase", strict=True)]
+
+
+def step_times(matches):
+    picked = {"first_ts": 1, "error_ts": 3, "last_ts": 4}
+    return matches.select("user_id", "event_id", *[from_us(F.element_at("at", i)).cast("timestamp_ntz").alias(c) for c, i in picked.items()])
+
+
+@query("match_steps", _STEPS)
+def match_steps(spark, folder):
+    return step_times(pattern.match_steps(ev(spark, folder), USER, ORDER, pattern_of_steps(), "7 days"))
+
+
 @query(
     "followed_by_timeout",
     """

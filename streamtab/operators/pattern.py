@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from math import ceil, log2
 
 import numpy as np
@@ -65,6 +66,52 @@ def sequence(
     return seen.where(hit).withColumn("first_ts", F.col(ts)).select(*df.columns, "first_ts", "last_ts")
 
 
+@dataclass(frozen=True)
+class Step:
+    """`times` rows that meet `pred`. A strict step's rows each follow the row before with nothing between, a relaxed step's are the next that meet it."""
+
+    pred: Column
+    times: int = 1
+    strict: bool = False
+
+
+def unrolled(steps: Sequence[Step]) -> tuple[list[int], list[bool]]:
+    """For every row of a match, in order: its step, and whether it must follow the row before at once."""
+    return [i for i, s in enumerate(steps) for _ in range(s.times)], [s.strict for s in steps for _ in range(s.times)]
+
+
+def match_steps(df: DataFrame, keys: Sequence[str], order: Sequence[str], steps: Sequence[Step], within: str, inclusive: bool = False) -> DataFrame:
+    """(keys, last column of `order`, at): the first row of every match and the times of all its rows in microseconds since the epoch.
+
+    Every row that meets the first step opens a match, which goes on with the next fitting row and is dropped where a strict step fails or when it
+    is not done in less than `within` (`inclusive`: at most). `order` starts with the event time and ends with a tie-break. Rows without a
+    time are left out; a null condition is not met. Times are carried from the last step back to the first, by one ordered scan a step.
+    """
+    places, strict = unrolled(steps)
+    kept = df.where(F.col(order[0]).isNotNull()).withColumns({f"_p{i}": F.coalesce(s.pred, F.lit(False)) for i, s in enumerate(steps)})
+    flags = [f"_p{i}" for i in range(len(steps))]
+    kept = kept.withColumn("_us", epoch_us(order[0])).select(*dict.fromkeys([*keys, *order]), "_us", *flags)
+    if not any(strict):
+        kept = kept.where(F.greatest(*flags, F.lit(False)))
+    hot = find_hot(kept, keys)
+    seen = run_over(kept, keys, order, {"_n": run_count()}, hot=hot)
+    own = F.array("_us")
+    seen = seen.withColumn("_at", F.when(F.col(flags[places[-1]]), own))
+    for place, after, at_once in zip(places[-2::-1], places[:0:-1], strict[:0:-1]):
+        if at_once:
+            seen = run_over(seen, keys, order, {"_ahead": lead("_at")}, hot=hot)
+        else:
+            # The next row that meets the step is taken even where the match fails later on.
+            nearest = F.when(F.col(flags[after]), F.struct("_n", "_at"))
+            seen = run_over(seen, keys, order, {"_near": run_min(nearest, backward=True)}, hot=hot)
+            seen = run_over(seen.drop("_at"), keys, order, {"_next": lead("_near")}, hot=hot)
+            seen = seen.withColumn("_ahead", F.col("_next._at")).drop("_near", "_next")
+        seen = seen.withColumn("_at", F.when(F.col(flags[place]), F.concat(own, "_ahead"))).drop("_ahead")
+    took = F.element_at("_at", -1) - F.element_at("_at", 1)
+    done = took <= micros(within) if inclusive else took < micros(within)
+    return seen.where(done).select(*dict.fromkeys([*keys, order[-1]]), F.col("_at").alias("at"))
+
+
 def followed_by(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, then: Column, within: str
 ) -> DataFrame:

@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from streamtab.streaming.stateful import KeyedProcessor
+from streamtab.functions.times import epoch_us, micros
+from streamtab.operators.pattern import Step, unrolled
+from streamtab.streaming.stateful import KeyedProcessor, keyed_process
 
 DAY_MS = 86_400_000
 
@@ -163,3 +167,59 @@ class TopValues(KeyedProcessor):
             state["top"] = after
             for rank, held in enumerate(after, 1):
                 yield (int(row["event_id"]), rank, held)
+
+
+class StepMatch(KeyedProcessor):
+    """(first row's id, times) of every match of `hits`, one flag column a row of the match; see `match_steps`.
+
+    Matches that wait for the same row are held together and move on together. What can no longer end in time goes with the next row or timer.
+    """
+
+    def __init__(self, id_col: str, hits: Sequence[str], strict: Sequence[bool], within_us: int, inclusive: bool = False):
+        self.id_col, self.hits, self.strict = id_col, list(hits), list(strict)
+        # A match may take less than this.
+        self.limit = within_us + inclusive
+
+    def on_row(self, row, state, timers):
+        now, last = row["event_us"], len(self.hits) - 1
+        # Per row of the match: those that wait for it.
+        held = state.get("held") or [[] for _ in self.hits]
+        held = [[m for m in group if now - m[1][0] < self.limit] for group in held]
+        for place in range(last, 0, -1):
+            if row[self.hits[place]]:
+                moved = [[key, [*at, now]] for key, at in held[place]]
+                held[place] = []
+                if place == last:
+                    yield from ((key, at) for key, at in moved)
+                else:
+                    held[place + 1] += moved
+            elif self.strict[place]:
+                held[place] = []
+        if row[self.hits[0]]:
+            if last:
+                held[1].append([row[self.id_col], [now]])
+            else:
+                yield (row[self.id_col], [now])
+        timers.clear()
+        if any(held):
+            state["held"] = held
+            timers.add(row["event_ms"] + self.limit // 1000 + 1)
+        else:
+            state.clear()
+
+    def on_timer(self, at, state, timers):
+        # Set by the last row, which is younger than all that waits.
+        state.clear()
+        return ()
+
+
+def match_steps(df: DataFrame, keys: Sequence[str], order: Sequence[str], steps: Sequence[Step], within: str, inclusive: bool = False) -> DataFrame:
+    """The rows of `operators.pattern.match_steps` from a watermarked stream, each once its last row is behind the watermark."""
+    places, strict = unrolled(steps)
+    flags = {f"hit{i}": F.coalesce(s.pred, F.lit(False)) for i, s in enumerate(steps)}
+    rows = df.withColumns({"event_us": epoch_us(order[0]), **flags}).select(*dict.fromkeys([*keys, *order]), "event_us", *flags)
+    if not any(strict):
+        rows = rows.where(F.greatest(*flags, F.lit(False)))
+    machine = StepMatch(order[-1], [f"hit{i}" for i in places], strict, micros(within), inclusive)
+    schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in [*keys, order[-1]])
+    return keyed_process(rows, keys, order, machine, f"{schema}, at array<bigint>")
