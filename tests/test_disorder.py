@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from streamtab.catalog.base import child_session
 from streamtab.operators.eventtime import with_event_time
-from streamtab.streaming.run import drain, use_rocksdb
+from streamtab.streaming.run import drain, start_rows, use_rocksdb
 from streamtab.streaming.stateful import KeyedProcessor, RunningCount, SlotMatcher, keyed_process
 
 SCHEMA = "k bigint, event_id bigint, s bigint, side int"
@@ -63,3 +63,25 @@ def test_batch_keeps_long_keys_beside_null_ones(spark, big):
     df = spark.createDataFrame([(None, 1, 10, 0), (big, 2, 11, 0), (big + 1, 3, 12, 0)], SCHEMA).withColumn("ts", F.timestamp_seconds("s"))
     got = keyed_process(df.coalesce(1), ["k"], ["ts", "event_id"], Echo(), "k bigint, event_id bigint").collect()
     assert sorted(((r["event_id"], r["k"]) for r in got)) == [(1, None), (2, big), (3, big + 1)]
+
+
+def test_many_keys_share_few_groups_of_state(spark, tmp_path):
+    keys = [None, 2**53 + 1, 2**53 + 2, 2**62 + 3, *range(1, 400)]
+    batches = [[(k, 10 * i + b, 1000 + 100 * b + (7 * i) % 90, 0) for i, k in enumerate(keys)] for b in range(3)] + [[(1, 9999, 9000, 0)]]
+    for rows in batches:
+        rows.reverse()
+    schema = "k bigint, event_id bigint, seq bigint"
+    # Objects keep whole numbers beside nulls whole on the way into the test's files.
+    objects = [[tuple(map(lambda v: pd.NA if v is None else v, r)) for r in rows] for rows in batches]
+    session_rows = feed_whole(spark, tmp_path, objects)
+    out = keyed_process(session_rows, ["k"], ["ts", "event_id"], RunningCount(), schema, buckets=8)
+    query = start_rows(out, f"{tmp_path}/rows", f"{tmp_path}/state", availableNow=True)
+    query.awaitTermination()
+    # A bucket holds its wake-up, a timer in two forms, and its rows and states in a few parts.
+    assert all(p["stateOperators"][0]["numRowsTotal"] <= 8 * 8 for p in query.recentProgress if p["stateOperators"])
+    got = sorted(((r["event_id"], r["k"], r["seq"]) for r in spark.read.schema(schema).parquet(f"{tmp_path}/rows").collect() if r["event_id"] != 9999))
+    assert got == sorted((10 * i + b, k, b + 1) for i, k in enumerate(keys) for b in range(3))
+
+
+def feed_whole(spark, path, batches):
+    return feed(spark, path, [pd.DataFrame(rows, columns=["k", "event_id", "s", "side"]).astype({"k": "Int64"}) for rows in batches])
