@@ -114,8 +114,9 @@ def format_conversations(turns: DataFrame, tokenizer: str | None = None) -> Data
         for batch in batches(parts, rows=200, chars=1 << 22):
             out = {name: [] for name in ("conv_id", "formatted", "input_ids", "starts", "ends", "loss")}
             rendered = [render([(t["role"], t["text"]) for t in group]) for group in batch["turns"].to_pylist()]
-            encoded = encoder.encode_batch([formatted for formatted, _ in rendered], add_special_tokens=False)
-            for conv, (formatted, spans), encoding in zip(batch["conv_id"].to_pylist(), rendered, encoded):
+            for conv, (formatted, spans) in zip(batch["conv_id"].to_pylist(), rendered):
+                # One by one: a batch would be dealt over threads, each with memory of its own, on a core that the task has alone.
+                encoding = encoder.encode(formatted, add_special_tokens=False)
                 offsets = np.fromiter(chain.from_iterable(encoding.offsets), np.int32).reshape(-1, 2)
                 out["conv_id"].append(conv)
                 out["formatted"].append(formatted)
@@ -135,8 +136,9 @@ def digests(formatted: DataFrame) -> DataFrame:
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts, rows=200, chars=1 << 24):
             rows, cuts = [], batch["starts"].offsets.to_numpy()
-            starts, ends = batch["starts"].values.to_numpy(), batch["ends"].values.to_numpy()
-            loss = batch["loss"].values.to_numpy(zero_copy_only=False)
+            cuts = cuts - cuts[0]
+            starts, ends = batch["starts"].flatten().to_numpy(), batch["ends"].flatten().to_numpy()
+            loss = batch["loss"].flatten().to_numpy(zero_copy_only=False)
             for conv, formatted, a, b in zip(batch["conv_id"].to_pylist(), batch["formatted"].to_pylist(), cuts[:-1], cuts[1:]):
                 turns = turns_of(formatted)
                 whole = "".join(f"{role}\n{text}\n" for role, text in turns)
@@ -147,7 +149,7 @@ def digests(formatted: DataFrame) -> DataFrame:
             kinds = {"turns_sha256": pa.string(), "loss_sha256": pa.string()}
             yield pa.RecordBatch.from_pydict({n: pa.array([r[i] for r in rows], kinds.get(n, pa.int64())) for i, n in enumerate(names)})
 
-    return formatted.mapInArrow(
+    return formatted.select("conv_id", "formatted", "starts", "ends", "loss").mapInArrow(
         read,
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
         "n_tokens long, loss_tokens long",

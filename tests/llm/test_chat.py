@@ -1,4 +1,7 @@
 import hashlib
+import os
+import subprocess
+import sys
 
 import numpy as np
 from hypothesis import given, settings
@@ -77,3 +80,27 @@ def test_digests(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert listed(chat.digests(chat.format_conversations(chat.conversations(df)))) == []
+
+
+_ENCODE = """
+import os
+import pyarrow as pa
+from streamtab.llm import chat
+
+class Rows:
+    def mapInArrow(self, encode, schema):
+        return encode
+
+batch = pa.RecordBatch.from_pylist([{"conv_id": i, "turns": [{"turn": 0, "role": "assistant", "text": f"word {i} " * 50}]} for i in range(300)])
+encode = chat.format_conversations(Rows())
+before = len(os.listdir("/proc/self/task"))
+assert sum(b.num_rows for b in encode(iter([batch]))) == 300
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+
+
+def test_a_task_encodes_on_one_thread():
+    env = {k: v for k, v in os.environ.items() if k not in ("TOKENIZERS_PARALLELISM", "RAYON_NUM_THREADS")}
+    env["PYTHONPATH"] = os.pathsep.join(filter(None, [os.getcwd(), env.get("PYTHONPATH")]))
+    done = subprocess.run([sys.executable, "-c", _ENCODE], env=env, capture_output=True, text=True, timeout=120, check=True)
+    assert done.stdout.split()[-1] == "0"
