@@ -11,15 +11,15 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamtab.llm import rnn
-from streamtab.llm.common import batches, saved, words
+from streamtab.llm.common import batches, saved, word_lists, words
 
 # Words whose counts are broadcast, words of the network, buckets of the others.
 TABLE_WORDS, NETWORK_WORDS, BUCKETS = 1 << 18, 48 * rnn.CLASS_SIZE, 32
@@ -114,33 +114,35 @@ def encode(spark: SparkSession, rows: DataFrame, table: Table) -> DataFrame:
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, counts, buckets, sizes = shared.value
-        place = {w: i for i, w in enumerate(listed)}.get
+        known = pa.array(listed, pa.binary()).cast(pa.string())
+        end = listed.index(END) if END in listed else -1
         log_count, log_size = np.log10(counts + 1.0), np.log10(sizes)
         network = np.where(np.arange(len(listed)) < NETWORK_WORDS, np.arange(len(listed)), NETWORK_WORDS + buckets).astype(np.uint16)
-        for batch in batches(parts, rows=2000, chars=1 << 22):
-            out = {n: [] for n in ("n_tokens", "known", "base", "rare", "ids", "rare_words", "rare_times")}
-            for text in batch["text"].to_pylist():
-                found = words(text)
-                found.append(END)
-                at = np.fromiter(map(place, found, repeat(-1)), np.int64, len(found))
-                inside = at >= 0
-                ids = np.empty(len(found), np.uint16)
-                ids[inside] = network[at[inside]]
-                others = [found[i] for i in np.flatnonzero(~inside).tolist()]
-                ids[~inside] = [NETWORK_WORDS + bucket_of(w) for w in others]
-                held = log_count[at[inside]]
-                away = ids >= NETWORK_WORDS
-                times = Counter(others)
-                out["n_tokens"].append(len(found))
-                out["known"].append(int(inside.sum()))
-                out["base"].append(float(held.sum()))
-                out["rare"].append(float(held[away[inside]].sum() - log_size[ids[away].astype(np.int64) - NETWORK_WORDS].sum()))
-                out["ids"].append(ids.tobytes())
-                out["rare_words"].append(list(times))
-                out["rare_times"].append(list(times.values()))
-            kinds = {"n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "rare": pa.float64(), "ids": pa.binary(),
-                     "rare_words": pa.list_(pa.binary()), "rare_times": pa.list_(pa.int32())}
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "held_out": batch["held_out"]} | {c: pa.array(v, kinds[c]) for c, v in out.items()})
+        for batch in batches(parts, rows=4000, chars=1 << 23):
+            found, reach = word_lists(batch["text"])
+            # Places in the table (-1: outside) of all words of the batch, the end of each text after its words.
+            at = np.insert(pc.index_in(found, value_set=known).fill_null(-1).to_numpy(), reach[1:], end)
+            cuts = reach + np.arange(len(reach))
+            inside, is_end = at >= 0, np.zeros(len(at), bool)
+            is_end[cuts[1:] - 1] = True
+            rest = iter(found.filter(pa.array(~inside[~is_end])).cast(pa.binary()).to_pylist())
+            others = [END if e else next(rest) for e in is_end[~inside].tolist()]
+            ids = np.empty(len(at), np.uint16)
+            ids[inside] = network[at[inside]]
+            ids[~inside] = [NETWORK_WORDS + bucket_of(w) for w in others]
+            base, rare = np.zeros(len(at)), np.zeros(len(at))
+            base[inside] = log_count[at[inside]]
+            away = ids >= NETWORK_WORDS
+            rare[away] = base[away] - log_size[ids[away].astype(np.int64) - NETWORK_WORDS]
+            reach = np.append(0, np.cumsum(~inside))[cuts].tolist()
+            times = [Counter(others[x:y]) for x, y in zip(reach[:-1], reach[1:])]
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": batch["doc_id"], "held_out": batch["held_out"], "n_tokens": pa.array(np.diff(cuts)),
+                 "known": pa.array(np.add.reduceat(inside.astype(np.int64), cuts[:-1])), "base": pa.array(np.add.reduceat(base, cuts[:-1])),
+                 "rare": pa.array(np.add.reduceat(rare, cuts[:-1])),
+                 "ids": pa.Array.from_buffers(pa.binary(), len(times), [None, pa.py_buffer((2 * cuts).astype(np.int32)), pa.py_buffer(ids)]),
+                 "rare_words": pa.array([list(t) for t in times], pa.list_(pa.binary())),
+                 "rare_times": pa.array([list(t.values()) for t in times], pa.list_(pa.int32()))})
 
     coded = rows.mapInArrow(read, ENCODED.format(kind=kind))
     return saved(spark, coded.withColumn("row", F.monotonically_increasing_id()), "lm-encoded")

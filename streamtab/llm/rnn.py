@@ -13,6 +13,8 @@ import numpy as np
 
 UNITS, CLASS_SIZE = 16, 32
 WINDOW, LANES = 16, 256
+# Lanes of a pass that does not learn, whose scores do not depend on them.
+SCORE_LANES = 512
 # A chunk that is learnt from gets at least about so many windows, by fewer lanes.
 LEAST_WINDOWS = 40
 RATE, CLIP = 0.08, 5.0
@@ -78,21 +80,36 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sum of each row, added in the order in which numpy adds a contiguous row of up to 128, however `x` lies in memory."""
+    if x.shape[1] % 8:
+        return x.sum(axis=1)
+    s = x.T.reshape(x.shape[1] // 8, 8, len(x)).sum(axis=0)
+    return ((s[0] + s[1]) + (s[2] + s[3])) + ((s[4] + s[5]) + (s[6] + s[7]))
+
+
 def _softmax(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-probability of column `at` of each row; the exponentials, written over `x`, and their sums."""
-    x -= x.max(axis=1, keepdims=True)
-    picked = x[np.arange(len(x)), at]
-    np.exp(x, out=x)
-    total = x.sum(axis=1)
+    """Log-probability of column `at` of each row; the exponentials, written over `x`, and their sums. Fastest where columns are contiguous."""
+    columns = x.T
+    columns -= columns.max(axis=0)
+    picked = columns[at, np.arange(len(x))]
+    np.exp(columns, out=columns)
+    total = _sums(x)
     return picked - np.log(total), x, total
 
 
 def _error(x: np.ndarray, total: np.ndarray, at: np.ndarray, share: int) -> np.ndarray:
-    """Gradient of the loss over `share` from exponentials and sums, written over `x`."""
-    x /= total[:, None]
-    x[np.arange(len(x)), at] -= 1
-    x *= np.float32(1 / max(1, share))
-    return x
+    """Gradient of the loss over `share` from exponentials and sums, which are overwritten."""
+    columns = x.T
+    columns /= total
+    columns[at, np.arange(len(x))] -= 1
+    columns *= np.float32(1 / max(1, share))
+    return np.ascontiguousarray(x)
+
+
+def _ranked(ids: np.ndarray) -> np.ndarray:
+    """Stable order of ids or classes, of which there are fewer than 65,536: numpy sorts 16 bits by their digits."""
+    return np.argsort(ids.astype(np.uint16), kind="stable")
 
 
 class Pass:
@@ -106,7 +123,7 @@ class Pass:
 
     def run(self, documents: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood (natural) of each document; its state starts at zero, with the end token as what came before."""
-        most = LANES
+        most = SCORE_LANES
         if self.learn:
             most = int(max(8, min(LANES, sum(map(len, documents)) // (WINDOW * LEAST_WINDOWS))))
         # A window counts by its tokens: when few lanes are left it moves little.
@@ -152,33 +169,32 @@ class Pass:
         classes, size = m["word_bias"].shape
         word = y < self.vocab
         group = np.where(word, y // size, y - self.vocab + classes)
-        logits = h @ m["class"]
-        logits += m["class_bias"]
-        logs, e, total = _softmax(logits, group)
+        # Logits are laid out with the states of one column together: reductions then run along them.
+        logits = m["class"].T @ h.T
+        logits += m["class_bias"][:, None]
+        logs, e, total = _softmax(logits.T, group)
         scores = logs.astype(np.float64)
         order = np.flatnonzero(word)
-        order = order[np.argsort(group[order], kind="stable")]
+        order = order[_ranked(group[order])]
         cuts = np.searchsorted(group[order], np.arange(classes + 1))
         sorted_h, places = h[order], y[order] % size
-        inside = np.empty(len(order), np.float64)
+        held = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if i < j]
         dh = grads = None
         if self.learn:
             d = _error(e, total, group, self.share)
             grads = {"class": h.T @ d, "class_bias": d.sum(axis=0), "word": np.zeros_like(m["word"]), "word_bias": np.zeros_like(m["word_bias"])}
             dh = d @ m["class"].T
-            back = np.empty_like(sorted_h)
-        for c in range(classes):
-            cut = slice(cuts[c], cuts[c + 1])
-            if cut.start == cut.stop:
-                continue
-            own, place = sorted_h[cut], places[cut]
-            logits = own @ m["word"][c]
-            logits += m["word_bias"][c]
-            inside[cut], e, total = _softmax(logits, place)
-            if self.learn:
-                d = _error(e, total, place, self.share)
-                grads["word"][c], grads["word_bias"][c] = own.T @ d, d.sum(axis=0)
-                back[cut] = d @ m["word"][c].T
+        # Logits of all classes side by side, so that one softmax does them all.
+        logits, columns = np.empty((size, len(order)), np.float32), sorted_h.T
+        for c, cut in held:
+            np.matmul(m["word"][c].T, columns[:, cut], out=logits[:, cut])
+            logits[:, cut] += m["word_bias"][c][:, None]
+        inside, e, total = _softmax(logits.T, places)
+        if self.learn:
+            d, back = _error(e, total, places, self.share), np.empty_like(sorted_h)
+            for c, cut in held:
+                grads["word"][c], grads["word_bias"][c] = sorted_h[cut].T @ d[cut], d[cut].sum(axis=0)
+                back[cut] = d[cut] @ m["word"][c].T
         scores[order] += inside
         if self.learn and len(y):
             dh[order] += back
@@ -204,7 +220,7 @@ class Pass:
             carry[starts[t]] = 0
         grads["state"] = kept.reshape(-1, u).T @ dg.reshape(-1, 3 * u)
         ids = before.ravel()
-        order = np.argsort(ids, kind="stable")
+        order = _ranked(ids)
         first = np.flatnonzero(np.r_[True, ids[order][1:] != ids[order][:-1]])
         sums = np.add.reduceat(dx.reshape(-1, 3 * u)[order], first, axis=0)
         rows = ids[order][first]

@@ -3,9 +3,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from streamtab.llm import lm, rnn
-from streamtab.llm.common import words
+from streamtab.llm.common import word_lists, words
 from tests.llm.helpers import nothing, odd
 
 
@@ -116,3 +117,36 @@ def test_large_logits_stay_log_probabilities():
     x = np.array([[100.0, 0.0], [-200.0, -300.0], [0.0, 0.0]], np.float32)
     picked, grown, total = rnn._softmax(x, np.array([0, 1, 0]))
     assert np.allclose(picked, [0, -100, np.log(0.5)], atol=1e-5) and np.isfinite(grown).all() and (picked <= 0).all()
+
+
+def test_a_window_takes_two_softmaxes_and_lanes_leave_scores_alone(monkeypatch):
+    """One over all words' classes together, where there was one a class."""
+    rng, calls, real = np.random.default_rng(5), [], rnn._softmax
+    docs = [rng.integers(0, 6 * rnn.CLASS_SIZE + 4, n).astype(np.int32) for n in rng.integers(1, 60, 40)]
+    log_word = np.log(rng.dirichlet(np.ones(rnn.CLASS_SIZE), 6))
+    model = rnn.initial(log_word, np.log(rng.dirichlet(np.ones(10))))
+    monkeypatch.setattr(rnn, "_softmax", lambda *a: calls.append(1) or real(*a))
+    steps = len(rnn.lanes(docs, rnn.LANES)[0])
+    apart = rnn.Pass(model, 0).run(docs)
+    assert len(calls) <= 2 * -(-steps // rnn.WINDOW)
+    assert np.allclose(apart, [rnn.Pass(model, 0).run([d])[0] for d in docs], rtol=1e-6)
+    # Against the probabilities written out: class, then word within it.
+    state = np.zeros((1, rnn.UNITS), np.float32)
+    want, before = 0.0, 0
+    for y in docs[0]:
+        state = rnn.Pass(model, 0)._states(np.array([[before]]), np.zeros((1, 1), bool), state)[4][0]
+        logits = state[0] @ model["class"] + model["class_bias"]
+        group = y // rnn.CLASS_SIZE if y < 6 * rnn.CLASS_SIZE else y - 6 * rnn.CLASS_SIZE + 6
+        want += logits[group] - np.log(np.exp(logits).sum())
+        if y < 6 * rnn.CLASS_SIZE:
+            logits = state[0] @ model["word"][group] + model["word_bias"][group]
+            want += logits[y % rnn.CLASS_SIZE] - np.log(np.exp(logits).sum())
+        before = y
+    assert np.isclose(apart[0], want, rtol=1e-4)
+
+
+def test_word_lists_are_the_words():
+    texts = [None, "", " ", "a", " a\tB\n", "\x0b\x0cx\r\n\r\ny z", "\u00c4 \u00a0 \u0085q\x1c", "  \u2003"]
+    found, cuts = word_lists(pa.array(texts, pa.string()))
+    listed = [w.encode() for w in found.to_pylist()]
+    assert [listed[x:y] for x, y in zip(cuts[:-1], cuts[1:])] == [words(t) for t in texts]
