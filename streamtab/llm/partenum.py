@@ -11,8 +11,8 @@ in one component, so a large group of near copies is not expanded into its pairs
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +30,8 @@ CELLS = 3
 # Members of a signature group that are compared with each other in one task; larger groups are divided by more signatures.
 GROUP_ROWS = 2048
 FILTER_BITS = 24
+# Bits of a signature that are written and shuffled. Sets that share them by chance are candidates like others, which verification drops.
+SIGNATURE_MASK = np.uint64((1 << 40) - 1)
 # Signatures that are handed on at once (1 MB).
 BATCH_SIGNATURES = 1 << 17
 _ODD = np.uint64(0x94D049BB133111EB)
@@ -121,9 +123,13 @@ def signatures(elements: np.ndarray, percent: int = PERCENT, seed: int = 0) -> n
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """Parity of the number of elements in each of a power of two of buckets, about four per element (256 to 4096)."""
+    """Parity of the number of elements in each of a power of two of buckets, one or two per element (256 to 4096).
+
+    Sets with nothing in common then differ in about half the buckets, over twice as many as linked ones may. It travels with every
+    signature of a group, so more buckets cost more than the few pairs they would tell apart.
+    """
     size = 256
-    while size < 4 * len(elements) and size < 4096:
+    while size < len(elements) and size < 4096:
         size *= 2
     bits = np.bincount((mixed(elements * _ODD) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
@@ -149,10 +155,10 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 
 def classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(row columns, n_shingles, class, sigs) of rows with a `text`, which is dropped: one pass that splits and hashes each text once.
+    """(row columns, n_shingles, class, sigs, sketch) of rows with a `text`, which is dropped: one pass that splits and hashes each text once.
 
-    No words: 0 shingles and a null class. `sigs` are the class's signatures; null on rows whose set was met before in their stretch
-    of rows, so that copies next to each other carry them once.
+    No words: 0 shingles and a null class. `sigs` are the class's signatures and `sketch` is its sketch; null on rows whose set was met
+    before in their stretch of rows, so that copies next to each other carry them once.
     """
     kept = [c for c in rows.columns if c != "text"]
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
@@ -160,13 +166,16 @@ def classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
 
-        def made(batch: pa.RecordBatch, sizes: list[int], names: list[int | None], sigs: list[np.ndarray | None]) -> pa.RecordBatch:
+        def made(
+            batch: pa.RecordBatch, sizes: list[int], names: list[int | None], sigs: list[np.ndarray | None], bits: list[bytes | None]
+        ) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict(
                 {c: batch[c] for c in kept} | {"n_shingles": pa.array(sizes, pa.int64()), "class": pa.array(names, pa.int64()),
-                 "sigs": pa.array([None if s is None else s.view(np.int64) for s in sigs], pa.list_(pa.int64()))})
+                 "sigs": pa.array([None if s is None else s.view(np.int64) for s in sigs], pa.list_(pa.int64())),
+                 "sketch": pa.array(bits, pa.binary())})
 
         for batch in batches(parts, rows=2000, chars=1 << 22):
-            sizes, names, sigs, start, held = [], [], [], 0, 0
+            sizes, names, sigs, bits, start, held = [], [], [], [], 0, 0
             if len(seen) > 1 << 17:
                 seen.clear()
             for text in batch["text"].to_pylist():
@@ -174,21 +183,28 @@ def classes(rows: DataFrame, n: int, percent: int) -> DataFrame:
                 name = digest(elements) if len(elements) else None
                 sizes.append(len(elements))
                 names.append(name)
-                sigs.append(None if name is None or name in seen else signatures(elements, percent))
+                fresh = name is not None and name not in seen
+                sigs.append(signatures(elements, percent) & SIGNATURE_MASK if fresh else None)
+                bits.append(sketch(elements) if fresh else None)
                 seen.add(name)
                 held += 0 if sigs[-1] is None else len(sigs[-1])
                 # Cut by signatures, of which a text has a number that grows with its length and with the threshold.
                 if held > BATCH_SIGNATURES:
-                    yield made(batch.slice(start, len(sizes)), sizes, names, sigs)
+                    yield made(batch.slice(start, len(sizes)), sizes, names, sigs, bits)
                     start += len(sizes)
-                    sizes, names, sigs, held = [], [], [], 0
-            yield made(batch.slice(start, len(sizes)), sizes, names, sigs)
+                    sizes, names, sigs, bits, held = [], [], [], [], 0
+            yield made(batch.slice(start, len(sizes)), sizes, names, sigs, bits)
+
+    return rows.mapInArrow(read, ", ".join(filter(None, [kinds, "n_shingles long, class long, sigs array<long>, sketch binary"])))
+
 
-    return rows.mapInArrow(read, ", ".join(filter(None, [kinds, "n_shingles long, class long, sigs array<long>"])))
+def _kept(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """`classes` written, by a codec that leaves out the empty bits of signatures."""
+    return saved(spark, rows, "partenum-classes", compression="zstd")
 
 
-def _sets(spark: SparkSession, texts: DataFrame, made: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, size, sketch, elements) of the classes in `ids`, each read from one of its texts.
+def _elements(spark: SparkSession, texts: DataFrame, made: DataFrame, n: int, ids: DataFrame) -> DataFrame:
+    """(id, elements) of the classes in `ids`, each read from one of its texts again: whole sets are wanted of few classes.
 
     A bit per hash of such a text, in a filter of fixed size, tells most other texts apart before they are split; the join is exact.
     """
@@ -206,7 +222,7 @@ def _sets(spark: SparkSession, texts: DataFrame, made: DataFrame, ids: DataFrame
         for batch in batches(parts, rows=2000, chars=1 << 22):
             low = batch["copy"].to_numpy() & ((1 << FILTER_BITS) - 1)
             batch = batch.filter(pa.array((filled[low >> 5] >> (low & 31) & 1).astype(bool)))
-            out = {"id": [], "size": [], "sketch": [], "elements": []}
+            names, sets = [], []
             if len(seen) > 1 << 17:
                 seen.clear()
             for text in batch["text"].to_pylist():
@@ -214,17 +230,16 @@ def _sets(spark: SparkSession, texts: DataFrame, made: DataFrame, ids: DataFrame
                 name = digest(elements) if len(elements) else None
                 if name is not None and name not in seen:
                     seen.add(name)
-                    for column, value in zip(out, (name, len(elements), sketch(elements), elements.view(np.int64))):
-                        out[column].append(value)
-            kinds = {"id": pa.int64(), "size": pa.int64(), "sketch": pa.binary(), "elements": pa.list_(pa.int64())}
-            yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds[c]) for c, v in out.items()})
+                    names.append(name)
+                    sets.append(elements.view(np.int64))
+            yield pa.RecordBatch.from_pydict({"id": pa.array(names, pa.int64()), "elements": pa.array(sets, pa.list_(pa.int64()))})
 
-    found = texts.select("text", F.xxhash64("text").alias("copy")).mapInArrow(read, "id long, size long, sketch binary, elements array<long>")
-    return saved(spark, found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "partenum-sets")
+    found = texts.select("text", F.xxhash64("text").alias("copy")).mapInArrow(read, "id long, elements array<long>")
+    return saved(spark, found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "partenum-elements")
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of `pairs` that are linked: sizes and sketches first, then the sets themselves."""
+def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int, elements: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The (a, b) of `pairs` that are linked: sizes and sketches first, then the sets themselves, which are read for what is left."""
 
     def rough(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -239,14 +254,17 @@ def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: i
                 sides.append([values[x:y] for x, y in zip(cuts[:-1], cuts[1:])])
             yield batch.select(["a", "b"]).filter(pa.array([linked(x, y, percent) for x, y in zip(*sides)], pa.bool_()))
 
-    def beside(columns: list[str], rows: DataFrame) -> DataFrame:
+    def beside(own: DataFrame, rows: DataFrame) -> DataFrame:
+        columns = [c for c in own.columns if c != "id"]
         for side in ("a", "b"):
-            own = sets.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
-            rows = rows.join(own, side)
+            rows = rows.join(own.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
         return rows.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
 
-    near = saved(spark, beside(["size", "sketch"], pairs).mapInArrow(rough, "a long, b long"), "partenum-near")
-    return saved(spark, beside(["elements"], near).mapInArrow(exact, "a long, b long"), "partenum-links")
+    near = saved(spark, beside(sets, pairs).mapInArrow(rough, "a long, b long"), "partenum-near")
+    if near.isEmpty():
+        return near
+    whole = elements(near.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    return saved(spark, beside(whole, near).mapInArrow(exact, "a long, b long"), "partenum-links")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -275,7 +293,7 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def _divided(spark: SparkSession, rows: DataFrame, sets: DataFrame, percent: int, most: int) -> DataFrame:
+def _divided(spark: SparkSession, rows: DataFrame, percent: int, most: int, elements: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Signature rows of groups with more than one component, groups above `most` rows divided until they are not.
 
     A large group is divided by the signatures of another seed: linked members share one of those too.
@@ -300,7 +318,7 @@ def _divided(spark: SparkSession, rows: DataFrame, sets: DataFrame, percent: int
                     {"sig": _signed(np.concatenate([m[0] for m in made])), "id": pa.array(np.concatenate([np.full(len(m[0]), m[1], np.int64) for m in made])),
                      "label": pa.array(np.concatenate([np.full(len(m[0]), m[2], np.int64) for m in made]))})
 
-        rows = rows.join(sets.select("id", "elements"), "id").mapInArrow(finer, "sig long, id long, label long")
+        rows = rows.join(elements(rows.select("id").distinct()), "id").mapInArrow(finer, "sig long, id long, label long")
     return out.unionByName(rows)
 
 
@@ -348,18 +366,20 @@ def class_components(
     """(id, label) of the classes that are linked to others; `made` are the `classes` of `texts` with `copy`, if already there."""
     every = Window.partitionBy("sig")
     if made is None:
-        made = saved(spark, classes(texts.select(F.xxhash64("text").alias("copy"), "text"), n, percent), "partenum-classes")
+        made = _kept(spark, classes(texts.select(F.xxhash64("text").alias("copy"), "text"), n, percent))
     rows = made.where("sigs IS NOT NULL").select(F.explode("sigs").alias("sig"), F.col("class").alias("id"))
     rows = rows.withColumn("first", F.min("id").over(every)).withColumn("last", F.max("id").over(every)).where("first < last")
     shared = saved(spark, rows.select("sig", "id", "first"), "partenum-shared")
-    sets = _sets(spark, texts, made, shared.select("id").distinct(), n)
+    sets = made.where("sketch IS NOT NULL").select(F.col("class").alias("id"), F.col("n_shingles").alias("size"), "sketch")
+    sets = saved(spark, sets.join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "partenum-sets")
+    elements = partial(_elements, spark, texts, made, n)
     # Each class against the first of each of its groups.
-    links = _verified(spark, shared.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), sets, percent)
+    links = _verified(spark, shared.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), sets, percent, elements)
     labels = None if links.isEmpty() else components(spark, links)
     # Then what is still apart: joins that would connect a group's components, and at last every pair that may be a link.
     for forest in (True, False):
-        rest = _divided(spark, _labelled(shared.select("sig", "id"), labels), sets, percent, group_rows)
-        more = _verified(spark, _across(spark, rest, sets, percent, forest), sets, percent)
+        rest = _divided(spark, _labelled(shared.select("sig", "id"), labels), percent, group_rows, elements)
+        more = _verified(spark, _across(spark, rest, sets, percent, forest), sets, percent, elements)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(spark, links)
@@ -374,7 +394,7 @@ def near_groups(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     take part, and a component of only such rows has a null id.
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    made = saved(spark, classes(rows.select("id", F.xxhash64("text").alias("copy"), "text"), n, percent), "partenum-classes")
+    made = _kept(spark, classes(rows.select("id", F.xxhash64("text").alias("copy"), "text"), n, percent))
     labels = class_components(spark, rows.select("text"), n, percent, made=made)
     own = made.select("id", "n_shingles", "class")
     # From here on a class is a row, so a large group of copies is one row until its documents are looked up.

@@ -89,3 +89,26 @@ def test_one_of_each(spark):
     assert len(kept) == 4 + 1 + 1
     assert sum(r[1] == "one two three" for r in kept) == 1
     assert partenum.one_of_each(spark, nothing(spark)).count() == 0
+
+
+def test_whole_sets_are_written_for_candidates_only(spark, monkeypatch):
+    """Of what is written, only the sets of pairs whose sketches allow a link hold all shingles; signatures have 40 bits."""
+    rng, written, real = random.Random(3), [], partenum.saved
+
+    def saved(spark, df, label, **options):
+        out = real(spark, df, label, **options)
+        written.append((label, out))
+        return out
+
+    monkeypatch.setattr(partenum, "saved", saved)
+    base = [f"w{i}" for i in range(400)]
+    # Texts with one long passage in common: they share signatures, and are far from linked.
+    docs = [(k, " ".join(base[:200] + [f"{k}x{rng.random()}" for _ in range(200)])) for k in range(30)]
+    docs += [(100, " ".join(base)), (101, " ".join([*base, "more"]))]
+    out = partenum.near_groups(spark, spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {k: min(k, 100) for k, _ in docs}
+    sizes = {label: max(df.count() for name, df in written if name == label) for label, _ in written}
+    assert sizes["partenum-sets"] > 2 and sizes["partenum-elements"] == 2
+    assert {label for label, df in written if "elements" in df.columns} == {"partenum-elements"}
+    sigs = next(df for label, df in written if label == "partenum-classes").selectExpr("explode(sigs) AS sig")
+    assert sigs.where("sig < 0 OR sig >= 1099511627776").count() == 0 and max(len(partenum.sketch(np.arange(n, dtype=np.uint64))) for n in range(330)) == 64
