@@ -91,9 +91,27 @@ class WordEncoder:
         """Empty the caches: `index` numbers words as they are met, and word i has the ids `flat[begin[i] : begin[i] + size[i]]`."""
         self.index: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.flat, self.begin, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        # How often each word was met since the last trim.
+        self.met = np.empty(0, np.int64)
         self.pieces: dict[str, bytes] = {}
         self.held = 0
 
+    def trim(self) -> None:
+        """Keep the words that were met again, at most a quarter of the limit: those come next, most others were met once and never will be."""
+        kept = np.flatnonzero(self.met > 1)
+        if len(kept) > self.limit // 4:
+            kept = np.sort(kept[np.argsort(-self.met[kept], kind="stable")[: self.limit // 4]])
+        listed = list(self.index)
+        words = [listed[i] for i in kept.tolist()]
+        begin, size = self.begin[kept], self.size[kept]
+        held = sum(map(len, words)) + 4 * int(size.sum())
+        flat = self.flat[np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)]
+        self.forget()
+        if held <= self.limit_bytes // 2:
+            self.index = defaultdict(count(len(words)).__next__, zip(words, range(len(words))))
+            self.flat, self.begin, self.size, self.held = flat, np.cumsum(size) - size, size, held
+            self.met = np.zeros(len(words), np.int64)
+
     def _alone(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4").tobytes()
@@ -160,11 +178,13 @@ class WordEncoder:
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(coded), "<i4")])
             self.held += sum(map(len, fresh)) + 4 * int(size.sum())
+            self.met = np.append(self.met, np.zeros(new, np.int64))
+        self.met += np.bincount(at, minlength=len(self.met))
         sizes = self.size[at]
         reach = np.append(0, np.cumsum(sizes))
         ids = self.flat[np.arange(reach[-1]) + np.repeat(self.begin[at] - reach[:-1], sizes)]
         if len(self.index) > self.limit or self.held > self.limit_bytes:
-            self.forget()
+            self.trim()
         return ids, np.diff(reach[np.append(0, np.cumsum(lengths))])
 
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
@@ -175,7 +195,7 @@ class WordEncoder:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str, end_id: int) -> WordEncoder:
-    """One encoder a worker process, for one end id; `forget` frees its words when a task ends."""
+    """One encoder a worker process, for one end id; `trim` frees most of its words when a task ends."""
     return WordEncoder(path)
 
 
@@ -202,8 +222,8 @@ def write_tokens(
                 {"doc_id": batch["doc_id"], "part": pa.array(np.full(len(sizes), part, np.int32)), "local_start": pa.array(start + ends - sizes),
                  "n_tokens": pa.array(sizes), "ids": pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))})
             start += int(sizes.sum())
-        # The worker process goes on to other tasks, maybe of other stages.
-        encoder.forget()
+        # The worker process goes on to other tasks, maybe of other stages: only common words stay.
+        encoder.trim()
 
     path = path or scratch_path(spark, "tokens")
     rows.mapInArrow(encode, SCHEMA).write.options(**LAYOUT).parquet(path)

@@ -84,3 +84,19 @@ def test_odd_rows(spark):
     assert listed(got) == brute(rows)
     empty = tokens.write_tokens(spark, nothing(spark))
     assert tokens.checksums(tokens.read_metadata(spark, empty, ids=True)).count() == 0
+
+
+def test_words_met_again_stay_known_between_tasks(monkeypatch):
+    """A task does not learn again what the one before it met more than once; the rest is forgotten, and so is all beyond the bounds."""
+    encoder, asked = tokens.WordEncoder(PATH, limit=8), []
+    first = encoder.ids_of([b"often rare often", b"often again again"], 1)
+    encoder.trim()
+    assert set(encoder.index) == {b"often", b"again"} or set(encoder.index) == {b"often", b" "}
+    real = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda fresh: asked.extend(fresh) or real(fresh))
+    assert all(np.array_equal(x, y) for x, y in zip(first, encoder.ids_of([b"often rare often", b"often again again"], 1)))
+    assert b"often" not in asked and b"rare" in asked
+    small = tokens.WordEncoder(PATH, limit_bytes=10)
+    small.ids_of([b"longish longish words words"], 1)
+    small.trim()
+    assert not small.index and small.held == 0
