@@ -30,6 +30,10 @@ CELLS = 3
 # Members of a signature group that are compared with each other in one task; larger groups are divided by more signatures.
 GROUP_ROWS = 2048
 FILTER_BITS = 24
+# Groups from so many members on are compared by arrays; pairs that a task holds to tell each once; elements of sets in a part of a cluster.
+WIDE_ROWS = 16
+PAIR_ROWS = 1 << 17
+PART_ELEMENTS = 1 << 20
 # Bits of a signature that are written and shuffled. Sets that share them by chance are candidates like others, which verification drops.
 SIGNATURE_MASK = np.uint64((1 << 40) - 1)
 # Signatures that are handed on at once (1 MB).
@@ -322,42 +326,148 @@ def _divided(spark: SparkSession, rows: DataFrame, percent: int, most: int, elem
     return out.unionByName(rows)
 
 
-def _across(spark: SparkSession, rows: DataFrame, sets: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Pairs of one signature group and different components whose sketches allow a link.
+def _candidates(members: list[tuple[int, int, int, bytes]], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, places j) of the members of other components that member i may be linked to; each pair comes once.
 
-    With `forest`, of each group only as many as join its components; the rest would tell nothing new if these are links.
+    Pairs are met from the side of the shorter sketch, to which the other is folded.
     """
+    if len(members) < WIDE_ROWS:
+        for i, (_, la, size_a, bits_a) in enumerate(members):
+            found = [j for j in range(i) if members[j][1] != la and may_link(size_a, bits_a, members[j][2], members[j][3], percent)]
+            if found:
+                yield i, np.array(found)
+        return
+    label = np.array([m[1] for m in members])
+    size = np.array([m[2] for m in members])
+    long = np.array([len(m[3]) for m in members])
+    for length in np.unique(long):
+        wide = np.flatnonzero(long >= length)
+        bits = np.zeros((len(wide), length // 8), np.uint64)
+        for row, at in enumerate(wide):
+            bits[row] = np.bitwise_xor.reduce(np.frombuffer(members[at][3], np.uint64).reshape(-1, length // 8), axis=0)
+        for row in np.flatnonzero(long[wide] == length):
+            i = wide[row]
+            small, large = np.minimum(size[wide], size[i]), np.maximum(size[wide], size[i])
+            own = np.flatnonzero(((long[wide] > length) | (wide < i)) & (label[wide] != label[i]) & (100 * small >= percent * large))
+            apart = np.bitwise_count(bits[own] ^ bits[row]).sum(axis=1, dtype=np.int64)
+            found = wide[own[apart <= (100 - percent) * (size[wide[own]] + size[i]) // (100 + percent)]]
+            if len(found):
+                yield int(i), found
+
+
+def _joins(root: np.ndarray, i: int, places: np.ndarray) -> np.ndarray:
+    """One of `places` for each component there that is not the one of i; these then are one in `root`."""
+    apart, first = np.unique(root[places], return_index=True)
+    other = apart != root[i]
+    if other.any():
+        root[np.isin(root, apart[other])] = root[i]
+    return places[first[other]]
 
-    def pairs(members: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int, int]]:
-        root = {label: label for _, label, _, _ in members}
 
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
+def _across(spark: SparkSession, rows: DataFrame, sets: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """(a, b, dense): pairs of one signature group and different components whose sketches allow a link.
 
-        for i, (a, la, size_a, bits_a) in enumerate(members):
-            for b, lb, size_b, bits_b in members[:i]:
-                if la != lb and not (forest and find(la) == find(lb)) and may_link(size_a, bits_a, size_b, bits_b, percent):
-                    root[find(la)] = find(lb)
-                    yield min(a, b), max(a, b)
+    With `forest`, of each group only as many as join its components; the rest would tell nothing new if these are links. Without, a group
+    with more than twice as many pairs as members is dense: of it only as many as connect all that are in such pairs, for `_dense_links`.
+    A group so never gives more than two rows a member.
+    """
+
+    def pairs(members: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int, int, bool]]:
+        names, root = [m[0] for m in members], None
+        every, tree, dense = [], [], False
+        for i, places in _candidates(members, percent):
+            if root is None:
+                root = np.unique([m[1] for m in members], return_inverse=True)[1] if forest else np.arange(len(members))
+            tree += [(i, j) for j in _joins(root, i, places)]
+            if not forest and not dense:
+                every += [(i, j) for j in places]
+                dense = len(every) > 2 * len(members)
+        for i, j in tree if forest or dense else every:
+            yield min(names[i], names[j]), max(names[i], names[j]), dense
+
+    def made(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        kinds = {"a": pa.int64(), "b": pa.int64(), "dense": pa.bool_()}
+        return pa.RecordBatch.from_pydict({c: pa.array([p[i] for p in found], kind) for i, (c, kind) in enumerate(kinds.items())})
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current, found = [], None, []
+        held, current, found = [], None, set()
         for batch in parts:
             for sig, *member in zip(*(batch[c].to_pylist() for c in ("sig", "id", "label", "size", "sketch"))):
                 if sig != current:
-                    found += pairs(held)
+                    # A pair shares many signatures: it is told once a stretch of groups.
+                    found.update(pairs(held))
                     held, current = [], sig
+                    if len(found) >= PAIR_ROWS:
+                        yield made(list(found))
+                        found.clear()
                 held.append(tuple(member))
-            yield pa.RecordBatch.from_pydict({c: pa.array([p[i] for p in found], pa.int64()) for i, c in enumerate("ab")})
-            found = []
-        found = list(pairs(held))
-        yield pa.RecordBatch.from_pydict({c: pa.array([p[i] for p in found], pa.int64()) for i, c in enumerate("ab")})
+        found.update(pairs(held))
+        yield made(list(found))
 
     beside = rows.distinct().join(sets.select("id", "size", "sketch"), "id")
     grouped = beside.repartition("sig").sortWithinPartitions("sig", "id")
-    return grouped.mapInArrow(compare, "a long, b long").distinct()
+    return grouped.mapInArrow(compare, "a long, b long, dense boolean").distinct()
+
+
+def _joined(names: np.ndarray, part: np.ndarray, label: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the sets of different components, as many as join these; in different parts, if there are two."""
+    size = np.array([len(e) for e in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Sets that hold an element stand together; elements that only one set has are in no intersection.
+    order = np.argsort(token, kind="stable")
+    holders, ends = owner[order], np.cumsum(times)
+    cuts = np.append(0, np.cumsum(size))
+    two = part.min() != part.max()
+    root = np.unique(label, return_inverse=True)[1]
+    found = []
+    for i in range(len(sets)):
+        own = token[cuts[i] : cuts[i + 1]]
+        own = own[times[own] > 1]
+        if not len(own) or not (root != root[i]).any():
+            continue
+        common = np.bincount(np.concatenate([holders[ends[t] - times[t] : ends[t]] for t in own]), minlength=len(sets))
+        near = (100 * common >= percent * (size + size[i] - common)) & (root != root[i])
+        if two:
+            near &= part != part[i]
+        found += [(int(min(names[i], names[j])), int(max(names[i], names[j]))) for j in _joins(root, i, np.flatnonzero(near))]
+    return found
+
+
+def _dense_links(
+    spark: SparkSession, near: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int, most: int, elements: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Links (a, b) within what the pairs of `near` connect, as many as join its components, each tested on whole sets.
+
+    A cluster is dealt into parts of about `most` classes (fewer if they are large), and each two of its parts are compared in one task, where
+    a set is held once, however many signatures it shares.
+    """
+    clusters = components(spark, near).withColumnRenamed("label", "cluster").join(sets.select("id", "size"), "id")
+    clusters = saved(spark, _labelled(clusters, labels), "partenum-clusters")
+    parts = F.ceil(F.greatest(F.count("*") / F.lit(most), F.sum("size") / F.lit(PART_ELEMENTS))).alias("parts")
+    dealt = clusters.join(clusters.groupBy("cluster").agg(parts), "cluster").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = dealt.select("cluster", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "id", "part", "label")
+
+    def compare_sets(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links() -> pa.RecordBatch:
+            found = _joined(*(np.array([m[k] for m in held]) for k in range(3)), [m[3] for m in held], percent) if held else []
+            return pa.RecordBatch.from_pydict({c: pa.array([p[i] for p in found], pa.int64()) for i, c in enumerate("ab")})
+
+        held, current = [], None
+        for batch in batches(batches_, chars=1 << 24):
+            cuts, values = batch["elements"].offsets.to_numpy(), batch["elements"].values.to_numpy()
+            rows = zip(*(batch[c].to_pylist() for c in ("cluster", "i", "j", "id", "part", "label")))
+            for at, (cluster, i, j, *member) in enumerate(rows):
+                if (cluster, i, j) != current:
+                    yield links()
+                    held, current = [], (cluster, i, j)
+                held.append((*member, values[cuts[at] : cuts[at + 1]]))
+        yield links()
+
+    whole = elements(clusters.select("id"))
+    blocks = dealt.join(whole, "id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id")
+    return saved(spark, blocks.mapInArrow(compare_sets, "a long, b long").distinct(), "partenum-dense")
 
 
 def class_components(
@@ -376,10 +486,15 @@ def class_components(
     # Each class against the first of each of its groups.
     links = _verified(spark, shared.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), sets, percent, elements)
     labels = None if links.isEmpty() else components(spark, links)
-    # Then what is still apart: joins that would connect a group's components, and at last every pair that may be a link.
+    # Then what is still apart: joins that would connect a group's components, and at last every pair that may be a link, those of dense
+    # groups by comparing whole sets in place, so that what is written grows with the members of a group and not with their pairs.
     for forest in (True, False):
         rest = _divided(spark, _labelled(shared.select("sig", "id"), labels), percent, group_rows, elements)
-        more = _verified(spark, _across(spark, rest, sets, percent, forest), sets, percent, elements)
+        near = saved(spark, _across(spark, rest, sets, percent, forest), "partenum-across")
+        more = _verified(spark, near.where("NOT dense").select("a", "b"), sets, percent, elements)
+        dense = near.where("dense").select("a", "b")
+        if not dense.isEmpty():
+            more = more.unionByName(_dense_links(spark, dense, labels, sets, percent, group_rows, elements))
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(spark, links)

@@ -112,3 +112,52 @@ def test_whole_sets_are_written_for_candidates_only(spark, monkeypatch):
     assert {label for label, df in written if "elements" in df.columns} == {"partenum-elements"}
     sigs = next(df for label, df in written if label == "partenum-classes").selectExpr("explode(sigs) AS sig")
     assert sigs.where("sig < 0 OR sig >= 1099511627776").count() == 0 and max(len(partenum.sketch(np.arange(n, dtype=np.uint64))) for n in range(330)) == 64
+
+
+def near_copies(count, words_each, changed, seed=3):
+    """Texts that differ from one text in a few words each, at places of their own."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words_each)]
+    out = []
+    for i in range(count):
+        own = list(base)
+        for at in rng.sample(range(words_each), changed):
+            own[at] = f"x{i}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("size, percent", [(40, 85), (9, 85)])
+def test_rows_of_a_group_grow_with_its_members(spark, size, percent):
+    texts = near_copies(size, 400, 5)
+    sets = [np.unique(np.array([hash(g) & (1 << 62) - 1 for g in sets_of(t)], np.uint64)) for t in texts]
+    assert not any(partenum.linked(a, b, 95) for i, a in enumerate(sets) for b in sets[:i])
+    rows = spark.createDataFrame([(1, i, i) for i in range(size)], "sig long, id long, label long")
+    made = spark.createDataFrame([(i, len(e), bytearray(partenum.sketch(e))) for i, e in enumerate(sets)], "id long, size long, sketch binary")
+    for forest in (True, False):
+        found = partenum._across(spark, rows, made, percent, forest).collect()
+        assert size - 1 <= len(found) <= 2 * size
+        # All that may be linked stay together.
+        root = list(range(size))
+        for r in found:
+            root = [root[r["a"]] if x == root[r["b"]] else x for x in root]
+        assert len(set(root)) == 1
+
+
+@pytest.mark.parametrize("group_rows", [2048, 7])
+def test_near_copies_that_are_mostly_apart(spark, group_rows, monkeypatch):
+    dense = []
+    whole = partenum._dense_links
+    monkeypatch.setattr(partenum, "_dense_links", lambda *a: dense.append(1) or whole(*a))
+    docs = list(enumerate(near_copies(30, 400, 5) + near_copies(12, 400, 4, seed=8)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = partenum.class_components(spark, df.select("text"), percent=85, group_rows=group_rows)
+    made = partenum.classes(df, partenum.SHINGLE, 85).select("doc_id", "class").join(labels.withColumnRenamed("id", "class"), "class", "left")
+    found = {}
+    for r in made.collect():
+        found.setdefault(r["label"] if r["label"] is not None else r["class"], []).append(r["doc_id"])
+    expected = {}
+    for key, _, component in brute(docs):
+        expected.setdefault(component, []).append(key)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
+    assert dense
