@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamtab.llm import rnn
-from streamtab.llm.common import batches, saved, word_lists, words
+from streamtab.llm.common import batches, saved, word_lists
 
 # Words whose counts are broadcast, words of the network, buckets of the others.
 TABLE_WORDS, NETWORK_WORDS, BUCKETS = 1 << 18, 48 * rnn.CLASS_SIZE, 32
 ROUNDS = 2
-COUNTER_WORDS = 1 << 19
+# Words that are counted at once.
+COUNTED_BYTES = 1 << 26
 CHUNK_TOKENS = 1 << 22
 END = b""
 
@@ -37,18 +38,19 @@ def count_words(spark: SparkSession, texts: DataFrame) -> DataFrame:
     """(word, n) over `texts`, the end of each text as the empty word. Tasks count before they shuffle, in bounded memory."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held, ends, size = [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"word": pa.array(list(held), pa.binary()), "n": pa.array(list(held.values()), pa.int64())})
+            found = pa.chunked_array(held, pa.string()).value_counts()
+            listed = pa.concat_arrays([found.field("values").cast(pa.binary()), pa.array([END], pa.binary())])
+            return pa.RecordBatch.from_pydict({"word": listed, "n": pa.concat_arrays([found.field("counts"), pa.array([ends], pa.int64())])})
 
         for batch in batches(parts, chars=1 << 22):
-            held[END] += batch.num_rows
-            for text in batch["text"].to_pylist():
-                held.update(words(text))
-            if len(held) > COUNTER_WORDS:
+            held.append(word_lists(batch["text"])[0])
+            ends, size = ends + batch.num_rows, size + held[-1].nbytes
+            if size > COUNTED_BYTES:
                 yield flush()
-                held.clear()
+                held, ends, size = [], 0, 0
         yield flush()
 
     counted = texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -18,6 +18,8 @@ SCORE_LANES = 512
 # A chunk that is learnt from gets at least about so many windows, by fewer lanes.
 LEAST_WINDOWS = 40
 RATE, CLIP = 0.08, 5.0
+# More than one window's arrays take.
+KEPT_BYTES = 1 << 24
 
 
 def initial(log_word: np.ndarray, log_class: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
@@ -71,13 +73,20 @@ def lanes(documents: list[np.ndarray], most: int = LANES) -> tuple[np.ndarray, n
             tokens[lane, at : at + sizes[d]] = documents[d]
             owner[lane, at : at + sizes[d]] = d
             at += sizes[d]
-    return np.ascontiguousarray(tokens.T), np.ascontiguousarray(owner.T), lengths
+    return tokens.T, owner.T, lengths
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x = np.exp(-x)
+def _sigmoid(x: np.ndarray) -> None:
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
     x += 1
-    return np.reciprocal(x, out=x)
+    np.reciprocal(x, out=x)
+
+
+def _table(rows: int, count: int) -> np.ndarray:
+    """Room for rows of `count` numbers that do not begin a power of two apart, where a copy by columns would find few places in the cache."""
+    return np.empty((rows, (count + 15) // 16 * 16 | 16), np.float32)[:, :count]
 
 
 def _sums(x: np.ndarray) -> np.ndarray:
@@ -112,6 +121,26 @@ def _ranked(ids: np.ndarray) -> np.ndarray:
     return np.argsort(ids.astype(np.uint16), kind="stable")
 
 
+def _run_sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """`np.add.reduceat(rows, first, axis=0)` to the last bit; runs of up to eight rows, which most are, are added side by side."""
+    sizes = np.diff(first, append=len(rows))
+    out = rows.take(first, axis=0)
+    short = np.flatnonzero((sizes > 1) & (sizes <= 8))
+    # As there, the first row is added last.
+    rest = rows.take(first[short] + 1, axis=0)
+    for k in range(2, 8):
+        more = np.flatnonzero(sizes[short] > k)
+        rest[more] += rows.take(first[short[more]] + k, axis=0)
+    out[short] += rest
+    long = np.flatnonzero(sizes > 8)
+    if len(long):
+        held = sizes[long]
+        starts = np.cumsum(held) - held
+        at = np.repeat(first[long] - starts, held) + np.arange(held.sum())
+        out[long] = np.add.reduceat(rows.take(at, axis=0), starts, axis=0)
+    return out
+
+
 class Pass:
     """Runs a model over lanes window by window; with `learn`, every window also updates it (Adagrad)."""
 
@@ -120,6 +149,8 @@ class Pass:
         self.vocab = model["word_bias"].size
         self.share = 1
         self.squares = {k: np.full_like(v, 1e-7) for k, v in model.items()} if learn else {}
+        # A freed block of this size tells the C library to keep what a window frees; else every window asks the system for it again.
+        np.empty(KEPT_BYTES, np.uint8)
 
     def run(self, documents: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood (natural) of each document; its state starts at zero, with the end token as what came before."""
@@ -130,54 +161,66 @@ class Pass:
         self.share = most * WINDOW
         tokens, owner, lengths = lanes(documents, most)
         steps, count = tokens.shape
-        starts = np.ones((steps, count), bool)
-        starts[1:] = owner[1:] != owner[:-1]
-        before = np.full((steps, count), self.end, np.int32)
-        before[1:] = np.where(starts[1:] | (tokens[:-1] < 0), self.end, tokens[:-1])
         state, total = np.zeros((count, UNITS), np.float32), np.zeros(len(documents))
         for at in range(0, steps, WINDOW):
-            live = int((lengths > at).sum())
-            cut, state = (slice(at, min(at + WINDOW, steps)), slice(0, live)), state[:live]
-            state, scores = self._window(tokens[cut], before[cut], starts[cut], state)
-            valid = tokens[cut] >= 0
-            total += np.bincount(owner[cut][valid], weights=scores, minlength=len(documents))
+            live, to = int((lengths > at).sum()), min(at + WINDOW, steps)
+            here, mine = np.ascontiguousarray(tokens[at:to, :live]), np.ascontiguousarray(owner[at:to, :live])
+            starts, before = np.ones(here.shape, bool), np.full(here.shape, self.end, np.int32)
+            if at:
+                starts[0] = mine[0] != owner[at - 1, :live]
+                before[0] = np.where(starts[0], self.end, tokens[at - 1, :live])
+            starts[1:] = mine[1:] != mine[:-1]
+            before[1:] = np.where(starts[1:] | (here[:-1] < 0), self.end, here[:-1])
+            state, scores = self._window(here, before, starts, state[:live])
+            valid = here >= 0
+            total += np.bincount(mine[valid], weights=scores, minlength=len(documents))
         return total
 
     def _states(self, before, starts, state):
-        """State before each step (zero at a start), both gates, candidate, its recurrent part, and state after each step."""
-        m, h3 = self.model, 2 * UNITS
+        """State before each step (zero at a start), both gates apart, candidate, its recurrent part, and state after each step."""
+        m = self.model
         steps, count = before.shape
-        x = m["inputs"][before]
-        kept = np.empty((steps, count, UNITS), np.float32)
-        gates, news, inner, states = (np.empty((steps, count, n), np.float32) for n in (h3, UNITS, UNITS, UNITS))
+        # Update gate, reset gate and candidate apart, as operations on whole arrays are fastest.
+        inputs = np.ascontiguousarray(m["inputs"].reshape(-1, 3, UNITS).transpose(1, 0, 2))
+        x, fresh = inputs.take(before, axis=1), starts.any(axis=1).tolist()
+        kept, news, states = (np.empty((steps, count, UNITS), np.float32) for _ in range(3))
+        gates, recurrent = np.empty((steps, 2, count, UNITS), np.float32), np.empty((steps, 3, count, UNITS), np.float32)
         for t in range(steps):
-            kept[t] = state
-            kept[t][starts[t]] = 0
-            g = kept[t] @ m["state"]
-            gates[t] = _sigmoid(x[t, :, :h3] + g[:, :h3])
-            inner[t] = g[:, h3:]
-            np.tanh(x[t, :, h3:] + gates[t, :, UNITS:] * inner[t], out=news[t])
-            states[t] = news[t] + gates[t, :, :UNITS] * (kept[t] - news[t])
-            state = states[t]
-        return kept, gates, news, inner, states
+            before_it, g, both, new, after = kept[t], recurrent[t], gates[t], news[t], states[t]
+            before_it[...] = state
+            if fresh[t]:
+                before_it[starts[t]] = 0
+            g[...] = (before_it @ m["state"]).reshape(count, 3, UNITS).transpose(1, 0, 2)
+            np.add(x[:2, t], g[:2], out=both)
+            _sigmoid(both)
+            np.multiply(both[1], g[2], out=new)
+            new += x[2, t]
+            np.tanh(new, out=new)
+            np.subtract(before_it, new, out=after)
+            after *= both[0]
+            after += new
+            state = after
+        return kept, gates, news, recurrent[:, 2], states
 
     def _window(self, tokens, before, starts, state):
         m = self.model
         kept, gates, news, inner, states = self._states(before, starts, state)
         valid = tokens >= 0
-        h, y = states[valid], tokens[valid]
+        h, y = states.reshape(-1, UNITS), tokens.ravel()
+        if not valid.all():
+            h, y = h[valid.ravel()], y[valid.ravel()]
         classes, size = m["word_bias"].shape
         word = y < self.vocab
         group = np.where(word, y // size, y - self.vocab + classes)
         # Logits are laid out with the states of one column together: reductions then run along them.
-        logits = m["class"].T @ h.T
+        logits = np.matmul(m["class"].T, h.T, out=_table(len(m["class_bias"]), len(h)))
         logits += m["class_bias"][:, None]
         logs, e, total = _softmax(logits.T, group)
         scores = logs.astype(np.float64)
         order = np.flatnonzero(word)
         order = order[_ranked(group[order])]
         cuts = np.searchsorted(group[order], np.arange(classes + 1))
-        sorted_h, places = h[order], y[order] % size
+        sorted_h, places = h.take(order, axis=0), y[order] % size
         held = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if i < j]
         dh = grads = None
         if self.learn:
@@ -185,45 +228,65 @@ class Pass:
             grads = {"class": h.T @ d, "class_bias": d.sum(axis=0), "word": np.zeros_like(m["word"]), "word_bias": np.zeros_like(m["word_bias"])}
             dh = d @ m["class"].T
         # Logits of all classes side by side, so that one softmax does them all.
-        logits, columns = np.empty((size, len(order)), np.float32), sorted_h.T
+        logits, columns = _table(size, len(order)), sorted_h.T
         for c, cut in held:
             np.matmul(m["word"][c].T, columns[:, cut], out=logits[:, cut])
-            logits[:, cut] += m["word_bias"][c][:, None]
+        logits += np.repeat(m["word_bias"].T, np.diff(cuts), axis=1)
         inside, e, total = _softmax(logits.T, places)
         if self.learn:
             d, back = _error(e, total, places, self.share), np.empty_like(sorted_h)
             for c, cut in held:
-                grads["word"][c], grads["word_bias"][c] = sorted_h[cut].T @ d[cut], d[cut].sum(axis=0)
-                back[cut] = d[cut] @ m["word"][c].T
+                here, error = columns[:, cut], d[cut]
+                np.matmul(here, error, out=grads["word"][c])
+                np.add.reduce(error, axis=0, out=grads["word_bias"][c])
+                np.matmul(error, m["word"][c].T, out=back[cut])
         scores[order] += inside
         if self.learn and len(y):
-            dh[order] += back
-            out = np.zeros_like(states)
-            out[valid] = dh
-            self._back(before, starts, kept, gates, news, inner, out, grads)
+            back += dh.take(order, axis=0)
+            dh[order] = back
+            if len(dh) < valid.size:
+                whole = np.zeros((valid.size, UNITS), np.float32)
+                whole[valid.ravel()] = dh
+                dh = whole
+            self._back(before, starts, kept, gates, news, inner, dh.reshape(states.shape), grads)
         return states[-1], scores
 
     def _back(self, before, starts, kept, gates, news, inner, out, grads):
         """Backpropagation through the window's steps, and the update."""
         m, u = self.model, UNITS
-        carry = np.zeros_like(out[0])
-        dx, dg = np.empty(before.shape + (3 * u,), np.float32), np.empty(before.shape + (3 * u,), np.float32)
+        z, r, fresh = gates[:, 0], gates[:, 1], starts.any(axis=1).tolist()
+        # What does not depend on later steps, for all steps together.
+        less_z, less_r, less_n, gap = 1 - z, 1 - r, 1 - news * news, kept - news
+        # Errors of both gates, of the recurrent part and of the candidate, side by side.
+        errors, carry = np.empty((*before.shape, 4 * u), np.float32), np.zeros_like(out[0])
+        dn, d, back = np.empty_like(carry), np.empty_like(carry), m["state"].T
         for t in range(len(out) - 1, -1, -1):
-            dh = out[t] + carry
-            z, r, n = gates[t, :, :u], gates[t, :, u:], news[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (kept[t] - n) * z * (1 - z)
-            dr = dn * inner[t] * r * (1 - r)
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
-            dg[t] = np.concatenate([dz, dr, dn * r], axis=1)
-            carry = dh * z + dg[t] @ m["state"].T
-            carry[starts[t]] = 0
-        grads["state"] = kept.reshape(-1, u).T @ dg.reshape(-1, 3 * u)
+            dh, own = out[t], errors[t]
+            dh += carry
+            np.multiply(dh, less_z[t], out=dn)
+            dn *= less_n[t]
+            own[:, 3 * u :] = dn
+            np.multiply(dn, r[t], out=own[:, 2 * u : 3 * u])
+            np.multiply(dh, gap[t], out=d)
+            d *= z[t]
+            np.multiply(d, less_z[t], out=own[:, :u])
+            dn *= inner[t]
+            dn *= r[t]
+            np.multiply(dn, less_r[t], out=own[:, u : 2 * u])
+            np.matmul(own[:, : 3 * u], back, out=carry)
+            dh *= z[t]
+            carry += dh
+            if fresh[t]:
+                carry[starts[t]] = 0
+        errors = errors.reshape(-1, 4 * u)
+        grads["state"] = kept.reshape(-1, u).T @ errors[:, : 3 * u]
         ids = before.ravel()
         order = _ranked(ids)
-        first = np.flatnonzero(np.r_[True, ids[order][1:] != ids[order][:-1]])
-        sums = np.add.reduceat(dx.reshape(-1, 3 * u)[order], first, axis=0)
-        rows = ids[order][first]
+        ids = ids[order]
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        sums = _run_sums(errors.take(order, axis=0), first)
+        sums = np.concatenate([sums[:, : 2 * u], sums[:, 3 * u :]], axis=1)
+        rows = ids[first]
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()) + float((sums * sums).sum()))
         scale = np.float32(min(1.0, CLIP / max(norm, 1e-9)))
         for k, g in grads.items():

@@ -150,3 +150,49 @@ def test_word_lists_are_the_words():
     found, cuts = word_lists(pa.array(texts, pa.string()))
     listed = [w.encode() for w in found.to_pylist()]
     assert [listed[x:y] for x, y in zip(cuts[:-1], cuts[1:])] == [words(t) for t in texts]
+
+
+def test_run_sums_are_those_of_reduceat():
+    rng = np.random.default_rng(6)
+    for most in (1, 4, 9, 300):
+        sizes = rng.integers(1, most + 1, 60)
+        first, rows = np.cumsum(sizes) - sizes, rng.standard_normal((int(sizes.sum()), 5)).astype(np.float32)
+        assert (rnn._run_sums(rows, first) == np.add.reduceat(rows, first, axis=0)).all()
+
+
+def test_rows_of_a_table_do_not_lie_a_power_of_two_apart():
+    """There a copy by columns takes several times as long, and a full window has 4,096 rows."""
+    for count in (0, 1, 16, 100, rnn.WINDOW * rnn.LANES, rnn.WINDOW * rnn.SCORE_LANES):
+        table = rnn._table(80, count)
+        apart = table.strides[0] // table.itemsize
+        assert table.shape == (80, count) and count <= apart < count + 48 and apart % 32 == 16
+
+
+def test_learning_is_that_of_the_steps_written_out():
+    """One window of one lane: gates, candidate and the gradient of the state's weights, step by step."""
+    model = small_model(5)
+    doc, was = np.array([1, 7, 2, 5, 3], np.int32), {k: v.copy() for k, v in model.items()}
+    before, starts = np.array([[0], [1], [7], [2], [5]]), np.array([[True], [False], [False], [True], [False]])
+    kept, gates, news, inner, states = rnn.Pass(model, 0)._states(before, starts, np.ones((1, rnn.UNITS), np.float32))
+    state, u = np.ones(rnn.UNITS, np.float32), rnn.UNITS
+    for t in range(5):
+        state = np.zeros_like(state) if starts[t, 0] else state
+        x, g = was["inputs"][before[t, 0]], state @ was["state"]
+        z, r = 1 / (1 + np.exp(-x[:u] - g[:u])), 1 / (1 + np.exp(-x[u : 2 * u] - g[u : 2 * u]))
+        new = np.tanh(x[2 * u :] + r * g[2 * u :])
+        for found, want in ((kept[t, 0], state), (gates[t, 0, 0], z), (gates[t, 1, 0], r), (news[t, 0], new), (inner[t, 0], g[2 * u :])):
+            np.testing.assert_allclose(found, want, rtol=1e-4, atol=1e-6)
+        state = new + z * (state - new)
+        np.testing.assert_allclose(states[t, 0], state, rtol=1e-4, atol=1e-6)
+    assert np.isfinite(rnn.Pass(model, 0, learn=True).run([doc])).all()
+
+
+def test_counts_are_those_of_the_words_however_often_they_are_handed_on(spark, monkeypatch):
+    texts = [None, "", " ", "a B\tb", "Ä   a", "x " * 50, "b\x0bB\x1c b"]
+    want = Counter(w for t in texts for w in words(t))
+    want[b""] = len(texts)
+    for most in (0, 1 << 26):
+        monkeypatch.setattr(lm, "COUNTED_BYTES", most)
+        df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+        assert {bytes(r["word"]): r["n"] for r in lm.count_words(spark, df).collect()} == want
+    assert lm.count_words(spark, spark.createDataFrame([], "text string")).count() == 0
