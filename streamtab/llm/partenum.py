@@ -2,7 +2,8 @@
 
 A document is the set of its distinct word shingles. Sets are put into bands of size; within a band the Jaccard threshold bounds how
 many elements two linked sets can differ in, so when the domain is split into enough parts, some part differs in one element
-at most, and of that part's cells all but one are equal. Each choice of such equal cells is a signature: linked sets share one.
+at most, and of that part's cells all but one are equal. Each choice of such equal cells is a signature: linked sets share one. Parts that hold next
+to nothing would make signatures that a fixed share of all sets has, so there are some parts to spare and such parts count by threes.
 
 Documents with equal sets are one class (its id is a 64-bit digest of the set), and classes are what is joined, so a group of copies
 costs what one document costs. Candidates are tested by exact set sizes, and links are only sought between classes that are not yet
@@ -11,8 +12,9 @@ in one component, so a large group of near copies is not expanded into its pairs
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
-from functools import lru_cache, partial
+from functools import lru_cache, partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -27,8 +29,10 @@ SHINGLE = 4
 # Linked when 100 * intersection >= PERCENT * union.
 PERCENT = 85
 CELLS = 3
-# Members of a signature group that are compared with each other in one task; larger groups are divided by more signatures.
+# Members of a signature group that are compared with each other in one task; larger groups are dealt into parts, each two of which are a group.
 GROUP_ROWS = 2048
+# Parts of the signatures, shuffled one after the other (a power of two).
+TURNS = 4
 FILTER_BITS = 24
 # Groups from so many members on are compared by arrays; pairs that a task holds to tell each once; elements of sets in a part of a cluster.
 WIDE_ROWS = 16
@@ -83,26 +87,38 @@ def band(size: int, percent: int = PERCENT) -> tuple[int, int, int]:
 
 
 @lru_cache(maxsize=None)
-def schemes(size: int, percent: int = PERCENT) -> tuple[tuple[int, int], ...]:
-    """(band, elements apart at most) of each band in which a set of this size meets its partners."""
-    number, _, high = band(size, percent)
-    out = [(number, most_apart(2 * high, percent))]
+def schemes(size: int, percent: int = PERCENT) -> tuple[tuple[int, int, int], ...]:
+    """(band, elements apart at most, parts to spare) of each band in which a set of this size meets its partners."""
+    number, low, high = band(size, percent)
+    out = [(number, most_apart(2 * high, percent), low)]
     if 100 * size // percent > high:
-        after, _, top = band(high + 1, percent)
-        out.append((after, most_apart(2 * top, percent)))
-    return tuple((b, k) for b, k in out if k)
+        after, low, top = band(high + 1, percent)
+        out.append((after, most_apart(2 * top, percent), low))
+    # Of the smallest sets that meet others in a band, the parts with one element at most are as many as are to spare, on average.
+    return tuple((b, k, _thin_parts(k // 2 + 1, low * percent / 100)) for b, k, low in out if k)
+
+
+def _thin_parts(parts: int, size: float) -> int:
+    """Of so many parts, how many hold at most one element of a set of `size`; two at least."""
+    mean = size / parts
+    return max(2, int(parts * (1 + mean) * math.exp(-mean)))
 
 
 def signatures(elements: np.ndarray, percent: int = PERCENT, seed: int = 0) -> np.ndarray:
     """All signatures of a set: any set linked to it, other than an equal one, has one of them.
 
     Up to three elements apart, the domain is one part of k + 3 cells and every three cells make a signature. Beyond that there
-    are k // 2 + 1 parts of three cells, and every two cells of a part make one. When these two are empty the third cell
-    would stand for nothing, so it is told apart by its content and by its content less each element.
+    are k // 2 + 1 parts and some to spare, of three cells each, and every two cells of a part make one. When these two are empty the third
+    cell would stand for nothing, so it is told apart by its content and by its content less each element.
+
+    Of the parts, at most k // 2 differ in more than one element, so with s to spare s + 1 or more do not. Such a part gives linked sets a
+    signature in common unless it is thin, with an element in one of them at most. When all are, both sets have s + 1 thin parts in
+    common or more, and with three of these, s - 2 or more that follow them: so each three of the first t - s + 2 of a set's t thin parts
+    make a signature.
     """
     out = []
-    for number, apart in schemes(len(elements), percent):
-        parts, cells = (1, apart + 3) if apart <= 3 else (apart // 2 + 1, CELLS)
+    for number, apart, spare in schemes(len(elements), percent):
+        parts, cells = (1, apart + 3) if apart <= 3 else (apart // 2 + 1 + spare, CELLS)
         place = mixed(elements + _salt(seed, number))
         value = mixed(elements ^ _ODD)
         cell = ((place >> np.uint64(40)) % np.uint64(parts) * np.uint64(cells) + (place & np.uint64(0xFFFFFFF)) % np.uint64(cells)).astype(np.int64)
@@ -115,14 +131,20 @@ def signatures(elements: np.ndarray, percent: int = PERCENT, seed: int = 0) -> n
             out.append(mixed(kept + label + mixed(np.arange(len(kept), dtype=np.uint64) + np.uint64(1))))
             continue
         counts = np.bincount(cell, minlength=parts * cells).reshape(parts, cells)
+        held = counts.sum(axis=1)
         kept = sums.sum(axis=1, dtype=np.uint64)[:, None] - sums
-        empty = counts.sum(axis=1)[:, None] == counts
+        alone = (held[:, None] == counts) & (counts > 0)
         names = mixed(np.arange(parts * cells, dtype=np.uint64) + np.uint64(1)).reshape(parts, cells) + label
-        out.append(mixed(kept[~empty] + names[~empty]))
-        for part, alone in zip(*np.nonzero(empty)):
-            own = value[cell == part * cells + alone]
-            content = own.sum(dtype=np.uint64)
-            out.append(mixed(np.concatenate([[content], content - own]).astype(np.uint64) * _ODD + names[part, alone]))
+        full = held[:, None] > counts
+        out.append(mixed(kept[full] + names[full]))
+        for part, only in zip(*np.nonzero(alone)):
+            content = sums[part, only]
+            own = value[cell == part * cells + only] if held[part] > 1 else value[:0]
+            out.append(mixed(np.append(content, content - own) * _ODD + names[part, only]))
+        thin = np.flatnonzero(held <= 1)
+        if len(thin) > spare:
+            threes = np.array(list(combinations(names[thin[: len(thin) - spare + 2], 0], 3)), np.uint64)
+            out.append(mixed(mixed(mixed(threes[:, 0]) + threes[:, 1]) + threes[:, 2]))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -297,33 +319,18 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def _divided(spark: SparkSession, rows: DataFrame, percent: int, most: int, elements: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Signature rows of groups with more than one component, groups above `most` rows divided until they are not.
+def _divided(spark: SparkSession, rows: DataFrame, most: int) -> DataFrame:
+    """(sig, id, label) of signature groups with more than one component; those above `most` rows dealt, so that groups stay below that.
 
-    A large group is divided by the signatures of another seed: linked members share one of those too.
+    A large group is dealt into parts of half as many rows, and each two of its parts are a group: every two members meet.
     """
-    out = None
-    for seed in range(1, 5):
-        groups = rows.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high")
-        rows = saved(spark, rows.join(groups.select("sig", "n"), "sig"), "partenum-open")
-        small = rows.where(F.col("n") <= most).select("sig", "id", "label")
-        out = small if out is None else out.unionByName(small)
-        rows = rows.where(F.col("n") > most).select("sig", "id", "label")
-        if rows.isEmpty():
-            return out
-
-        def finer(parts: Iterator[pa.RecordBatch], seed: int = seed) -> Iterator[pa.RecordBatch]:
-            for batch in batches(parts, rows=256):
-                made = []
-                for sig, name, label, elements in zip(*(batch[c].to_pylist() for c in ("sig", "id", "label", "elements"))):
-                    new = signatures(np.array(elements, np.int64).view(np.uint64), percent, seed)
-                    made.append((mixed(new + _salt(sig & (1 << 64) - 1)), name, label))
-                yield pa.RecordBatch.from_pydict(
-                    {"sig": _signed(np.concatenate([m[0] for m in made])), "id": pa.array(np.concatenate([np.full(len(m[0]), m[1], np.int64) for m in made])),
-                     "label": pa.array(np.concatenate([np.full(len(m[0]), m[2], np.int64) for m in made]))})
-
-        rows = rows.join(elements(rows.select("id").distinct()), "id").mapInArrow(finer, "sig long, id long, label long")
-    return out.unionByName(rows)
+    groups = rows.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low < high")
+    rows = saved(spark, rows.join(groups.select("sig", "n"), "sig"), "partenum-open")
+    parts = F.ceil(2 * F.col("n") / F.lit(most))
+    large = rows.where(F.col("n") > most).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).where("other != part")
+    large = large.select(F.xxhash64("sig", F.least("part", "other"), F.greatest("part", "other")).alias("sig"), "id", "label")
+    return rows.where(F.col("n") <= most).select("sig", "id", "label").unionByName(large)
 
 
 def _candidates(members: list[tuple[int, int, int, bytes]], percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -470,16 +477,28 @@ def _dense_links(
     return saved(spark, blocks.mapInArrow(compare_sets, "a long, b long").distinct(), "partenum-dense")
 
 
+def _shared(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """(sig, id, first) of the signatures that several classes have, `first` being the smallest of these classes.
+
+    Signatures are by far the most of what is shuffled, and few are shared, so they are shuffled a part at a time.
+    """
+    every, out = Window.partitionBy("sig"), []
+    for turn in range(TURNS):
+        some = rows.where(F.col("sig").bitwiseAND(F.lit(TURNS - 1)) == turn)
+        some = some.withColumn("first", F.min("id").over(every)).withColumn("last", F.max("id").over(every)).where("first < last")
+        # Copies that were not next to each other have their signatures more than once.
+        out.append(saved(spark, some.select("sig", "id", "first").distinct(), "partenum-shared"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def class_components(
     spark: SparkSession, texts: DataFrame, n: int = SHINGLE, percent: int = PERCENT, group_rows: int = GROUP_ROWS, made: DataFrame | None = None
 ) -> DataFrame:
     """(id, label) of the classes that are linked to others; `made` are the `classes` of `texts` with `copy`, if already there."""
-    every = Window.partitionBy("sig")
     if made is None:
         made = _kept(spark, classes(texts.select(F.xxhash64("text").alias("copy"), "text"), n, percent))
     rows = made.where("sigs IS NOT NULL").select(F.explode("sigs").alias("sig"), F.col("class").alias("id"))
-    rows = rows.withColumn("first", F.min("id").over(every)).withColumn("last", F.max("id").over(every)).where("first < last")
-    shared = saved(spark, rows.select("sig", "id", "first"), "partenum-shared")
+    shared = _shared(spark, rows)
     sets = made.where("sketch IS NOT NULL").select(F.col("class").alias("id"), F.col("n_shingles").alias("size"), "sketch")
     sets = saved(spark, sets.join(shared.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "partenum-sets")
     elements = partial(_elements, spark, texts, made, n)
@@ -489,7 +508,7 @@ def class_components(
     # Then what is still apart: joins that would connect a group's components, and at last every pair that may be a link, those of dense
     # groups by comparing whole sets in place, so that what is written grows with the members of a group and not with their pairs.
     for forest in (True, False):
-        rest = _divided(spark, _labelled(shared.select("sig", "id"), labels), percent, group_rows, elements)
+        rest = _divided(spark, _labelled(shared.select("sig", "id"), labels), group_rows)
         near = saved(spark, _across(spark, rest, sets, percent, forest), "partenum-across")
         more = _verified(spark, near.where("NOT dense").select("a", "b"), sets, percent, elements)
         dense = near.where("dense").select("a", "b")

@@ -1,10 +1,12 @@
 import random
+import time
+from itertools import combinations
 
 import numpy as np
 import pytest
 
 from streamtab.llm import partenum
-from streamtab.llm.common import words
+from streamtab.llm.common import CLEARS, saved, words
 from tests.llm.helpers import listed, nothing, odd
 
 
@@ -161,3 +163,52 @@ def test_near_copies_that_are_mostly_apart(spark, group_rows, monkeypatch):
         expected.setdefault(component, []).append(key)
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, expected.values()))
     assert dense or group_rows < 2048
+
+
+@pytest.mark.parametrize("size, percent", [(20, 80), (30, 80), (60, 80), (200, 80), (500, 80)])
+def test_unlike_sets_share_few_signatures(size, percent):
+    """A signature that a fixed share of all sets has would make groups, and pairs, that outgrow the table."""
+    rng, times = np.random.default_rng(size), {}
+    count = 3000
+    for _ in range(count):
+        for sig in partenum.signatures(rng.integers(0, 1 << 63, size, dtype=np.uint64), percent).tolist():
+            times[sig] = times.get(sig, 0) + 1
+    assert sum(n * (n - 1) for n in times.values()) < 0.0005 * count * count
+    assert max(times.values()) < 0.005 * count
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sets_as_far_apart_as_links_may_be_share_a_signature(percent):
+    rng = np.random.default_rng(percent)
+    for size in [5, 9, 12, 18, 20, 28, 35, 60, 130, 210, 900] * 8:
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        add = int(rng.integers(0, size * (100 - percent) // percent + 1))
+        drop = size - -(-percent * (size + add) // 100)
+        b = np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 1 << 63, add, dtype=np.uint64)])
+        if add + drop:
+            assert partenum.linked(a, b, percent) and not partenum.linked(a, b[1:], percent)
+            assert np.intersect1d(partenum.signatures(a, percent), partenum.signatures(b, percent)).size
+
+
+def test_large_groups_are_dealt_and_all_their_members_meet(spark):
+    rows = [(1, i, i % 3) for i in range(90)] + [(2, i, i) for i in range(6)] + [(3, i, 7) for i in range(90)]
+    out = listed(partenum._divided(spark, spark.createDataFrame(rows, "sig long, id long, label long"), 8))
+    groups = {}
+    for sig, name, label in out:
+        groups.setdefault(sig, []).append((name, label))
+    assert sorted(groups.pop(2)) == [(i, i) for i in range(6)] and 3 not in groups
+    assert {(a, b) for g in groups.values() for (a, _), (b, _) in combinations(sorted(g), 2)} == set(combinations(range(90), 2))
+    assert all(label == name % 3 for g in groups.values() for name, label in g)
+    # Each row is in one group for each other part, and parts have four rows.
+    assert len(out) - 6 <= 90 * -(-90 // 4)
+
+
+def test_what_is_saved_leaves_no_shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = lambda: {f for f in files.getAllFiles().mkString("|").split("|") if "shuffle_" in f and f.endswith(".data")}
+    before, conf, until = names(), spark.conf.get(CLEARS, None), time.time() + 30
+    out = saved(spark, spark.range(20000).selectExpr("id % 7000 AS k").groupBy("k").count().repartition(5, "count"), "test-shuffles")
+    while names() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not names() - before and spark.conf.get(CLEARS, None) == conf
+    assert out.count() == 7000
